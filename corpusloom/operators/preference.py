@@ -81,12 +81,17 @@ def pair_columns(df: DataFrame) -> list[Column]:
     return [side.alias(name) for side, name in zip(sides, SIDES, strict=True)]
 
 
-def nonempty(df: DataFrame, columns: Sequence[str] = SIDES) -> DataFrame:
-    """Rows whose sides all have at least one character; NULL counts as empty."""
+def all_filled(columns: Sequence[str] = SIDES) -> Column:
+    """Whether every side has at least one character; NULL counts as empty."""
     test = F.lit(True)
     for c in columns:
-        test = test & (F.length(c) > 0)
-    return df.where(test)
+        test = test & F.coalesce(F.length(c) > 0, F.lit(False))
+    return test
+
+
+def nonempty(df: DataFrame, columns: Sequence[str] = SIDES) -> DataFrame:
+    """Rows without an empty side."""
+    return df.where(all_filled(columns))
 
 
 def build_pairs(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -290,8 +290,22 @@ def step_plan(runs: DataFrame) -> DataFrame:
 def duration_text(seconds: Column) -> Column:
     """Seconds, minutes, hours or days with one decimal."""
     return (
-        F.when(seconds < 60, F.format_string("%.1fs", seconds))
-        .when(seconds < 3600, F.format_string("%.1fm", seconds / 60))
-        .when(seconds < 86400, F.format_string("%.1fh", seconds / 3600))
-        .otherwise(F.format_string("%.1fd", seconds / 86400))
+        F.when(seconds < 60, F.concat(one_decimal(seconds), F.lit("s")))
+        .when(seconds < 3600, F.concat(one_decimal(seconds / 60), F.lit("m")))
+        .when(seconds < 86400, F.concat(one_decimal(seconds / 3600), F.lit("h")))
+        .otherwise(F.concat(one_decimal(seconds / 86400), F.lit("d")))
     )
+
+
+def one_decimal(x: Column) -> Column:
+    """A non-negative number with one decimal, rounded by its exact binary value (ties to even), as Python prints it.
+
+    ``format_string`` rounds the shortest decimal form instead, which differs for numbers such as 1.15. Both
+    subtractions below are exact close to the middle between two results, which is where the sign matters.
+    """
+    tenths = F.floor(x * 10)
+    middle = 2 * tenths + 1
+    beyond = (x * 16 - middle) + x * 4
+    up = (beyond > 0) | ((beyond == 0) & (tenths % 2 == 1))
+    rounded = tenths + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    return F.concat(F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))

@@ -31,7 +31,7 @@ MIN_FREQUENCY = 2
 SYMBOL_BASE = 0xF0000  # first private-use code point; ids follow each other from here
 SYMBOL_LIMIT = 0x10FFFE - SYMBOL_BASE
 PAIRS_PER_ROUND = 512
-MERGES_PER_CHECKPOINT = 40
+MERGES_PER_CHECKPOINT = 32
 
 
 def byte_characters() -> list[str]:

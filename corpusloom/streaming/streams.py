@@ -96,7 +96,7 @@ def save_latest(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write each update of a keyed stream below ``path``, one folder per micro-batch; a repeat replaces its folder."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
         df.writeStream.outputMode("update")
