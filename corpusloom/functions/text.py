@@ -49,4 +49,5 @@ def joined(pieces: Column) -> Column:
 
 def code_points(text: Column) -> Column:
     """Unicode code points of a text as ARRAY<INT>."""
-    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c))
+    points = F.transform(F.split(text, ""), lambda c: F.ascii(c))
+    return F.when(F.length(text) > 0, points).otherwise(F.array().cast("array<int>"))

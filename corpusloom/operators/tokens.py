@@ -1,6 +1,6 @@
 """Byte-level BPE: word counts, training of merges, encoding and decoding.
 
-During training every symbol is one private-use character, so a word is a string, a merge is Spark's ``replace`` (left to
+During training every symbol is one character, so a word is a string, a merge is Spark's ``replace`` (left to
 right, without overlaps) and the order of pairs is the order of strings. Nothing of the corpus or of its word table
 reaches the driver: it only sees the best pairs of each round.
 """
@@ -28,10 +28,11 @@ DEFAULT_SPECIALS = (("pad", "<|pad|>"), ("bos", "<|startoftext|>"), ("eos", "<|e
 
 VOCAB_SIZE = 32_768
 MIN_FREQUENCY = 2
-SYMBOL_BASE = 0xF0000  # first private-use code point; ids follow each other from here
-SYMBOL_LIMIT = 0x10FFFE - SYMBOL_BASE
+SYMBOL_BASE = 0x100  # character of id 0; the others follow in order, past the surrogates
+SURROGATES = range(0xD800, 0xE000)
+SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
 PAIRS_PER_ROUND = 512
-MERGES_PER_CHECKPOINT = 32
+MERGES_PER_CHECKPOINT = 16
 
 
 def byte_characters() -> list[str]:
@@ -49,6 +50,17 @@ def byte_characters() -> list[str]:
     return shown
 
 
+def symbol(token_id: int) -> str:
+    """The character that stands for a token during training; characters sort like ids."""
+    point = SYMBOL_BASE + token_id
+    return chr(point if point < SURROGATES.start else point + len(SURROGATES))
+
+
+def symbol_id(character: str) -> int:
+    point = ord(character)
+    return point - SYMBOL_BASE - (len(SURROGATES) if point >= SURROGATES.stop else 0)
+
+
 @dataclass
 class Vocabulary:
     """A trained vocabulary: reserved tokens, byte symbols and ranked merges. Its size is bounded by ``VOCAB_SIZE``."""
@@ -153,7 +165,7 @@ def word_counts(texts: DataFrame, column: str = "text", pattern: str = WORD_PATT
 
 def as_symbols(word: Column, byte_ids: Sequence[int]) -> Column:
     """The word's UTF-8 bytes, one symbol character each."""
-    symbols = F.array(*[F.lit(chr(SYMBOL_BASE + i)) for i in byte_ids])
+    symbols = F.array(*[F.lit(symbol(i)) for i in byte_ids])
     digits = F.regexp_extract_all(F.hex(F.encode(word, "UTF-8")), F.lit(".."), F.lit(0))
     return F.array_join(F.transform(digits, lambda d: F.get(symbols, F.conv(d, 16, 10).cast("int"))), "")
 
@@ -251,8 +263,8 @@ def train_merges(
             table = _settled(table.select(apply_merges("symbols", pending).alias("symbols"), "freq"))
             pending = []
         for pair in head:
-            merges.append((ord(pair[0]) - SYMBOL_BASE, ord(pair[1]) - SYMBOL_BASE))
-            pending.append((pair, chr(SYMBOL_BASE + size)))
+            merges.append((symbol_id(pair[0]), symbol_id(pair[1])))
+            pending.append((pair, symbol(size)))
             size += 1
     return Vocabulary(merges, tuple(reserved))
 

@@ -9,6 +9,7 @@ from corpusloom.functions.text import code_points
 from corpusloom.functions.turns import nest_turns
 from corpusloom.operators.tokens import Vocabulary, train_vocabulary
 from corpusloom.plans.registry import table
+from corpusloom.session import spread
 
 MIX_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.1, "benchmark": 0.05}
 TRAINED_SIZE = 320
@@ -133,9 +134,14 @@ def run_plans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for work that is heavy per row."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Code points of whole documents, as token ids that SQL can compute too."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("key"), code_points(F.col("text")).alias("input_ids")
     )
 
@@ -144,7 +150,7 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     """A small vocabulary trained on all documents, once per session and folder."""
     at = (spark.sparkContext.applicationId, folder)
     if at not in _VOCABULARIES:
-        _VOCABULARIES[at] = train_vocabulary(table(spark, folder, "documents"), vocab_size=TRAINED_SIZE)
+        _VOCABULARIES[at] = train_vocabulary(texts(spark, folder), vocab_size=TRAINED_SIZE)
     return _VOCABULARIES[at]
 
 
@@ -152,7 +158,7 @@ def character_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """The characters of all documents as tokens. The alphabet is bounded, so numbering it in one task is fine."""
     from pyspark.sql.window import Window
 
-    chars = table(spark, folder, "documents").select(F.explode(F.split("text", "")).alias("token"))
+    chars = texts(spark, folder).select(F.explode(F.split("text", "")).alias("token"))
     distinct = chars.where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n")).drop("n")
     return distinct.withColumn(
         "id", F.row_number().over(Window.orderBy(F.ascii("token"))).cast("bigint") - 1

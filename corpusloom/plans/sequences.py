@@ -11,7 +11,7 @@ from corpusloom.operators.rendering import template_text
 from corpusloom.plans import adapters as a
 from corpusloom.plans.chat import MARKED_SQL
 from corpusloom.plans.pairs import FLAT
-from corpusloom.plans.registry import query, table
+from corpusloom.plans.registry import query
 
 MAX_LENGTH = 2048
 BATCH = 8
@@ -31,7 +31,7 @@ def joined_sql(ids: str) -> str:
 
 @query(f"WITH {WORDS_SQL} SELECT word, count(*) AS freq FROM words GROUP BY word")
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return k.word_counts(table(spark, folder, "documents"), pattern=SIMPLE_PATTERN)
+    return k.word_counts(a.texts(spark, folder), pattern=SIMPLE_PATTERN)
 
 
 @query(f"""
@@ -111,14 +111,14 @@ SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, {joined_sql(f'ids[1:{MAX_LE
 """)
 def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding with a vocabulary of single bytes, cut to the sequence length."""
-    rows = k.encode(table(spark, folder, "documents"), k.Vocabulary([]), MAX_LENGTH, keep=["doc_id"])
+    rows = k.encode(a.texts(spark, folder), k.Vocabulary([]), MAX_LENGTH, keep=["doc_id"])
     attended = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda s, x: s + x)
     return rows.select("doc_id", "n_tokens", a.joined_ids("input_ids").alias("input_ids"), attended.alias("attended"))
 
 
 @query()
 def encode_truncate(spark: SparkSession, folder: str) -> DataFrame:
-    rows = k.encode(table(spark, folder, "documents"), a.vocabulary(spark, folder), MAX_LENGTH, keep=["doc_id"])
+    rows = k.encode(a.texts(spark, folder), a.vocabulary(spark, folder), MAX_LENGTH, keep=["doc_id"])
     return rows.select("doc_id", "n_tokens", a.joined_ids("input_ids").alias("input_ids"))
 
 
@@ -126,7 +126,7 @@ def encode_truncate(spark: SparkSession, folder: str) -> DataFrame:
 def token_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding followed by decoding gives the text back."""
     learned = a.vocabulary(spark, folder)
-    rows = k.encode(table(spark, folder, "documents"), learned, keep=["doc_id"])
+    rows = k.encode(a.texts(spark, folder), learned, keep=["doc_id"])
     return rows.select("doc_id", k.decode(F.col("input_ids"), learned).alias("text"))
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are tuned for. They are all ordinary Spark settings, so a cluster may override any of them.
 SETTINGS = {
@@ -54,3 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), "corpusloom", f"{label}-{uuid.uuid4().hex}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when its files give fewer splits than there are cores.
+
+    For work that is heavy per row. A large input has more splits than the cluster has cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
