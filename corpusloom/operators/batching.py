@@ -141,15 +141,16 @@ def pack(
     A sequence that crosses a boundary is cut there. The last chunk may be shorter; ``keep_last=False`` leaves it out.
     A chunk gathers at most ``length`` tokens.
     """
-    rows = packing_offsets(df, length, key, ids, 1, rows_per_bucket)
-    closed = F.concat(F.col(ids), F.array(F.lit(end_id)))
+    # Closed before the offsets are computed, so that a long sequence is not closed again for each of its chunks.
+    closed = df.select(key, F.concat(F.col(ids), F.array(F.lit(end_id))).alias(ids))
+    rows = packing_offsets(closed, length, key, ids, 0, rows_per_bucket)
     cuts = F.transform(
         F.sequence("first_chunk", "last_chunk"),
         lambda c: F.struct(
             c.alias("chunk"),
             F.greatest(c * length, F.col("start")).alias("at"),
             F.slice(
-                closed,
+                ids,
                 (F.greatest(c * length - F.col("start"), F.lit(0)) + 1).cast("int"),
                 (F.least((c + 1) * length, F.col("stop")) - F.greatest(c * length, F.col("start"))).cast("int"),
             ).alias("piece"),

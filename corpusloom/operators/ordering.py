@@ -78,29 +78,24 @@ def running_total(
             alone = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
             return df.withColumn(out, F.sum(value).over(alone))
         bucket = bucket_of(F.col(order[0]), bounds)
-    parts = df.withColumn(_BUCKET, bucket)
-    offsets = bucket_offsets(parts, value, keys)
-    local = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = parts.withColumn("__local", F.sum(value).over(local))
-    return _attach(summed, offsets, keys).withColumn(out, F.col("__local") + F.col("__offset")).drop(
-        _BUCKET, "__local", "__offset"
+    parts = df.withColumns({_BUCKET: bucket, "__value": value, "__row": F.lit(1)})
+    # The total of the earlier buckets enters each bucket as a row of its own, ahead of all others. The rows are thus
+    # moved once and joined with nothing.
+    heads = bucket_offsets(parts, F.col("__value"), keys).withColumn("__row", F.lit(0))
+    window = Window.partitionBy(*keys, _BUCKET).orderBy("__row", *order)
+    return (
+        parts.unionByName(heads, allowMissingColumns=True)
+        .withColumn(out, F.sum("__value").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+        .where("__row = 1")
+        .drop(_BUCKET, "__value", "__row")
     )
 
 
-def bucket_offsets(parts: DataFrame, value: Column, keys: Sequence[str], bucket: str = _BUCKET) -> DataFrame:
+def bucket_offsets(parts: DataFrame, value: Column, keys: Sequence[str]) -> DataFrame:
     """Per group and bucket, the total of all earlier buckets. At most ``MAX_BUCKETS`` rows per group are sorted."""
-    totals = parts.groupBy(*keys, bucket).agg(F.sum(value).alias("__total"))
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumn("__offset", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
-
-
-def _attach(parts: DataFrame, offsets: DataFrame, keys: Sequence[str], bucket: str = _BUCKET) -> DataFrame:
-    right = offsets.select(*[F.col(c).alias(f"__{c}") for c in [*keys, bucket]], "__offset")
-    match = None
-    for c in [*keys, bucket]:
-        test = F.col(c).eqNullSafe(F.col(f"__{c}"))
-        match = test if match is None else match & test
-    return parts.join(right, match, "inner").drop(*[f"__{c}" for c in [*keys, bucket]])
+    totals = parts.groupBy(*keys, _BUCKET).agg(F.sum(value).alias("__total"))
+    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("__value", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
 
 
 def numbered(

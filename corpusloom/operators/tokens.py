@@ -8,13 +8,15 @@ reaches the driver: it only sees the best pairs of each round.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.ordering import first_n
 from corpusloom.session import shared_dir
 
 # Fixed value: the published GPT-2 pre-tokenization pattern.
@@ -31,7 +33,9 @@ MIN_FREQUENCY = 2
 SYMBOL_BASE = 0x100  # character of id 0; the others follow in order, past the surrogates
 SURROGATES = range(0xD800, 0xE000)
 SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
+SAMPLE_SIZE = 1_000_000
 PAIRS_PER_ROUND = 512
+CACHED_WORDS = 500_000
 MERGES_PER_CHECKPOINT = 16
 
 
@@ -279,8 +283,12 @@ def _settled(table: DataFrame) -> DataFrame:
     return table.where(F.length("symbols") > 1).repartition(tasks, "symbols").checkpoint()
 
 
-def train_vocabulary(texts: DataFrame, column: str = "text", **options) -> Vocabulary:
-    return train_merges(word_counts(texts, column), **options)
+def train_vocabulary(
+    texts: DataFrame, column: str = "text", key: str | None = None, sample_size: int = SAMPLE_SIZE, **options
+) -> Vocabulary:
+    """Merges from texts: from all of them, or from the first ``sample_size`` by an order key."""
+    sample = texts if key is None else first_n(texts, sample_size, key)
+    return train_merges(word_counts(sample, column), **options)
 
 
 # Special tokens -----------------------------------------------------------------------------------------------------
@@ -359,8 +367,8 @@ def encode(
 ) -> DataFrame:
     """``input_ids`` cut to ``max_length``, ``attention_mask`` and the uncut number of tokens ``n_tokens``.
 
-    Words are split by Spark; an Arrow stage looks them up, merging each distinct word of a task once. The stage is
-    narrow: no shuffle. Reserved tokens in a text become their ids.
+    Words are split by Spark; an Arrow stage looks up each distinct word of a batch and keeps what it learned for the
+    task. The stage is narrow: no shuffle. Reserved tokens in a text become their ids.
     """
     spark = texts.sparkSession
     first = len(vocabulary.reserved) + 256
@@ -372,31 +380,54 @@ def encode(
         )
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         byte_ids, ranks, reserved = tables.value
-        known: dict[str, list[int]] = {t: [i] for t, i in reserved.items()}
-
-        def ids_of(words) -> list[int]:
-            ids: list[int] = []
-            for word in words:
-                found = known.get(word)
-                if found is None:
-                    found = merge_word([byte_ids[b] for b in word.encode()], ranks)
-                    if len(known) < 500_000:
-                        known[word] = found
-                ids.extend(found)
-            return ids
+        known: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            found = known.get(word)
+            if found is None:
+                found = [reserved[word]] if word in reserved else merge_word([byte_ids[b] for b in word.encode()], ranks)
+                if len(known) < CACHED_WORDS:
+                    known[word] = found
+            return found
 
         for batch in batches:
-            ids = batch.pop("__words").map(ids_of)
-            batch["n_tokens"] = ids.map(len)
-            batch["input_ids"] = ids.map(lambda v: v[:max_length]) if max_length is not None else ids
-            yield batch
+            ids, sizes = batch_ids(batch.column(batch.num_columns - 1), ids_of, max_length)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), ids], names)
 
     words = texts.select(*keep, split_reserved(column, vocabulary.reserved).alias("__words"))
-    kept = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in keep)
-    schema = f"{kept + ', ' if kept else ''}n_tokens bigint, input_ids array<int>"
-    return words.mapInPandas(run, schema).withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+    kept = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in keep)
+    names = [*keep, "n_tokens", "input_ids"]
+    coded = words.mapInArrow(run, f"{kept}n_tokens bigint, input_ids array<int>")
+    return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+
+
+def batch_ids(
+    words: pa.ListArray, ids_of: Callable[[str], list[int]], max_length: int | None
+) -> tuple[pa.ListArray, np.ndarray]:
+    """Token ids of lists of words, cut to ``max_length``, and the uncut numbers of tokens.
+
+    Each distinct word of the batch is looked up once; the rest is index arithmetic on whole columns.
+    """
+    coded = words.flatten().dictionary_encode()
+    pieces = [ids_of(w) for w in coded.dictionary.to_pylist()]
+    place = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    table = np.array([i for p in pieces for i in p], np.int32)
+    starts = np.cumsum(sizes) - sizes
+    per_word = sizes[place] if len(place) else np.zeros(0, np.int64)
+    ends = np.cumsum(per_word)
+    total = int(ends[-1]) if len(ends) else 0
+    ids = table[np.repeat(starts[place] - (ends - per_word), per_word) + np.arange(total)] if total else table[:0]
+    counts = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+    lengths = np.diff(bounds)
+    kept = lengths if max_length is None else np.minimum(lengths, max_length)
+    if max_length is not None and total:
+        ids = ids[np.arange(total) - np.repeat(bounds[:-1], lengths) < max_length]
+    offsets = np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())), lengths
 
 
 def split_reserved(column: str, reserved: Sequence[str]) -> Column:

@@ -41,9 +41,8 @@ def values_sql(rows: list[tuple]) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows) + ")"
 
 
-def mix_sql(weights: dict[str, float], seed: int) -> str:
-    return f"""{SOURCES_SQL},
-weights AS (SELECT * FROM {values_sql(list(weights.items()))} w(source, weight)),
+def mix_sql(weights: dict[str, float], seed: int, sources: str | None = SOURCES_SQL) -> str:
+    return f"""{sources + ", " if sources else ""}weights AS (SELECT * FROM {values_sql(list(weights.items()))} w(source, weight)),
 shares AS (
   SELECT source, weight / sum(weight) OVER () AS p FROM weights WHERE weight > 0
   AND source IN (SELECT source FROM sources)

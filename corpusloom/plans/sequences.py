@@ -9,9 +9,11 @@ from corpusloom.operators import batching as b
 from corpusloom.operators import tokens as k
 from corpusloom.operators.rendering import template_text
 from corpusloom.plans import adapters as a
-from corpusloom.plans.chat import MARKED_SQL
+from corpusloom.plans.blends import SEED, mix_sql
+from corpusloom.plans.chat import EXCHANGE_TEXT, INSTRUCTION_TEXT, INSTRUCTIONS, MARKED_SQL
+from corpusloom.plans.datasets import preference_dataset, pretrain_dataset, sft_dataset
 from corpusloom.plans.pairs import FLAT
-from corpusloom.plans.registry import query
+from corpusloom.plans.registry import query, table
 
 MAX_LENGTH = 2048
 BATCH = 8
@@ -234,3 +236,48 @@ SELECT place // {PACKED} AS chunk, string_agg(id, ',' ORDER BY place) AS input_i
 def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     rows = b.pack(a.token_ids(spark, folder), PACKED, END)
     return rows.select("chunk", a.joined_ids("input_ids").alias("input_ids"))
+
+
+# Whole stages ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {mix_sql(a.MIX_WEIGHTS, SEED)},
+sized AS (SELECT source, key, position, (position - 1) // 4 AS batch_id, CAST(octet_length(encode(text)) AS BIGINT) AS n_tokens
+  FROM mix)
+SELECT source, key, position, batch_id, n_tokens,
+  CAST(ceil(max(least(n_tokens, {MAX_LENGTH})) OVER (PARTITION BY batch_id) / 8.0) * 8 AS INT) AS width FROM sized
+""")
+def pretrain_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """Mix, encode with single bytes, batch and pad; shapes are compared."""
+    rows = pretrain_dataset(a.blend_sources(spark, folder), a.MIX_WEIGHTS, k.Vocabulary([]), MAX_LENGTH, seed=SEED)
+    return rows.select("source", "key", "position", "batch_id", "n_tokens", F.size("input_ids").alias("width"))
+
+
+SFT_WEIGHTS = {"prompt": 0.5, "instruction": 0.3, "text": 0.2}
+SFT_SOURCES = f"""{INSTRUCTIONS},
+sources AS (
+  SELECT 'prompt' AS source, conv_id * 1024 + turn AS key, {EXCHANGE_TEXT} AS text FROM exchanges
+  UNION ALL SELECT 'instruction', conv_id * 1024 + turn, {INSTRUCTION_TEXT} FROM instructions
+  UNION ALL SELECT 'text', doc_id, text FROM documents
+)"""
+
+
+@query(f"""
+WITH {SFT_SOURCES}, {mix_sql(SFT_WEIGHTS, SEED, sources=None)}
+SELECT source, key, text, position FROM mix WHERE position <= 10000 * 4 * 8
+""")
+def sft_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """Render three layouts, mix them, and apply the step limit of an unbounded run."""
+    key = (F.col("conv_id") * 1024 + F.col("turn")).alias("key")
+    frames = {
+        "prompt": a.exchanges(spark, folder).select(key, "prompt", "response"),
+        "instruction": a.instructions(spark, folder).select(key, "instruction", "input", "output"),
+        "text": table(spark, folder, "documents").select(F.col("doc_id").alias("key"), "text"),
+    }
+    return sft_dataset(frames, SFT_WEIGHTS, seed=SEED).select("source", "key", "text", "position")
+
+
+@query(f"WITH {FLAT} SELECT prompt, chosen, rejected FROM flat WHERE rejected IS NOT NULL")
+def preference_stage(spark: SparkSession, folder: str) -> DataFrame:
+    return preference_dataset(a.flat_pairs(spark, folder))

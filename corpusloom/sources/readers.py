@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from corpusloom.sources.catalogue import Source
 
@@ -63,6 +64,26 @@ def _split(df: DataFrame, source: Source) -> DataFrame:
     return df.where(F.col("split") == source.split).drop("split")
 
 
+ROWS_PER_FILE_BITS = 40
+
+
+def with_order_key(df: DataFrame, out: str = "key") -> DataFrame:
+    """Number the rows of a parquet scan in file order: by file name, then by place in the file.
+
+    Must be called on the scan itself. Only file names are gathered, one row per file, to give them numbers.
+    """
+    files = df.select(F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+    numbered = files.select(
+        "__file", (F.row_number().over(Window.orderBy("__file")).cast("bigint") - 1).alias("__number")
+    )
+    located = df.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+    return (
+        located.join(numbered, "__file")
+        .withColumn(out, F.shiftleft(F.col("__number"), ROWS_PER_FILE_BITS) + F.col("__row"))
+        .drop("__file", "__number", "__row")
+    )
+
+
 def columns_of(df: DataFrame) -> list[str]:
     """The columns of a source, known from its schema without reading a row."""
     return df.columns

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.sources import catalogue as c
-from corpusloom.sources.readers import Layout, columns_of, load_report, load_sources, scan
+from corpusloom.sources.readers import Layout, columns_of, load_report, load_sources, scan, with_order_key
 from corpusloom.sources.sinks import land
 
 
@@ -54,6 +54,15 @@ def test_formats_and_tables(spark, tmp_path):
     assert scan(spark, Layout("", tables=True), c.Source("known_source")).count() == 4
 
 
+def test_order_key_follows_the_files(spark, tmp_path):
+    for i, name in enumerate("cab"):
+        spark.range(i * 10, i * 10 + 10, 1, 1).write.parquet(str(tmp_path / "t" / f"part={name}"))
+    keyed = with_order_key(spark.read.parquet(str(tmp_path / "t")))
+    rows = sorted(keyed.collect(), key=lambda x: x.key)
+    assert [x.id for x in rows] == [*range(10, 20), *range(20, 30), *range(0, 10)]
+    assert keyed.columns == ["id", "part", "key"]
+
+
 @pytest.mark.filterwarnings("ignore:could not load")
 def test_failed_sources_are_skipped_or_replaced(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "good"))

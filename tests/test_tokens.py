@@ -215,3 +215,27 @@ def test_map_batches(spark):
 
     df = spark.createDataFrame([(i,) for i in range(20)], "v bigint").repartition(3)
     assert sorted(x.v for x in b.map_batches(df, double, "v bigint").collect()) == list(range(0, 40, 2))
+
+
+def test_pretrain_dataset_packs_in_mix_order(spark):
+    from corpusloom.operators.mixing import interleave, union_sources
+    from corpusloom.plans.datasets import preference_dataset, pretrain_dataset
+
+    frames = {
+        "a": spark.createDataFrame([(i, f"a{i}") for i in range(40)], "key bigint, content string"),
+        "b": spark.createDataFrame([(i, f"b{i}") for i in range(30)], "key bigint, text string"),
+    }
+    weights, plain = {"a": 0.6, "b": 0.4}, k.Vocabulary([])
+    chunks = sorted(pretrain_dataset(frames, weights, plain, 16, packed=True).collect())
+    texts = {n: df.toDF("key", "text") for n, df in frames.items()}
+    mixed = sorted(interleave(union_sources(texts), weights, 42, position="p").collect(), key=lambda x: x.p)
+    ids = plain.byte_ids()
+    assert [t for x in chunks for t in x.input_ids] == [t for x in mixed for t in [*(ids[c] for c in x.text.encode()), 2]]
+    assert preference_dataset(None, spark).count() == 300
+
+
+def test_training_sample(spark):
+    df = spark.createDataFrame([(i, "ab" if i < 10 else "cd") for i in range(100)], "id bigint, text string")
+    a, b_, c, d = (k.Vocabulary([]).byte_ids()[x] for x in b"abcd")
+    assert k.train_vocabulary(df, key="id", sample_size=10, vocab_size=300).merges == [(a, b_)]
+    assert k.train_vocabulary(df, vocab_size=300).merges == [(c, d), (a, b_)]
