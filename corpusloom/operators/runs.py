@@ -251,16 +251,27 @@ def latest_checkpoint(checkpoints: DataFrame, run: str = "run", path: str = "pat
     return latest.where(F.lit(not overwrite))
 
 
-def checkpoint_records(checkpoints: DataFrame, folder: Column, step: Column, saved_at: Column, metric_names: Sequence[str]):
-    """Metadata rows of saved checkpoints; a checkpoint without a step is named by its time."""
+def checkpoint_records(
+    checkpoints: DataFrame,
+    folder: Column,
+    step: Column,
+    saved_at: Column,
+    metric_names: Sequence[str],
+    model_size: Column | None = None,
+) -> DataFrame:
+    """Metadata rows of saved checkpoints; a checkpoint without a step is named by its time.
+
+    Metrics without a value are left out of the map. ``model_size`` may hold the columns of ``size_rollup`` as a struct.
+    """
     by_time = F.date_format(saved_at, "yyyyMMdd_HHmmss")
     pairs = [item for m in metric_names for item in (F.lit(m), F.col(m).cast("double"))]
-    return checkpoints.select(
+    rows = [
         F.concat(folder, F.lit("/checkpoint-"), F.coalesce(step.cast("string"), by_time)).alias("path"),
         step.cast("bigint").alias("step"),
         saved_at.alias("saved_at"),
         F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("metrics"),
-    )
+    ]
+    return checkpoints.select(*rows, *([model_size.alias("model_size")] if model_size is not None else []))
 
 
 def save_checkpoint_records(records: DataFrame, path: str) -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ordering import first_n
-from corpusloom.session import shared_dir
+from corpusloom.session import scratch_path
 
 # Fixed value: the published GPT-2 pre-tokenization pattern.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,7 +36,7 @@ SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
 SAMPLE_SIZE = 1_000_000
 PAIRS_PER_ROUND = 512
 CACHED_WORDS = 500_000
-MERGES_PER_CHECKPOINT = 16
+MERGES_PER_TABLE = 16
 
 
 def byte_characters() -> list[str]:
@@ -175,39 +175,41 @@ def as_symbols(word: Column, byte_ids: Sequence[int]) -> Column:
 
 
 def pair_counts(words: DataFrame, symbols: str = "symbols", freq: str = "freq") -> DataFrame:
-    """Weighted counts of adjacent symbol pairs."""
-    chars = words.select(F.split(symbols, "").alias("c"), freq)
-    return _sum_pairs(chars.select(F.explode(_neighbours("c", F.col(freq))).alias("p")))
+    """Weighted counts of adjacent symbol pairs; a pair is a string of two symbols."""
+    chars = words.select(F.split(symbols, "").alias("new"), F.col(freq).alias("freq"))
+    return _total(_weighted_pairs(chars.withColumn("old", F.array().cast("array<string>"))))
 
 
-def _neighbours(chars: str, weight: Column) -> Column:
-    """``(pair, weight)`` for adjacent entries of an array of symbols."""
-    ahead = F.slice(chars, F.lit(2), F.greatest(F.size(chars) - 1, F.lit(0)))
-    return F.transform(
-        ahead, lambda right, i: F.struct(F.concat(F.get(chars, i), right).alias("pair"), weight.alias("freq"))
-    )
+def _weighted_pairs(chars: DataFrame) -> DataFrame:
+    """Adjacent entries of ``old`` with weight ``-freq`` and of ``new`` with weight ``freq``."""
+
+    def side(column: str, first: int) -> Column:
+        return F.slice(column, F.lit(first), F.greatest(F.size(column) - 1, F.lit(0)))
 
+    lefts, rights = F.concat(side("old", 1), side("new", 1)), F.concat(side("old", 2), side("new", 2))
+    listed = chars.select("freq", (F.size("old") - 1).alias("lost"), F.posexplode(F.arrays_zip(lefts.alias("l"), rights.alias("r"))))
+    weight = F.when(F.col("pos") < F.col("lost"), -F.col("freq")).otherwise(F.col("freq"))
+    return listed.select(F.concat("col.l", "col.r").alias("pair"), weight.alias("freq"))
 
-def _sum_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy(F.col("p.pair").alias("pair")).agg(F.sum("p.freq").alias("freq"))
+
+def _total(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("pair").agg(F.sum("freq").alias("freq"))
 
 
 def apply_merges(symbols: str, merges: Sequence[tuple[str, str]]) -> Column:
-    """The word after some merges, in order."""
-    text = symbols
-    for pair, new in merges:
-        text = f"replace({text}, '{pair}', '{new}')"
-    return F.expr(text)
+    """The word after some merges, in order.
+
+    The merges are one array literal, which is data to the compiled plan: rounds with more or fewer of them share code.
+    """
+    listed = ", ".join(f"named_struct('pair', '{pair}', 'new', '{new}')" for pair, new in merges)
+    return F.expr(f"aggregate(array({listed}), {symbols}, (word, m) -> replace(word, m.pair, m.new))")
 
 
 def updated_pair_counts(counts: DataFrame, words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
     """Pair counts after some merges: only words that change lose their old pairs and get their new ones."""
     changed = words.select("symbols", apply_merges("symbols", merges).alias("now"), "freq").where("symbols != now")
     chars = changed.select(F.split("symbols", "").alias("old"), F.split("now", "").alias("new"), "freq")
-    change = F.concat(_neighbours("old", -F.col("freq")), _neighbours("new", F.col("freq")))
-    return _sum_pairs(
-        counts.select(F.struct("pair", "freq").alias("p")).unionByName(chars.select(F.explode(change).alias("p")))
-    )
+    return _total(counts.unionByName(_weighted_pairs(chars)))
 
 
 def independent_prefix(pairs: Sequence[str], room: int) -> list[str]:
@@ -238,19 +240,20 @@ def train_merges(
 ) -> Vocabulary:
     """Merges from a table ``word, freq``: each time the most frequent pair, ties to the smaller left, then right id.
 
-    Every round counts all pairs on the cluster and applies a whole head of the ranking at once. The word table is
-    checkpointed as merges pile up, which cuts the lineage and survives lost executors.
+    Every round counts all pairs on the cluster and applies a whole head of the ranking at once. Word table and pair
+    counts are written to the shared folder as merges pile up.
     """
-    spark = words.sparkSession
-    shared_dir(spark)
-    base = Vocabulary([], tuple(reserved))
     if vocab_size > SYMBOL_LIMIT:
         raise ValueError(f"vocab_size may be at most {SYMBOL_LIMIT}")
+    base = Vocabulary([], tuple(reserved))
     size = len(base.names)
     merges: list[tuple[int, int]] = []
-    table = _settled(words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq"))
-    counts = pair_counts(table).checkpoint()
+    folder = scratch_path(words.sparkSession, "merges")
+    table = words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq")
+    table = _landed(_dealt(table), f"{folder}/words-0")
+    counts = _landed(pair_counts(table), f"{folder}/pairs-0")
     pending: list[tuple[str, str]] = []
+    generation = 0
     while size < vocab_size:
         now = updated_pair_counts(counts, table, pending) if pending else counts
         ranked = (
@@ -262,9 +265,12 @@ def train_merges(
         head = independent_prefix([r["pair"] for r in ranked], vocab_size - size)
         if not head:
             break
-        if len(pending) >= MERGES_PER_CHECKPOINT:
-            counts = now.where(F.col("freq") > 0).checkpoint()
-            table = _settled(table.select(apply_merges("symbols", pending).alias("symbols"), "freq"))
+        if len(pending) >= MERGES_PER_TABLE:
+            # Two folders take turns: one is read while the other is replaced.
+            generation = 1 - generation
+            merged = table.select(apply_merges("symbols", pending).alias("symbols"), "freq")
+            counts = _landed(now.where(F.col("freq") > 0), f"{folder}/pairs-{generation}")
+            table = _landed(_dealt(merged), f"{folder}/words-{generation}")
             pending = []
         for pair in head:
             merges.append((symbol_id(pair[0]), symbol_id(pair[1])))
@@ -273,14 +279,20 @@ def train_merges(
     return Vocabulary(merges, tuple(reserved))
 
 
-def _settled(table: DataFrame) -> DataFrame:
-    """The word table in the shared checkpoint folder; words of a single symbol have no pairs and are left out.
+def _landed(df: DataFrame, path: str) -> DataFrame:
+    """The frame as a table in the shared folder, which ends its lineage and outlives any executor."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
-    Rows are dealt out again, since the size of the table has little to do with that of the corpus.
+def _dealt(words: DataFrame) -> DataFrame:
+    """Words dealt out evenly, since the size of the table has little to do with that of the corpus.
+
+    Words of a single symbol have no pairs and are left out.
     """
-    spark = table.sparkSession
+    spark = words.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return table.where(F.length("symbols") > 1).repartition(tasks, "symbols").checkpoint()
+    return words.where(F.length("symbols") > 1).repartition(tasks, "symbols")
 
 
 def train_vocabulary(
@@ -341,21 +353,22 @@ def vocab_size_check(vocab: DataFrame, declared: int) -> DataFrame:
 
 
 def merge_word(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges to one word, lowest rank first."""
-    while len(symbols) > 1:
-        best = min(zip(symbols, symbols[1:]), key=lambda p: ranks[p][0] if p in ranks else len(ranks))
-        if best not in ranks:
-            break
-        new, out, i = ranks[best][1], [], 0
+    """Apply merges ``pair -> (rank, new symbol)`` to one word, lowest rank first."""
+    while True:
+        pairs = list(zip(symbols, symbols[1:]))
+        best = min([ranks[p] for p in pairs if p in ranks], default=None)
+        if best is None:
+            return symbols
+        chosen = next(p for p in pairs if ranks.get(p) == best)
+        out, i = [], 0
         while i < len(symbols):
-            if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best:
-                out.append(new)
+            if i < len(pairs) and pairs[i] == chosen:
+                out.append(best[1])
                 i += 2
             else:
                 out.append(symbols[i])
                 i += 1
         symbols = out
-    return symbols
 
 
 def encode(

@@ -186,12 +186,19 @@ def single_prompt(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT conv_id, turn, part, prompt FROM (
+WITH pieces AS (
   SELECT conv_id, turn, {PART}, role,
-    string_agg(CASE WHEN role = 'user' THEN '<|user|>' ELSE '<|assistant|>' END || {NL} || text || '<|end|>' || {NL}, '')
-      OVER (PARTITION BY conv_id ORDER BY turn) || '<|assistant|>' || {NL} AS prompt
+    CASE WHEN role = 'user' THEN '<|user|>' ELSE '<|assistant|>' END || {NL} || text || '<|end|>' || {NL} AS piece
   FROM conversations
-) WHERE role = 'user'
+),
+wholes AS (SELECT conv_id, part, string_agg(piece, '' ORDER BY turn) AS whole FROM pieces GROUP BY conv_id, part),
+own AS (
+  SELECT conv_id, turn, part, role, string_agg(piece, '') OVER (PARTITION BY conv_id, part ORDER BY turn) AS prompt FROM pieces
+)
+SELECT conv_id, turn, part, prompt || '<|assistant|>' || {NL} AS prompt FROM own WHERE role = 'user'
+UNION ALL
+SELECT p.conv_id, p.turn, w.part, w.whole FROM pieces p JOIN wholes w ON w.conv_id = p.conv_id AND w.part < p.part
+WHERE p.role = 'user'
 """)
 def history_prompts(spark: SparkSession, folder: str) -> DataFrame:
     return r.history_prompts(table(spark, folder, "conversations"))

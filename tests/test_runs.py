@@ -1,4 +1,3 @@
-import json
 import math
 import random
 
@@ -185,4 +184,5 @@ def test_checkpoint_records(spark, tmp_path):
     got = {x.path: x.metrics for x in spark.read.parquet(str(tmp_path / "c")).collect()}
     assert got == {"out/checkpoint-5": {"loss": 0.5}, "out/checkpoint-20240102_030405": {"acc": 1.0}}
     assert spark.read.parquet(str(tmp_path / "c")).count() == 4
-    assert json.dumps(got)
+    sized = u.checkpoint_records(df, F.lit("out"), F.col("step"), F.col("ts"), ["loss"], F.struct(F.lit(7).alias("total_params")))
+    assert sized.first().model_size.total_params == 7
