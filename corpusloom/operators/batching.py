@@ -63,7 +63,9 @@ def collate(df: DataFrame, pad_id: int, batch: str = "batch_id", ids: str = "inp
     )
 
 
-def collate_groups(df: DataFrame, pad_id: int, batch: str = "batch_id", key: str = "key", ids: str = "input_ids") -> DataFrame:
+def collate_groups(
+    df: DataFrame, pad_id: int, batch: str = "batch_id", key: str = "key", ids: str = "input_ids"
+) -> DataFrame:
     """One row per batch with the padded matrix, by a function over the rows of the batch (fixed in number)."""
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:

@@ -58,12 +58,11 @@ def messages_text(df: DataFrame, column: str = "messages") -> Column:
 
 def _plain_turns(df: DataFrame, column: str, role: str, content: str) -> Column:
     fields = element_fields(df, column)
-    return joined(
-        F.transform(
-            column,
-            lambda t: plain_turn(F.lower(first_field(t, fields, (role,), "user")), first_field(t, fields, (content,), "")),
-        )
-    )
+
+    def turn(t: Column) -> Column:
+        return plain_turn(F.lower(first_field(t, fields, (role,), "user")), first_field(t, fields, (content,), ""))
+
+    return joined(F.transform(column, turn))
 
 
 def prompt_response_text() -> Column:

@@ -243,12 +243,14 @@ def checkpoint_retention(
     ).drop("kept")
 
 
-def latest_checkpoint(checkpoints: DataFrame, run: str = "run", path: str = "path", overwrite: bool = False) -> DataFrame:
+def latest_checkpoint(
+    checkpoints: DataFrame, run: str = "run", path: str = "path", overwrite: bool = False
+) -> DataFrame:
     """Per run the checkpoint with the highest step; none when the run is to be overwritten."""
     found = checkpoints.withColumn("step", checkpoint_step(F.col(path))).where(F.col("step").isNotNull())
-    last = F.max(F.struct("step", path)).alias("last")
-    latest = found.groupBy(run).agg(last).select(run, F.col(f"last.{path}").alias(path), F.col("last.step").alias("step"))
-    return latest.where(F.lit(not overwrite))
+    last = F.struct(F.col("step").alias("s"), F.col(path).alias("p"))
+    latest = found.groupBy(run).agg(F.max(last).alias("last"))
+    return latest.select(run, F.col("last.p").alias(path), F.col("last.s").alias("step")).where(F.lit(not overwrite))
 
 
 def checkpoint_records(

@@ -187,7 +187,8 @@ def _weighted_pairs(chars: DataFrame) -> DataFrame:
         return F.slice(column, F.lit(first), F.greatest(F.size(column) - 1, F.lit(0)))
 
     lefts, rights = F.concat(side("old", 1), side("new", 1)), F.concat(side("old", 2), side("new", 2))
-    listed = chars.select("freq", (F.size("old") - 1).alias("lost"), F.posexplode(F.arrays_zip(lefts.alias("l"), rights.alias("r"))))
+    zipped = F.arrays_zip(lefts.alias("l"), rights.alias("r"))
+    listed = chars.select("freq", (F.size("old") - 1).alias("lost"), F.posexplode(zipped))
     weight = F.when(F.col("pos") < F.col("lost"), -F.col("freq")).otherwise(F.col("freq"))
     return listed.select(F.concat("col.l", "col.r").alias("pair"), weight.alias("freq"))
 
@@ -400,7 +401,10 @@ def encode(
         def ids_of(word: str) -> list[int]:
             found = known.get(word)
             if found is None:
-                found = [reserved[word]] if word in reserved else merge_word([byte_ids[b] for b in word.encode()], ranks)
+                if word in reserved:
+                    found = [reserved[word]]
+                else:
+                    found = merge_word([byte_ids[b] for b in word.encode()], ranks)
                 if len(known) < CACHED_WORDS:
                     known[word] = found
             return found

@@ -105,11 +105,12 @@ _BYTE_IDS = k.Vocabulary([]).byte_ids()
 
 
 @query(f"""
-WITH hexed AS (SELECT doc_id, hex(encode(text)) AS h FROM documents),
-bytes AS (SELECT doc_id, list_transform(range(0, CAST(length(h) // 2 AS BIGINT)),
-  lambda i: {_BYTE_IDS}[CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS INT) + 1]) AS ids FROM hexed)
-SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, {joined_sql(f'ids[1:{MAX_LENGTH}]')} AS input_ids,
-  CAST(least(len(ids), {MAX_LENGTH}) AS BIGINT) AS attended FROM bytes
+WITH hexed AS (SELECT doc_id, regexp_extract_all(hex(encode(text)), '..') AS h FROM documents),
+coded AS (SELECT doc_id, unnest(h) AS b, unnest(range(0, len(h))) AS i FROM hexed),
+ids AS (SELECT * FROM (VALUES {", ".join(f"('{b:02X}', {i})" for b, i in enumerate(_BYTE_IDS))}) t(b, id))
+SELECT doc_id, count(*) AS n_tokens, string_agg(id, ',' ORDER BY i) FILTER (WHERE i < {MAX_LENGTH}) AS input_ids,
+  count(*) FILTER (WHERE i < {MAX_LENGTH}) AS attended
+FROM coded JOIN ids USING (b) GROUP BY doc_id
 """)
 def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding with a vocabulary of single bytes, cut to the sequence length."""

@@ -36,7 +36,7 @@ PRETRAIN_BLEND = (("cc_v2.1", 0.5), ("code_v2", 0.2), ("math_v1", 0.15), ("speci
 SPECIALIZED_CONFIG = "Nemotron-Pretraining-Wiki-Rewrite"
 SAMPLE_CONFIG = "Nemotron-CC-High-Quality"
 
-# Fine-tuning blend (subset key, source key, weight, split, streamed) and the subsets made of several keys.
+# Fine-tuning blend (subset key, source key, weight, split, streamed), and subsets made of several keys.
 SFT_BLEND = (
     ("chat", "instruction_chat", 0.3, "chat_if", True),
     ("math", "math_v2", 0.25, "train", True),
@@ -131,4 +131,5 @@ def _custom_sft(name: str, subset: str | None, streaming: bool) -> Source:
         config = "default"
     if subset and (restricted or POST_TRAINING_V1.split("/")[1] in name):
         split = subset
-    return Source(name, streaming=streaming, split=split, config_name=config, fallback_name=FALLBACKS.get(POST_TRAINING_V2) if restricted else None)
+    fallback = FALLBACKS[POST_TRAINING_V2] if restricted else None
+    return Source(name, streaming=streaming, split=split, config_name=config, fallback_name=fallback)
