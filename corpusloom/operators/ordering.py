@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 from corpusloom.functions.hashing import digest_integer, seeded_digest
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 16_384
+SAMPLED_PER_BUCKET = 64
 SHUFFLE_DIGITS = 3  # 16**3 buckets for hash order
 
 _BUCKET = "__bucket"
@@ -27,8 +28,8 @@ _BUCKET = "__bucket"
 def key_bounds(df: DataFrame, key: str, rows_per_bucket: int | None = None, rows: int | None = None) -> list:
     """Cut points that split a numeric order key into buckets of about ``rows_per_bucket`` rows.
 
-    One aggregate over one column; the driver receives at most ``MAX_BUCKETS`` numbers. The cuts are approximate
-    quantiles, which only steers the balance of the work.
+    They are quantiles of a sample that is chosen by hash, of a fixed number of keys per bucket, so the pass stays cheap
+    for any input. The driver receives at most ``MAX_BUCKETS`` numbers. The cuts only steer the balance of the work.
     """
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     if rows is None:
@@ -36,22 +37,26 @@ def key_bounds(df: DataFrame, key: str, rows_per_bucket: int | None = None, rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
     if buckets <= 1:
         return []
-    points = [F.lit(i / buckets) for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(key, F.array(*points), F.lit(max(10_000, 4 * buckets)))).first()[0]
+    every = max(1, rows // (buckets * SAMPLED_PER_BUCKET))
+    sample = df.select(key) if every == 1 else df.select(key).where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
+    points = _constants([i / buckets for i in range(1, buckets)], "double")
+    cuts = sample.agg(F.percentile_approx(key, points, F.lit(max(10_000, 4 * buckets)))).first()[0]
     return sorted(set(cuts or []))
 
 
+def _constants(values: Sequence, kind: str) -> Column:
+    """An array of constants, written as one string that the optimizer turns into a literal."""
+    return F.split(F.lit(",".join(str(v) for v in values)), ",").cast(f"array<{kind}>")
+
+
 def bucket_of(key: Column, bounds: Sequence) -> Column:
     """How many cut points are <= key: a binary search inside one expression."""
     if not bounds:
         return F.lit(0)
-    cuts = F.array(*[F.lit(b) for b in bounds])
-    steps, step = [], 1
-    while step <= len(bounds):
-        steps.append(step)
-        step *= 2
+    cuts = _constants(bounds, "bigint" if all(isinstance(b, int) for b in bounds) else "double")
+    steps = [1 << i for i in range(len(bounds).bit_length())]
     return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]),
+        _constants(reversed(steps), "int"),
         F.lit(0),
         lambda low, s: F.when(F.get(cuts, low + s - 1) <= key, low + s).otherwise(low),
     )
