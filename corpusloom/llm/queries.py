@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import hilbert, line_dedup, quality_rules, url_filter
+from corpusloom.llm import hilbert, importance, language, leaks, line_dedup, packing, quality_rules, url_filter
 from corpusloom.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
+@query()
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query()
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("""
     WITH lines AS (
         SELECT doc_id, pos, line, lower_ascii AS key FROM (
@@ -50,6 +60,11 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), with_ids=False)
+
+
 def _url_sql() -> str:
     """The rules and ten rounds of both walks, each round a table of its own."""
     fits = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
@@ -95,3 +110,8 @@ def _url_sql() -> str:
 @query(_url_sql())
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"), URL_RULES)
+
+
+@query()
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.marked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
