@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import hilbert, importance, language, leaks, line_dedup, packing, quality_rules, url_filter
+from corpusloom.llm import hilbert, importance, language, leaks, line_dedup, near_dup, packing, quality_rules, url_filter
 from corpusloom.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -16,6 +16,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+@query()
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "labels"))
