@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import hilbert, importance, language, leaks, line_dedup, near_dup, packing, quality_rules, url_filter
+from corpusloom.llm import hilbert, html_text, importance, language, leaks, line_dedup, near_dup, packing, quality_rules, url_filter
 from corpusloom.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
 @query()
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
