@@ -8,7 +8,7 @@ Spark's skew handling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import landed
@@ -24,17 +24,19 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
         new = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         new = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return landed(new.where("u <> v").distinct(), "star")
+    return new.where("u <> v").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """Rows ``(u, v)``: every linked vertex but the smallest of its component, and that smallest one."""
     pairs = landed(pairs.where("u <> v").select("u", "v").distinct(), "links")
-    mark = (F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))))
     seen = None
     while True:
-        pairs = _star(_star(pairs, True), False)
-        now = tuple(pairs.agg(*mark).first())
-        if now == seen:
+        mark = Observation()  # counted while the step is written
+        step = _star(landed(_star(pairs, True), "star"), False).observe(
+            mark, F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))).alias("sum")
+        )
+        pairs, now = landed(step, "star"), mark.get
+        if now == seen or not now["n"]:
             return pairs
         seen = now

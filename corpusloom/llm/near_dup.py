@@ -5,16 +5,17 @@ linked if ``100 * intersection >= percent * union``.
 
 1. Each set becomes ``TOKENS`` minwise tokens. Equal sets are one class from here on, so exact copies cost nothing further.
 2. Each of ``TREES`` independent trees deals the classes to nodes by its first token. Nodes of more than ``LEAF`` classes branch
-   again by further tokens, level by level: twice by two tokens each and then by one, chosen by the node.
-3. Small nodes are compared exhaustively, first by their tokens (a pair whose tokens agree five standard deviations too
+   again by further tokens, level by level; which token is drawn by the node.
+3. Small nodes are compared exhaustively, first by their tokens (a pair whose tokens agree four standard deviations too
    rarely is not linked) and what remains by whole sets. A node hands on one link per member, not its pairs.
 4. What no token divides are classes that agree in all tokens of their path. Such a node is compared with one member at
    a time, in chunks; by the triangle inequality of the Jaccard distance, members that cannot be linked with any
    remaining one leave. This goes on until the node is small, so it is exact and needs no all-pairs step.
 5. The links' connected components are the result.
 
-A pair of similarity s is missed by a tree of one level with probability 1 - s; eight trees miss 3 of 10 million pairs at 0.85,
-and 1 of 1000 in nodes that branch four times more. ``TREES`` sets the recall. Later trees only look at nodes with documents of several components.
+A pair of similarity s stays together in a tree that branches n times with probability ``s ** n``. At 0.85, ten trees miss 6 of a
+billion pairs in nodes that are small at once, and 1 of 100 in nodes that have to branch four times more; at 0.95 those
+are 1 of a million. ``TREES`` sets the recall. Later trees only look at nodes with documents of several components.
 
 Defined results: documents without words are linked with nothing; fewer than five words are one shingle; rows that share a
 doc_id are one document; rows with a NULL doc_id are linked with nothing and have a NULL component; an empty table gives an
@@ -36,11 +37,10 @@ from corpusloom.llm.common import landed, shuffle_parts, travels
 from corpusloom.llm.components import components
 
 WORDS, PERCENT = 5, 85
-TREES, TOKENS, PER_LEVEL, LEAF = 8, 64, 7, 256
+TREES, TOKENS, PER_LEVEL, LEAF = 10, 64, 6, 1024
 LEVELS = (TOKENS - TREES) // PER_LEVEL
-WIDE_LEVELS = 2  # levels at which a node branches by two tokens
-FIRST_TREES = 3  # trees whose links are found before the others are looked at
-BROADCAST_IDS = 1_000_000
+FIRST_TREES = 2  # trees whose links are found before the others are looked at
+BROADCAST_ROWS = 1_000_000
 MOST_CACHED = 200_000
 
 travels(__name__)
@@ -149,21 +149,18 @@ def tree_leaves(classes: DataFrame, trees: range) -> tuple[DataFrame, DataFrame]
     for level in range(LEVELS):
         if large.isEmpty():
             break
-        first = TREES + level * PER_LEVEL
-        picks = [F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(PER_LEVEL))]
-        if level < WIDE_LEVELS:
-            picks.append((picks[0] + 1 + F.pmod(F.xxhash64(F.lit(-1 - level), "node"), F.lit(PER_LEVEL - 1))) % PER_LEVEL)
-        children = F.array(*[F.xxhash64("node", p, F.get("tokens", (p + first).cast("int"))) for p in picks])
-        rows = landed(large.join(classes.select("doc", "tokens"), "doc").select(F.explode(children).alias("node"), "doc").distinct(), "children")
+        pick = TREES + level * PER_LEVEL + F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(PER_LEVEL))
+        child = F.xxhash64("node", F.get("tokens", pick.cast("int")))
+        rows = landed(large.join(classes.select("doc", "tokens"), "doc").select(child.alias("node"), "doc"), "children")
         small, large = split(rows, sizes_of(rows))
         leaves = leaves.unionByName(small)
     return leaves, large
 
 
 def agreeing(percent: int) -> int:
-    """Tokens of a linked pair that agree, at the least: five standard deviations below the mean."""
+    """Tokens of a linked pair that agree, at the least: four standard deviations below the mean."""
     p = percent / 100
-    return max(1, math.floor(TOKENS * p - 5 * math.sqrt(TOKENS * p * (1 - p))))
+    return max(1, math.floor(TOKENS * p - 4 * math.sqrt(TOKENS * p * (1 - p))))
 
 
 def likely(leaves: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -231,12 +228,14 @@ def stars(docs: np.ndarray, found: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(doc, text)`` of some documents; the ids are broadcast up to a checked number."""
-    some = ids.select("doc").distinct()
-    if some.count() <= BROADCAST_IDS:
-        some = F.broadcast(some)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text")).join(some, "doc")
+def with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Add the text to rows ``(doc, …)``. Up to a checked number the rows are broadcast, and texts move once, to their node."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+    rest = [c for c in rows.columns if c != "doc"]
+    places = rows.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("places"))
+    if rows.count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    return texts.join(places, "doc").select("doc", "text", F.explode("places").alias("p")).select("doc", "text", "p.*")
 
 
 def leaf_links(rows: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -253,8 +252,7 @@ def leaf_links(rows: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             return None
         return pa.record_batch([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["u", "v"])
 
-    joined = rows.join(texts_of(docs, rows), "doc").select("node", "doc", "text")
-    return in_groups(joined, "node", compare, "u bigint, v bigint")
+    return in_groups(with_texts(rows, docs), "node", compare, "u bigint, v bigint")
 
 
 def distances(rows: DataFrame, pivots: DataFrame, docs: DataFrame) -> DataFrame:
@@ -263,13 +261,12 @@ def distances(rows: DataFrame, pivots: DataFrame, docs: DataFrame) -> DataFrame:
     A node is cut into chunks of about ``LEAF`` members, and each chunk gets the pivot's text as one more row.
     """
     chunks = F.ceil(F.col("size") / LEAF)
-    texts = landed(texts_of(docs, rows.select("doc").unionByName(pivots.select(F.col("pivot").alias("doc")))), "texts")
     members = rows.withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks)).select("node", "doc", "chunk", F.lit(False).alias("is_pivot"))
     sizes = rows.select("node", "size").distinct()
     heads = pivots.join(sizes, "node").select(
         "node", F.col("pivot").alias("doc"), F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk"), F.lit(True).alias("is_pivot")
     )
-    both = members.unionByName(heads).join(texts, "doc").withColumn("part", F.xxhash64("node", "chunk"))
+    both = landed(members.unionByName(heads).withColumn("part", F.xxhash64("node", "chunk")), "members")
 
     def compare(group: pa.Table) -> pa.RecordBatch | None:
         shingles = Shingler()
@@ -286,7 +283,7 @@ def distances(rows: DataFrame, pivots: DataFrame, docs: DataFrame) -> DataFrame:
                     out.append((node, r["doc"], pivot["doc"], common, len(first) + len(values) - common))
         return pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in range(5)], ["node", "doc", "pivot", "common", "total"])
 
-    return in_groups(both, "part", compare, "node bigint, doc bigint, pivot bigint, common bigint, total bigint")
+    return in_groups(with_texts(both, docs), "part", compare, "node bigint, doc bigint, pivot bigint, common bigint, total bigint")
 
 
 def pivot_links(large: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
