@@ -88,7 +88,8 @@ def shards(docs: DataFrame, cells: Sequence[Column], count: int, group: Column,
     """Add ``shard`` (0 to ``count`` - 1) and ``slot`` (from 0 within the shard). Rows of one ``group`` stay in one run."""
     rows = docs.select(*[c for c in docs.columns if c not in ("shard", "slot")], hilbert_index(cells, bits).alias("__own"), group.alias("__group"))
     rows = landed(rows, "cells")
-    first = rows.groupBy("__group").agg(F.min("__own").alias("__cell"))
+    # Landed, so that both sides of the join are dealt out for it alone and Spark may split a text that most rows share.
+    first = landed(rows.groupBy("__group").agg(F.min("__own").alias("__cell")), "groups")
     placed, total = ranked(rows.drop("__own").join(first, "__group"), ["__cell", "__group", tie], "__rank", "curve")
     shard = F.expr(f"__rank * {count} div {max(1, total)}")
     first_rank = F.expr(f"(shard * {max(1, total)} + {count - 1}) div {count}")
