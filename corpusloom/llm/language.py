@@ -70,11 +70,13 @@ def held_out(doc_id: Column) -> Column:
 def training_spectra(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[int]]]:
     """Language and spectrum of the chosen training texts; at most two per chosen document."""
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
-    # Spark keeps the first rows of each language before it shuffles, so a frequent language is no hot key.
+    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("__rows")).orderBy(F.desc("__rows"), "lang").limit(MOST_LANGUAGES)
+    # About twice the wanted number passes by its hash, so that the window below is small for any language.
+    chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    ids = known.select("doc_id", "lang").join(F.broadcast(frequent), "lang").where(chance * F.col("__rows") < 2 * per_language + 50)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").distinct().withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= per_language)
-    chosen = ids.join(F.broadcast(frequent), "lang").select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
+    ranks = ids.select("doc_id", "lang").distinct().withColumn("__n", F.row_number().over(first))
+    chosen = ranks.where(F.col("__n") <= per_language).select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
     texts = known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
     once = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
