@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import uniform
-from corpusloom.llm.common import ranked, travels
+from corpusloom.llm.common import landed, ranked, travels
 
 BUCKETS, LABELLED_ROWS, PRIOR, TEMPERATURE, SEED = 1 << 17, 20_000, 5.0, 0.003, 17
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -126,7 +126,8 @@ def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, te
     """
     target, found = good_labels(labels)
     share = (found or 1.0) if share is None else share
-    rows = weighed(docs, log_ratios(*gram_counts(docs, target)))
+    # Landed: range partitioning reads its input twice.
+    rows = landed(weighed(docs, log_ratios(*gram_counts(docs, target))), "weights")
     noise = -F.log(-F.log(uniform(seed, F.coalesce("doc_id", "text_hash"))))
     keyed = rows.withColumn("gumbel_key", F.col("log_weight") / F.greatest("n_grams", F.lit(1)) / temperature + noise).withColumn("__down", -F.col("gumbel_key"))
     placed, total = ranked(keyed, ["__down", "doc_id", "text_hash"], "__rank", "gumbel")
