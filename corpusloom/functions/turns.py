@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 TURNS_PER_PART = 1024
 
 
-def part_of(turn: str, turns_per_part: int = TURNS_PER_PART) -> Column:
-    return F.floor(F.col(turn) / F.lit(turns_per_part)).cast("bigint")
+def part_of(turn: str, turns_per_part: int | None = None) -> Column:
+    return F.floor(F.col(turn) / F.lit(turns_per_part or TURNS_PER_PART)).cast("bigint")
 
 
 def nest_turns(
@@ -25,7 +25,7 @@ def nest_turns(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int | None = None,
 ) -> DataFrame:
     """Rows ``(conv, part, column ARRAY<STRUCT<role_field, content_field>>)`` from one row per turn."""
     entry = F.struct(F.col(turn).alias("at"), F.col(role).alias("r"), F.col(text).alias("c"))

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions.hashing import uniform
-from corpusloom.operators.ordering import ROWS_PER_BUCKET, bucket_of, key_bounds, numbered, require_bounded
+from corpusloom.operators.ordering import bucket_count, bucket_of, key_bounds, numbered, require_bounded
 
 # Arrival gaps are whole multiples of 2**-20, so that sums do not depend on the order of addition.
 CLOCK_SCALE = float(1 << 20)
-POSITION_BUCKETS = 1024
 
 # Fixed value: steps of a streaming run that sets no limit.
 DEFAULT_STEPS = 10_000
@@ -123,7 +122,7 @@ def place_by_time(
     mixed: DataFrame, last: int, source: str, key: str, out: str, rows: int, rows_per_bucket: int | None = None
 ) -> DataFrame:
     """Add the place of every row by arrival time. Arrivals are spread evenly, so equal time slices are the buckets."""
-    slices = max(1, min(POSITION_BUCKETS, -(-rows // (rows_per_bucket or ROWS_PER_BUCKET))))
+    slices = bucket_count(mixed, rows, rows_per_bucket)
     width = max(1, -(-(last + 1) // slices))
     return numbered(mixed, ["t", source, key], out=out, bucket=F.floor(F.col("t") / F.lit(width)))
 
@@ -134,10 +133,13 @@ def row_budget(
     per_device_batch: int,
     accumulation: int = 1,
     replicas: int = 1,
-    unbounded: bool = True,
+    unbounded: bool = False,
     position: str = "position",
 ) -> DataFrame:
-    """Keep the rows that a run will consume. Without a step limit an unbounded source gets 10,000 steps."""
+    """Keep the rows that a run will consume: all of them without a step limit.
+
+    ``unbounded`` says that the run reads an endless stream; without a limit it gets 10,000 steps.
+    """
     if max_steps <= 0:
         if not unbounded:
             return mixed

@@ -18,23 +18,33 @@ from pyspark.sql.window import Window
 from corpusloom.functions.hashing import digest_integer, seeded_digest
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 16_384
+MAX_BUCKETS = 131_072  # at 100 TB a bucket holds less than 1 GB, which its task sorts with spilling
 SAMPLED_PER_BUCKET = 64
-SHUFFLE_DIGITS = 3  # 16**3 buckets for hash order
 
 _BUCKET = "__bucket"
 
 
-def key_bounds(df: DataFrame, key: str, rows_per_bucket: int | None = None, rows: int | None = None) -> list:
+def bucket_count(df: DataFrame, rows: int, rows_per_bucket: int | None = None) -> int:
+    """Into how many buckets some rows are cut: at least one per shuffle partition, and more for many rows.
+
+    Small and large inputs go the same way; only an input of a row or two has a single bucket.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(-(-rows // (rows_per_bucket or ROWS_PER_BUCKET)), min(parts, rows // 2))
+    return max(1, min(MAX_BUCKETS, wanted))
+
+
+def key_bounds(
+    df: DataFrame, key: str, rows_per_bucket: int | None = None, rows: int | None = None, buckets: int | None = None
+) -> list:
     """Cut points that split a numeric order key into buckets of about ``rows_per_bucket`` rows.
 
     They are quantiles of a sample that is chosen by hash, of a fixed number of keys per bucket, so the pass stays cheap
     for any input. The driver receives at most ``MAX_BUCKETS`` numbers. The cuts only steer the balance of the work.
     """
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     if rows is None:
         rows = df.where(F.col(key).isNotNull()).count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
+    buckets = buckets or bucket_count(df, rows, rows_per_bucket)
     if buckets <= 1:
         return []
     every = max(1, rows // (buckets * SAMPLED_PER_BUCKET))
@@ -118,12 +128,15 @@ def numbered(
 def seeded_shuffle(df: DataFrame, key: str, seed: int, out: str = "position") -> DataFrame:
     """Add the place of every row in a seeded random order: by digest of seed and key, then by key.
 
-    Digests are evenly spread, so their leading digits are the buckets and no quantile pass is needed. Only a bounded
-    frame can be shuffled.
+    Digests are evenly spread, so their leading digits are the buckets and no quantile pass is needed; their number follows
+    the number of rows. Only a bounded frame can be shuffled.
     """
     require_bounded(df, "a shuffle")
     hashed = df.withColumn("__digest", seeded_digest(seed, key))
-    bucket = digest_integer(F.col("__digest"), SHUFFLE_DIGITS)
+    buckets, digits = bucket_count(df, df.count()), 1
+    while 16**digits < buckets:
+        digits += 1
+    bucket = digest_integer(F.col("__digest"), digits)
     return numbered(hashed, ["__digest", key], out=out, bucket=bucket).drop("__digest")
 
 
@@ -134,11 +147,13 @@ def first_n(df: DataFrame, n: int, key: str, rows_per_bucket: int | None = None)
     predicate that reaches the scan, and are neither sorted nor moved.
     """
     require_bounded(df, "a first-N sample")
-    limit = rows_per_bucket or ROWS_PER_BUCKET
+    limit = rows_per_bucket or ROWS_PER_BUCKET  # keys alone, so a bucket of them is small
     if n <= 0:
         return df.where(F.lit(False))
-    keys, wanted = df.select(key).where(F.col(key).isNotNull()), n
-    while bounds := key_bounds(keys, key, limit):
+    known = df.where(F.col(key).isNotNull())  # a row without a key has no place
+    keys, wanted = known.select(key), n
+    while (rows := keys.count()) > limit:
+        bounds = key_bounds(keys, key, rows=rows, buckets=min(MAX_BUCKETS, -(-rows // limit)))
         sizes = {r[0]: r[1] for r in keys.groupBy(bucket_of(F.col(key), bounds)).count().collect()}
         chosen = None
         for b in sorted(sizes):
@@ -147,7 +162,7 @@ def first_n(df: DataFrame, n: int, key: str, rows_per_bucket: int | None = None)
                 break
             wanted -= sizes[b]
         if chosen is None:
-            return df
+            return known
         if chosen > 0:
             keys = keys.where(F.col(key) >= F.lit(bounds[chosen - 1]))
         if chosen < len(bounds):
@@ -155,7 +170,7 @@ def first_n(df: DataFrame, n: int, key: str, rows_per_bucket: int | None = None)
         if sizes[chosen] == sum(sizes.values()):
             break  # the cuts no longer narrow the range
     last, found = keys.orderBy(key).limit(wanted).agg(F.max(key), F.count(F.lit(1))).first()
-    return df if found < wanted else df.where(F.col(key) <= F.lit(last))
+    return known if found < wanted else df.where(F.col(key) <= F.lit(last))
 
 
 def require_bounded(df: DataFrame, what: str) -> None:

@@ -24,7 +24,7 @@ from corpusloom.functions.text import (
     strip,
     tag,
 )
-from corpusloom.functions.turns import TURNS_PER_PART, element_fields, first_field, part_of
+from corpusloom.functions.turns import element_fields, first_field, part_of
 
 # Column names that hold raw text, in order of preference.
 TEXT_COLUMNS = ("content", "text", "code", "input")
@@ -195,7 +195,7 @@ def history_prompts(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int | None = None,
 ) -> DataFrame:
     """For every user turn the prompt that holds all turns so far: rows ``(conv, turn, part, prompt)``.
 

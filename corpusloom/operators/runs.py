@@ -69,7 +69,8 @@ def metric_averages(
         if last_n <= 1000:
             chosen = metrics.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= last_n)
         else:
-            backwards = metrics.withColumn("__back", -F.col("step"))
+            # A value without a step is the oldest, as in the window above.
+            backwards = metrics.withColumn("__back", F.coalesce(-F.col("step"), F.lit((1 << 63) - 1)))
             chosen = numbered(backwards, ["__back"], ["key"], "age", rows_per_bucket).where(F.col("age") <= last_n)
     means = chosen.groupBy("key").agg(F.avg("value").alias("mean"))
     if keys is None:
@@ -114,13 +115,13 @@ def tensor_statistics(tensors: DataFrame, name: str = "name", values: str = "val
     x = F.col("x")
     infinite = x.isin(float("inf"), float("-inf"))
     stats = (
-        tensors.select(name, F.explode(values).alias("x"))
-        .select(name, F.col("x").cast("double").alias("x"))
+        tensors.select(name, F.posexplode_outer(values).alias("pos", "x"))  # a tensor without elements keeps its row
+        .select(name, "pos", F.col("x").cast("double").alias("x"))
         .groupBy(name)
         .agg(
-            F.count(F.lit(1)).alias("numel"),
-            F.max(F.isnan(x)).alias("has_nan"),
-            F.max(infinite).alias("has_inf"),
+            F.count("pos").alias("numel"),
+            F.coalesce(F.max(F.isnan(x)), F.lit(False)).alias("has_nan"),
+            F.coalesce(F.max(infinite), F.lit(False)).alias("has_inf"),
             F.avg("x").alias("mean"),
             F.stddev_samp("x").alias("std"),
         )

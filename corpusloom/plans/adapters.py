@@ -34,7 +34,10 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exchanges(spark: SparkSession, folder: str) -> DataFrame:
-    """User turns and the assistant turns that follow them directly. (conv_id, turn) is unique, so no key is hot."""
+    """User turns and the assistant turns that follow them directly. (conv_id, turn) is unique, so no key is hot.
+
+    A window over a conversation would need one scan less, but would gather a hot conversation in one task.
+    """
     turns = table(spark, folder, "conversations")
     asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("prompt"))
     answers = turns.where("role = 'assistant'").select(
@@ -84,6 +87,13 @@ def ab_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tagged_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their language as source, whatever it is, and the benchmark: each table is scanned once."""
+    docs = table(spark, folder, "documents").select(F.col("lang").alias("source"), F.col("doc_id").alias("key"), "text")
+    bench = table(spark, folder, "benchmark").select(F.lit("benchmark").alias("source"), F.col("item_id").alias("key"), "text")
+    return docs.unionByName(bench)
+
+
 def blend_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     docs = table(spark, folder, "documents")
     frames = {

@@ -61,8 +61,7 @@ mix AS (
 
 
 def mixed(spark: SparkSession, folder: str, position: str | None = None) -> DataFrame:
-    whole = m.union_sources(a.blend_sources(spark, folder))
-    return m.interleave(whole, a.MIX_WEIGHTS, SEED, position=position)
+    return m.interleave(a.tagged_sources(spark, folder), a.MIX_WEIGHTS, SEED, position=position)
 
 
 @query("SELECT doc_id, lang, n_chars FROM documents")
@@ -85,7 +84,7 @@ SELECT lang AS source, doc_id AS key, text FROM documents UNION ALL SELECT 'benc
 def land_sources(spark: SparkSession, folder: str) -> DataFrame:
     """The prepared blend, landed with one directory per source and read back."""
     path = scratch_path(spark, "landed")
-    land(m.union_sources(a.blend_sources(spark, folder)), path, partition_by="source")
+    land(a.tagged_sources(spark, folder), path, partition_by="source")
     return spark.read.parquet(path).select("source", "key", "text")
 
 
@@ -123,7 +122,7 @@ FROM {values_sql(BLEND_ROWS)} t(i, name, config_name, weight, source) JOIN count
 """)
 def blend_weights(spark: SparkSession, folder: str) -> DataFrame:
     """Default blend with two weights overridden, renormalised over the sources that have rows."""
-    whole = m.union_sources(a.blend_sources(spark, folder)).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    whole = a.tagged_sources(spark, folder).where(F.col("source").isin(list(a.MIX_WEIGHTS))).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     rows = {r["source"]: r["n"] for r in whole.collect()}
     blend = dict(zip(a.MIX_WEIGHTS, c.pretrain_blend(weights=WEIGHT_OVERRIDE), strict=True))
     shares = m.normalised({s: blend[s].weight for s in rows})
@@ -194,7 +193,7 @@ def text_pick(spark: SparkSession, folder: str) -> DataFrame:
         pick_text(docs.where(F.col("lang") == lang).select("doc_id", F.col("text").alias(name), "lang"), keep=["doc_id"])
         for lang, name in names.items()
     ]
-    others = docs.where(~F.col("lang").isin(list(names))).select("doc_id", F.col("text").alias("input"), "lang")
+    others = docs.where(F.col("lang").isNull() | ~F.col("lang").isin(list(names))).select("doc_id", F.col("text").alias("input"), "lang")
     return reduce(DataFrame.unionByName, [*frames, pick_text(others, keep=["doc_id"])])
 
 

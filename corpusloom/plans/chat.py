@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WHITESPACE, code_points
-from corpusloom.functions.turns import TURNS_PER_PART
+from corpusloom.functions.turns import TURNS_PER_PART, part_of
 from corpusloom.operators import rendering as r
 from corpusloom.plans import adapters as a
 from corpusloom.plans.registry import query, table
@@ -164,15 +164,23 @@ def first_long_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT conv_id, {PART},
-  string_agg('<|' || role || '|>' || {NL} || text || '<|end|>' || {NL}, '' ORDER BY turn)
-  || CASE WHEN arg_max(role, turn) <> 'assistant' THEN '<|assistant|>' || {NL} ELSE '' END AS text
-FROM conversations GROUP BY conv_id, part
+WITH ends AS (
+  SELECT conv_id, arg_max(role, turn) AS last_role, max(turn) // {TURNS_PER_PART} AS last_part FROM conversations GROUP BY conv_id
+),
+parts AS (
+  SELECT conv_id, {PART}, string_agg('<|' || role || '|>' || {NL} || text || '<|end|>' || {NL}, '' ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id, part
+)
+SELECT conv_id, part,
+  text || CASE WHEN part = last_part AND last_role <> 'assistant' THEN '<|assistant|>' || {NL} ELSE '' END AS text
+FROM parts JOIN ends USING (conv_id)
 """)
 def chat_template(spark: SparkSession, folder: str) -> DataFrame:
-    """An assistant turn is opened where the conversation does not end with one."""
-    chats = a.messages(spark, folder)
-    open_turn = F.element_at("messages", -1)["role"] != "assistant"
+    """An assistant turn is opened at the end of a conversation that does not end with one, in its last part only."""
+    turns = table(spark, folder, "conversations")
+    ends = turns.groupBy("conv_id").agg(F.max_by("role", "turn").alias("last_role"), F.max(part_of("turn")).alias("last_part"))
+    chats = a.messages(spark, folder).join(ends, "conv_id")
+    open_turn = (F.col("part") == F.col("last_part")) & (F.col("last_role") != "assistant")
     return chats.select("conv_id", "part", r.template_text(chats, generation_prompt=open_turn).alias("text"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.batching import collate, pack
 from corpusloom.operators.mixing import interleave, row_budget, union_sources
-from corpusloom.operators.preference import build_pairs
+from corpusloom.operators.preference import build_pairs, nonempty_by, pair_columns
 from corpusloom.operators.rendering import pick_text, render_chat
 from corpusloom.operators.tokens import Vocabulary, encode
 from corpusloom.sources.literal import fallback_pairs
@@ -51,7 +51,7 @@ def sft_dataset(
     per_device_batch: int = 4,
     accumulation: int = 8,
     replicas: int = 1,
-    unbounded: bool = True,
+    unbounded: bool = False,
     seed: int = 42,
     key: str = "key",
 ) -> DataFrame:
@@ -61,6 +61,13 @@ def sft_dataset(
     return row_budget(mixed, max_steps, per_device_batch, accumulation, replicas, unbounded)
 
 
-def preference_dataset(frame: DataFrame | None, spark=None) -> DataFrame:
-    """Prepared pairs of a source, or the built-in pairs where the source could not be read."""
-    return build_pairs(fallback_pairs(spark) if frame is None else frame)
+def preference_dataset(frame: DataFrame | None, spark=None, conversation: str | None = None) -> DataFrame:
+    """Prepared pairs of a source, or the built-in pairs where the source could not be read.
+
+    ``conversation`` names the key of nested pairs that are stored in several parts: a pair is dropped when one of its sides
+    is empty in all parts, and the parts that remain keep the key and their number.
+    """
+    rows = fallback_pairs(spark) if frame is None else frame
+    if conversation is None:
+        return build_pairs(rows)
+    return nonempty_by(rows.select(conversation, "part", *pair_columns(rows)), conversation)

@@ -61,9 +61,13 @@ WITH context AS ({CONTEXT_SQL}), answer AS ({ANSWER_SQL}),
 pairs AS (
   SELECT c.conv_id, c.part, c.text AS prompt, a.text AS chosen, r.text AS rejected
   FROM context c JOIN answer a ON a.conv_id = c.conv_id AND a.part = c.part
-  JOIN answer r ON r.conv_id = c.conv_id + 1 AND r.part = c.part
+  LEFT JOIN answer r ON r.conv_id = c.conv_id + 1 AND r.part = c.part
+),
+filled AS (
+  SELECT conv_id FROM pairs GROUP BY conv_id
+  HAVING max(length(prompt)) > 0 AND max(length(chosen)) > 0 AND max(length(rejected)) > 0
 )
-SELECT conv_id, part, prompt, chosen, rejected FROM pairs WHERE {NONEMPTY}
+SELECT conv_id, part, prompt, chosen, rejected FROM pairs SEMI JOIN filled USING (conv_id)
 """)
 def pairs_nested(spark: SparkSession, folder: str) -> DataFrame:
     """Whole conversations on both sides; a pair of several parts is dropped only when a side is empty in all of them."""

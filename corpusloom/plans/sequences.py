@@ -258,19 +258,20 @@ def pretrain_stage(spark: SparkSession, folder: str) -> DataFrame:
 SFT_WEIGHTS = {"prompt": 0.5, "instruction": 0.3, "text": 0.2}
 SFT_SOURCES = f"""{INSTRUCTIONS},
 sources AS (
-  SELECT 'prompt' AS source, conv_id * 1024 + turn AS key, {EXCHANGE_TEXT} AS text FROM exchanges
-  UNION ALL SELECT 'instruction', conv_id * 1024 + turn, {INSTRUCTION_TEXT} FROM instructions
+  SELECT 'prompt' AS source, conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS key, {EXCHANGE_TEXT} AS text FROM exchanges
+  UNION ALL SELECT 'instruction', conv_id * (SELECT max(turn) + 1 FROM conversations) + turn, {INSTRUCTION_TEXT} FROM instructions
   UNION ALL SELECT 'text', doc_id, text FROM documents
 )"""
 
 
 @query(f"""
 WITH {SFT_SOURCES}, {mix_sql(SFT_WEIGHTS, SEED, sources=None)}
-SELECT source, key, text, position FROM mix WHERE position <= 10000 * 4 * 8
+SELECT source, key, text, position FROM mix
 """)
 def sft_stage(spark: SparkSession, folder: str) -> DataFrame:
-    """Render three layouts, mix them, and apply the step limit of an unbounded run."""
-    key = (F.col("conv_id") * 1024 + F.col("turn")).alias("key")
+    """Render three layouts and mix them; a run over bounded tables takes all of it."""
+    turns = table(spark, folder, "conversations").agg(F.max("turn")).first()[0] or 0
+    key = (F.col("conv_id") * (turns + 1) + F.col("turn")).alias("key")
     frames = {
         "prompt": a.exchanges(spark, folder).select(key, "prompt", "response"),
         "instruction": a.instructions(spark, folder).select(key, "instruction", "input", "output"),
