@@ -7,6 +7,7 @@ reaches the driver: it only sees the best pairs of each round.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -67,10 +68,14 @@ def symbol_id(character: str) -> int:
 
 @dataclass
 class Vocabulary:
-    """A trained vocabulary: reserved tokens, byte symbols and ranked merges. Its size is bounded by ``VOCAB_SIZE``."""
+    """A trained vocabulary: reserved tokens, byte symbols, ranked merges, and tokens that were added after training.
+
+    Its size is bounded by ``VOCAB_SIZE``.
+    """
 
     merges: list[tuple[int, int]]
     reserved: tuple[str, ...] = RESERVED_TOKENS
+    added: tuple[str, ...] = ()
     names: list[str] = field(init=False)
     data: list[bytes] = field(init=False)
 
@@ -82,6 +87,18 @@ class Vocabulary:
         for left, right in self.merges:
             self.names.append(self.names[left] + self.names[right])
             self.data.append(self.data[left] + self.data[right])
+        self.names += self.added
+        self.data += [t.encode() for t in self.added]
+
+    def special_ids(self) -> dict[str, int]:
+        """Tokens that stand for themselves in a text."""
+        first = len(self.names) - len(self.added)
+        return {t: i for i, t in enumerate(self.reserved)} | {t: first + i for i, t in enumerate(self.added)}
+
+    def with_specials(self, assigned: Sequence[str] = (), defaults: Sequence[tuple[str, str]] = DEFAULT_SPECIALS) -> Vocabulary:
+        """The vocabulary with the defaults of the parts that have no token yet, as ``ensure_specials`` adds them."""
+        new = [t for part, t in defaults if part not in assigned and t not in self.names]
+        return Vocabulary(self.merges, self.reserved, (*self.added, *new))
 
     def byte_ids(self) -> list[int]:
         """Id of every byte."""
@@ -90,7 +107,8 @@ class Vocabulary:
         return [ids[b] for b in range(256)]
 
     def vocab_frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(n, i, i < len(self.reserved)) for i, n in enumerate(self.names)]
+        special = set(self.special_ids().values())
+        rows = [(n, i, i in special) for i, n in enumerate(self.names)]
         return spark.createDataFrame(rows, "token string, id int, special boolean")
 
     def merges_frame(self, spark: SparkSession) -> DataFrame:
@@ -106,7 +124,7 @@ class Vocabulary:
                 "version": "1.0",
                 "truncation": None,
                 "padding": None,
-                "added_tokens": [{"id": i, "content": t, **flags} for i, t in enumerate(self.reserved)],
+                "added_tokens": [{"id": i, "content": t, **flags} for t, i in self.special_ids().items()],
                 "normalizer": None,
                 "pre_tokenizer": byte_level,
                 "post_processor": None,
@@ -152,6 +170,16 @@ def save_vocabulary(vocabulary: Vocabulary, spark: SparkSession, path: str) -> N
         ).text(f"{path}/{name}.json")
 
 
+def load_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
+    """A vocabulary that ``save_vocabulary`` wrote. Its tables have at most ``VOCAB_SIZE`` rows."""
+    rows = sorted((r["id"], r["token"], r["special"]) for r in spark.read.parquet(f"{path}/vocab").collect())
+    ids = {token: i for i, token, _ in rows}
+    merges = [(ids[r["left"]], ids[r["right"]]) for r in spark.read.parquet(f"{path}/merges").orderBy("rank").collect()]
+    leading = next((i for i, (_, _, special) in enumerate(rows) if not special), len(rows))
+    reserved = tuple(token for _, token, _ in rows[:leading])
+    return Vocabulary(merges, reserved, tuple(token for _, token, special in rows[leading:] if special))
+
+
 # Training -----------------------------------------------------------------------------------------------------------
 
 
@@ -297,11 +325,16 @@ def _dealt(words: DataFrame) -> DataFrame:
 
 
 def train_vocabulary(
-    texts: DataFrame, column: str = "text", key: str | None = None, sample_size: int = SAMPLE_SIZE, **options
+    texts: DataFrame,
+    column: str = "text",
+    key: str | None = None,
+    sample_size: int = SAMPLE_SIZE,
+    pattern: str = WORD_PATTERN,
+    **options,
 ) -> Vocabulary:
     """Merges from texts: from all of them, or from the first ``sample_size`` by an order key."""
     sample = texts if key is None else first_n(texts, sample_size, key)
-    return train_merges(word_counts(sample, column), **options)
+    return train_merges(word_counts(sample, column, pattern), **options)
 
 
 # Special tokens -----------------------------------------------------------------------------------------------------
@@ -320,10 +353,9 @@ def ensure_specials(
     if not wanted:
         return vocab
     spark = vocab.sparkSession
-    top = vocab.agg(F.max("id")).first()[0]
-    top = -1 if top is None else top
     names = [token for _, token in wanted]
-    present = {r[0] for r in vocab.where(F.col("token").isin(names)).select("token").collect()}
+    seen = vocab.agg(F.max("id").alias("top"), F.collect_set(F.when(F.col("token").isin(names), F.col("token"))).alias("present")).first()
+    top, present = -1 if seen["top"] is None else seen["top"], set(seen["present"])
     missing = [token for _, token in wanted if token not in present]
     if not missing:
         return vocab.withColumn("special", F.col("special") | F.col("token").isin(names))
@@ -354,22 +386,30 @@ def vocab_size_check(vocab: DataFrame, declared: int) -> DataFrame:
 
 
 def merge_word(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges ``pair -> (rank, new symbol)`` to one word, lowest rank first."""
-    while True:
-        pairs = list(zip(symbols, symbols[1:]))
-        best = min([ranks[p] for p in pairs if p in ranks], default=None)
-        if best is None:
-            return symbols
-        chosen = next(p for p in pairs if ranks.get(p) == best)
-        out, i = [], 0
-        while i < len(symbols):
-            if i < len(pairs) and pairs[i] == chosen:
-                out.append(best[1])
-                i += 2
-            else:
-                out.append(symbols[i])
-                i += 1
-        symbols = out
+    """Apply merges ``pair -> (rank, new symbol)`` to one word, lowest rank first and from left to right.
+
+    Pairs wait in a heap and symbols are linked, so a long word costs its length times a logarithm.
+    """
+    size = len(symbols)
+    word: list[int | None] = list(symbols)
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    heap = [(ranks[p][0], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in ranks]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = after[i]
+        if word[i] is None or j >= size:
+            continue
+        found = ranks.get((word[i], word[j]))
+        if found is None or found[0] != rank:
+            continue  # one of the two was merged meanwhile
+        word[i], word[j], after[i] = found[1], None, after[j]
+        if after[i] < size:
+            before[after[i]] = i
+        for left in (before[i], i):
+            if left >= 0 and after[left] < size and (new := ranks.get((word[left], word[after[left]]))):
+                heapq.heappush(heap, (new[0], left))
+    return [s for s in word if s is not None]
 
 
 def encode(
@@ -378,6 +418,7 @@ def encode(
     max_length: int | None = None,
     column: str = "text",
     keep: Sequence[str] = (),
+    pattern: str = WORD_PATTERN,
 ) -> DataFrame:
     """``input_ids`` cut to ``max_length``, ``attention_mask`` and the uncut number of tokens ``n_tokens``.
 
@@ -390,7 +431,7 @@ def encode(
         (
             vocabulary.byte_ids(),
             {pair: (rank, first + rank) for rank, pair in enumerate(vocabulary.merges)},
-            {t: i for i, t in enumerate(vocabulary.reserved)},
+            vocabulary.special_ids(),
         )
     )
 
@@ -413,7 +454,7 @@ def encode(
             ids, sizes = batch_ids(batch.column(batch.num_columns - 1), ids_of, max_length)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), ids], names)
 
-    words = texts.select(*keep, split_reserved(column, vocabulary.reserved).alias("__words"))
+    words = texts.select(*keep, split_reserved(column, list(vocabulary.special_ids()), pattern).alias("__words"))
     kept = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in keep)
     names = [*keep, "n_tokens", "input_ids"]
     coded = words.mapInArrow(run, f"{kept}n_tokens bigint, input_ids array<int>")
@@ -447,26 +488,28 @@ def batch_ids(
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())), lengths
 
 
-def split_reserved(column: str, reserved: Sequence[str]) -> Column:
+def split_reserved(column: str, reserved: Sequence[str], pattern: str = WORD_PATTERN) -> Column:
     """Pre-tokens in which each reserved token stands alone, between separately split stretches of text."""
     if not reserved:
-        return split_words(column)
+        return split_words(column, pattern)
     names = "|".join(f"\\Q{t}\\E" for t in reserved)
     has_any = F.col(column).rlike(names)
     stretches = F.split(column, f"(?<={names})|(?={names})")
     by_stretch = F.flatten(
         F.transform(
             stretches,
-            lambda s: F.when(s.isin(*reserved), F.array(s)).otherwise(split_words(s)),
+            lambda s: F.when(s.isin(*reserved), F.array(s)).otherwise(split_words(s, pattern)),
         )
     )
-    return F.when(has_any, by_stretch).otherwise(split_words(column))
+    return F.when(has_any, by_stretch).otherwise(split_words(column, pattern))
 
 
 def decode(ids: Column, vocabulary: Vocabulary, skip_special: bool = True) -> Column:
     """Text of token ids; malformed byte sequences become the replacement character. Stays inside the JVM."""
-    table = F.array(*[F.lit(b.hex()) for b in vocabulary.data])
+    # One string that the optimizer turns into a literal array, rather than one expression per token.
+    table = F.split(F.lit(",".join(b.hex() for b in vocabulary.data)), ",")
     if skip_special:
-        ids = F.filter(ids, lambda i: i >= len(vocabulary.reserved))
+        first, end = len(vocabulary.reserved), len(vocabulary.data) - len(vocabulary.added)
+        ids = F.filter(ids, lambda i: (i >= first) & (i < end))
     digits = F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")
     return F.call_function("make_valid_utf8", F.unhex(digits).cast("string"))

@@ -13,6 +13,8 @@ from corpusloom.session import spread
 
 MIX_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.1, "benchmark": 0.05}
 TRAINED_SIZE = 320
+# Look-ahead is left out on both sides of a comparison, since the SQL engine has none.
+SIMPLE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 _VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
 
@@ -160,7 +162,7 @@ def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     """A small vocabulary trained on all documents, once per session and folder."""
     at = (spark.sparkContext.applicationId, folder)
     if at not in _VOCABULARIES:
-        _VOCABULARIES[at] = train_vocabulary(texts(spark, folder), vocab_size=TRAINED_SIZE)
+        _VOCABULARIES[at] = train_vocabulary(texts(spark, folder), vocab_size=TRAINED_SIZE, pattern=SIMPLE_PATTERN)
     return _VOCABULARIES[at]
 
 
@@ -168,7 +170,7 @@ def character_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """The characters of all documents as tokens. The alphabet is bounded, so numbering it in one task is fine."""
     from pyspark.sql.window import Window
 
-    chars = texts(spark, folder).select(F.explode(F.split("text", "")).alias("token"))
+    chars = texts(spark, folder).select(F.explode(F.array_distinct(F.split("text", ""))).alias("token"))
     distinct = chars.where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n")).drop("n")
     return distinct.withColumn(
         "id", F.row_number().over(Window.orderBy(F.ascii("token"))).cast("bigint") - 1

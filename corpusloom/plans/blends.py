@@ -88,37 +88,47 @@ def land_sources(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("source", "key", "text")
 
 
-CATALOGUE_ROWS = [("pretrain", k, n) for k, n in c.PRETRAIN_SOURCES.items()] + [
-    ("posttrain", k, n) for k, n in c.POSTTRAIN_SOURCES.items()
-]
+# Fixed values, written out a second time so that the comparison does not lean on the catalogue itself.
+CATALOGUE_SQL = """
+(VALUES (0, 'pretrain', 'cc_v2.1', 'nvidia/Nemotron-CC-v2.1'),
+  (1, 'pretrain', 'cc_v2', 'nvidia/Nemotron-CC-v2'),
+  (2, 'pretrain', 'code_v2', 'nvidia/Nemotron-Pretraining-Code-v2'),
+  (3, 'pretrain', 'code_v1', 'nvidia/Nemotron-Pretraining-Code-v1'),
+  (4, 'pretrain', 'cc_code_v1', 'nvidia/Nemotron-CC-Code-v1'),
+  (5, 'pretrain', 'math_v1', 'nvidia/Nemotron-CC-Math-v1'),
+  (6, 'pretrain', 'specialized_v1', 'nvidia/Nemotron-Pretraining-Specialized-v1'),
+  (7, 'pretrain', 'sft_v1', 'nvidia/Nemotron-Pretraining-SFT-v1'),
+  (8, 'pretrain', 'sample', 'nvidia/Nemotron-Pretraining-Dataset-sample'),
+  (9, 'posttrain', 'instruction_chat', 'nvidia/Nemotron-Instruction-Following-Chat-v1'),
+  (10, 'posttrain', 'math_v2', 'nvidia/Nemotron-Math-v2'),
+  (11, 'posttrain', 'math_proofs', 'nvidia/Nemotron-Math-Proofs-v1'),
+  (12, 'posttrain', 'science', 'nvidia/Nemotron-Science-v1'),
+  (13, 'posttrain', 'agentic', 'nvidia/Nemotron-Agentic-v1'),
+  (14, 'posttrain', 'competitive_programming', 'nvidia/Nemotron-Competitive-Programming-v1'),
+  (15, 'posttrain', 'rl_blend', 'nvidia/Nemotron-3-Nano-RL-Training-Blend')) t(i, stage, key, name)"""
 
 
 @query(f"""
-SELECT stage, t.key, name, count(*) AS n FROM (
-  SELECT list_extract({[k for _, k, _ in CATALOGUE_ROWS]!r}, CAST(doc_id % {len(CATALOGUE_ROWS)} + 1 AS INT)) AS key
-  FROM documents) d
-JOIN {values_sql(CATALOGUE_ROWS)} t(stage, key, name) ON t.key = d.key GROUP BY ALL
+SELECT stage, key, name, count(*) AS n FROM documents JOIN {CATALOGUE_SQL} ON i = doc_id % 16 GROUP BY ALL
 """)
 def catalogue_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents carry a logical key each; their catalogue names are looked up."""
-    keys = F.array(*[F.lit(k) for _, k, _ in CATALOGUE_ROWS])
-    docs = table(spark, folder, "documents").select(
-        F.get(keys, (F.col("doc_id") % len(CATALOGUE_ROWS)).cast("int")).alias("key")
-    )
+    names = [*c.PRETRAIN_SOURCES, *c.POSTTRAIN_SOURCES]
+    keys = F.array(*[F.lit(k) for k in names])
+    docs = table(spark, folder, "documents").select(F.get(keys, (F.col("doc_id") % len(names)).cast("int")).alias("key"))
     per_key = docs.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     return c.catalogue(spark).join(per_key, "key").select("stage", "key", "name", "n")
 
 
-BLEND_ROWS = [
-    (i, s.name, s.config_name, s.weight, source)
-    for i, (s, source) in enumerate(zip(c.pretrain_blend(weights=WEIGHT_OVERRIDE), a.MIX_WEIGHTS, strict=True))
-]
-
-
+# The default weights 0.5, 0.2, 0.15, 0.1, 0.05 with the first two overridden.
 @query(f"""
 WITH {SOURCES_SQL}, counts AS (SELECT source, count(*) AS n FROM sources GROUP BY source)
 SELECT name, config_name, weight, round(weight / sum(weight) OVER (), 9) AS probability, n
-FROM {values_sql(BLEND_ROWS)} t(i, name, config_name, weight, source) JOIN counts USING (source)
+FROM (VALUES ('nvidia/Nemotron-CC-v2.1', NULL, 0.7::DOUBLE, 'en'),
+  ('nvidia/Nemotron-Pretraining-Code-v2', NULL, 0.3::DOUBLE, 'de'),
+  ('nvidia/Nemotron-CC-Math-v1', NULL, 0.15::DOUBLE, 'fr'),
+  ('nvidia/Nemotron-Pretraining-Specialized-v1', 'Nemotron-Pretraining-Wiki-Rewrite', 0.1::DOUBLE, 'es'),
+  ('nvidia/Nemotron-CC-Code-v1', NULL, 0.05::DOUBLE, 'benchmark')) t(name, config_name, weight, source) JOIN counts USING (source)
 """)
 def blend_weights(spark: SparkSession, folder: str) -> DataFrame:
     """Default blend with two weights overridden, renormalised over the sources that have rows."""
@@ -135,16 +145,24 @@ def blend_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SUBSETS = ("all", "math", "code", "science", "chat", "agentic")
-SUBSET_ROWS = [(subset, s.name, s.split, s.weight, s.streaming) for subset in SUBSETS for s in c.sft_blend(subset=subset)]
 SFT_NAMES = [s.name for s in c.sft_blend()]
 
 
-@query(f"""
-WITH docs AS (
-  SELECT list_extract({SFT_NAMES!r}, CAST(CAST(substr(source, 4) AS INT) % {len(SFT_NAMES)} + 1 AS INT)) AS name
-  FROM documents)
+# Fixed values. A name that is no subset, such as agentic, stands for all sources.
+@query("""
+WITH blend AS (SELECT * FROM (VALUES
+  (0, 'chat', 'nvidia/Nemotron-Instruction-Following-Chat-v1', 'chat_if', 0.3::DOUBLE, true),
+  (1, 'math', 'nvidia/Nemotron-Math-v2', 'train', 0.25::DOUBLE, true),
+  (2, 'math_proofs', 'nvidia/Nemotron-Math-Proofs-v1', 'train', 0.15::DOUBLE, true),
+  (3, 'science', 'nvidia/Nemotron-Science-v1', 'train', 0.15::DOUBLE, true),
+  (4, 'agentic', 'nvidia/Nemotron-Agentic-v1', 'train', 0.1::DOUBLE, false),
+  (5, 'code', 'nvidia/Nemotron-Competitive-Programming-v1', 'train', 0.05::DOUBLE, false)) t(i, part, name, split, weight, streaming)),
+subsets AS (
+  SELECT subset, part FROM blend, (VALUES ('all'), ('agentic')) a(subset)
+  UNION ALL SELECT * FROM (VALUES ('math', 'math'), ('math', 'math_proofs'), ('code', 'code'), ('science', 'science'), ('chat', 'chat')) b(subset, part)
+)
 SELECT subset, name, split, weight, streaming, count(*) AS n
-FROM docs JOIN {values_sql(SUBSET_ROWS)} t(subset, name, split, weight, streaming) USING (name) GROUP BY ALL
+FROM documents JOIN blend ON i = CAST(substr(source, 4) AS INT) % 6 JOIN subsets USING (part) GROUP BY ALL
 """)
 def blend_sft_subset(spark: SparkSession, folder: str) -> DataFrame:
     """The sources of every fine-tuning subset, with the number of documents that belong to each."""

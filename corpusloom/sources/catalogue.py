@@ -36,7 +36,7 @@ PRETRAIN_BLEND = (("cc_v2.1", 0.5), ("code_v2", 0.2), ("math_v1", 0.15), ("speci
 SPECIALIZED_CONFIG = "Nemotron-Pretraining-Wiki-Rewrite"
 SAMPLE_CONFIG = "Nemotron-CC-High-Quality"
 
-# Fine-tuning blend (subset key, source key, weight, split, streamed), and subsets made of several keys.
+# Fine-tuning blend (key, source key, weight, split, streamed), and the subsets that may be asked for.
 SFT_BLEND = (
     ("chat", "instruction_chat", 0.3, "chat_if", True),
     ("math", "math_v2", 0.25, "train", True),
@@ -45,11 +45,13 @@ SFT_BLEND = (
     ("agentic", "agentic", 0.1, "train", False),
     ("code", "competitive_programming", 0.05, "train", False),
 )
-SFT_SUBSETS = {"math": ("math", "math_proofs")}
+SFT_SUBSETS = {"math": ("math", "math_proofs"), "code": ("code",), "science": ("science",), "chat": ("chat",)}
 
 # Custom sources with rules of their own, and the source that stands in for a restricted one.
 POST_TRAINING_V1 = "nvidia/Nemotron-Post-Training-Dataset-v1"
 POST_TRAINING_V2 = "nvidia/Nemotron-Post-Training-Dataset-v2"
+PART_OF_V1 = "Nemotron-Post-Training-Dataset-v1"
+PART_OF_V2 = "Nemotron-Post-Training-Dataset-v2"
 FALLBACKS = {POST_TRAINING_V2: POST_TRAINING_V1}
 
 
@@ -112,8 +114,8 @@ def sft_blend(name: str | None = None, subset: str | None = None, streaming: boo
     keys = [entry[0] for entry in SFT_BLEND]
     if subset is None or subset == "all":
         wanted = keys
-    elif subset in keys:
-        wanted = SFT_SUBSETS.get(subset, (subset,))
+    elif subset in SFT_SUBSETS:
+        wanted = SFT_SUBSETS[subset]
     else:
         warnings.warn(f"unknown subset {subset}: using all sources", stacklevel=2)
         wanted = keys
@@ -126,10 +128,10 @@ def sft_blend(name: str | None = None, subset: str | None = None, streaming: boo
 
 def _custom_sft(name: str, subset: str | None, streaming: bool) -> Source:
     split, config = ("train_sft" if "ultrachat" in name else "train"), None
-    restricted = POST_TRAINING_V2.split("/")[1] in name
+    restricted = PART_OF_V2 in name
     if restricted:
         config = "default"
-    if subset and (restricted or POST_TRAINING_V1.split("/")[1] in name):
+    if subset and (restricted or PART_OF_V1 in name):
         split = subset
     fallback = FALLBACKS[POST_TRAINING_V2] if restricted else None
     return Source(name, streaming=streaming, split=split, config_name=config, fallback_name=fallback)

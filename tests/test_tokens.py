@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -239,3 +240,65 @@ def test_training_sample(spark):
     a, b_, c, d = (k.Vocabulary([]).byte_ids()[x] for x in b"abcd")
     assert k.train_vocabulary(df, key="id", sample_size=10, vocab_size=300).merges == [(a, b_)]
     assert k.train_vocabulary(df, vocab_size=300).merges == [(c, d), (a, b_)]
+
+
+def merge_by_rescan(symbols, ranks):
+    """All occurrences of the lowest-ranked pair, again and again."""
+    while True:
+        pairs = [p for p in zip(symbols, symbols[1:]) if p in ranks]
+        if not pairs:
+            return symbols
+        best = min(pairs, key=lambda p: ranks[p])
+        out, i = [], 0
+        while i < len(symbols):
+            if tuple(symbols[i : i + 2]) == best:
+                out.append(ranks[best][1])
+                i += 2
+            else:
+                out.append(symbols[i])
+                i += 1
+        symbols = out
+
+
+def test_heap_merges_like_rescanning():
+    rng = random.Random(4)
+    for _ in range(200):
+        merges, size = {}, rng.randrange(2, 5)
+        for rank in range(rng.randrange(1, 12)):
+            pair = (rng.randrange(size + rank), rng.randrange(size + rank))
+            if pair not in merges:
+                merges[pair] = (rank, size + rank)
+        word = [rng.randrange(size) for _ in range(rng.randrange(0, 40))]
+        assert k.merge_word(list(word), merges) == merge_by_rescan(word, merges)
+
+
+def test_long_word_is_quick():
+    merges = {(i, i): (i, i + 1) for i in range(18)}
+    start = time.perf_counter()
+    assert k.merge_word([0] * (1 << 18), merges) == [18]
+    assert time.perf_counter() - start < 20
+
+
+def test_saved_vocabulary_and_added_tokens(spark, tmp_path):
+    learned = k.Vocabulary([(6 + 68, 6 + 69), (262, 6 + 70)]).with_specials(["pad"])
+    assert learned.added == ("<|startoftext|>", "<|endoftext|>")
+    k.save_vocabulary(learned, spark, str(tmp_path / "v"))
+    loaded = k.load_vocabulary(spark, str(tmp_path / "v"))
+    assert (loaded.merges, loaded.reserved, loaded.added, loaded.names) == (learned.merges, learned.reserved, learned.added, learned.names)
+    text = "<|startoftext|>efg efgh<|endoftext|>"
+    rows = k.encode(spark.createDataFrame([(text,)], "text string"), loaded)
+    ids = rows.first().input_ids
+    assert ids[0] == len(loaded.names) - 2 and ids[-1] == len(loaded.names) - 1
+    both = rows.select(k.decode(F.col("input_ids"), loaded).alias("a"), k.decode(F.col("input_ids"), loaded, False).alias("b")).first()
+    assert (both.a, both.b) == ("efg efgh", text)
+
+
+def test_full_size_vocabulary_decodes_quickly(spark):
+    rng = random.Random(1)
+    merges = [(rng.randrange(6, 262 + i), rng.randrange(6, 262)) for i in range(32_768 - 262)]
+    merges = [(a if a < 262 or i % 50 else 6, b) for i, (a, b) in enumerate(merges)]
+    learned = k.Vocabulary([(a if a < 262 else 6 + a % 256, b) for a, b in merges])
+    rows = spark.createDataFrame([(list(range(6, 106)),)], "ids array<int>")
+    start = time.perf_counter()
+    rows.select(k.decode(F.col("ids"), learned)).collect()
+    assert time.perf_counter() - start < 10
