@@ -120,7 +120,7 @@ def good_labels(labels: DataFrame, bound: int = LABELLED_ROWS) -> tuple[DataFram
 
 
 def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """Rows ``(doc_id, n_grams, log_weight, gumbel_key, selected)``; the ``share`` of documents with the largest keys is selected.
+    """Rows ``(doc_id, n_grams, log_weight, gumbel_key, kept)``; the ``share`` of documents with the largest keys is kept.
 
     ``share`` defaults to the share of the target among the labelled documents.
     """
@@ -132,4 +132,4 @@ def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, te
     keyed = rows.withColumn("gumbel_key", F.col("log_weight") / F.greatest("n_grams", F.lit(1)) / temperature + noise).withColumn("__down", -F.col("gumbel_key"))
     placed, total = ranked(keyed, ["__down", "doc_id", "text_hash"], "__rank", "gumbel")
     wanted = int(np.ceil(share * total))
-    return placed.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("__rank") < wanted).alias("selected"))
+    return placed.select("doc_id", "n_grams", "log_weight", "gumbel_key", (F.col("__rank") < wanted).alias("kept"))

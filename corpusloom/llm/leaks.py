@@ -120,7 +120,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radi
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per document: ``doc_id``, ``contaminated``, the leaked ``item_ids``, and the largest ``similarity``."""
+    """One row per document: ``doc_id``, ``contaminated``, ``kept`` (the opposite), the leaked ``item_ids``, the largest ``similarity``."""
     found = leaks(docs, benchmark, least).groupBy("doc_id").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity")
     )
@@ -129,6 +129,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) ->
     return rows.select(
         F.col("__id").alias("doc_id"),
         F.col("item_ids").isNotNull().alias("contaminated"),
+        F.col("item_ids").isNull().alias("kept"),
         F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
         F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
     )

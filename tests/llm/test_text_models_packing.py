@@ -101,19 +101,19 @@ def test_importance(spark):
     known = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
     share = sum(q == 1 and not t for q, t in known.values()) / len(known)
     assert len(rows) == docs.count() + 2
-    assert sum(r.selected for r in rows) == int(np.ceil(share * len(rows)))
-    kept = {kind: np.mean([r.selected for r in rows if r.doc_id in known and test(*known[r.doc_id])]) for kind, test in (
+    assert sum(r.kept for r in rows) == int(np.ceil(share * len(rows)))
+    kept = {kind: np.mean([r.kept for r in rows if r.doc_id in known and test(*known[r.doc_id])]) for kind, test in (
         ("good", lambda q, t: q == 1 and not t), ("junk", lambda q, t: q == 0), ("toxic", lambda q, t: t == 1))}
     assert kept["good"] > 0.93 and kept["junk"] < 0.03 and kept["toxic"] < kept["good"] - 0.3
-    cut = min(r.gumbel_key for r in rows if r.selected)
-    assert all(r.gumbel_key <= cut for r in rows if not r.selected)
+    cut = min(r.gumbel_key for r in rows if r.kept)
+    assert all(r.gumbel_key <= cut for r in rows if not r.kept)
 
 
 def test_importance_without_labels(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = importance.resampled(docs, labels, share=0.25).collect()
-    assert sum(r.selected for r in rows) == 50 and {r.log_weight for r in rows} == {0.0}
+    assert sum(r.kept for r in rows) == 50 and {r.log_weight for r in rows} == {0.0}
     assert importance.resampled(docs.limit(0), labels).count() == 0
 
 
