@@ -66,18 +66,13 @@ def collate(df: DataFrame, pad_id: int, batch: str = "batch_id", ids: str = "inp
 def collate_groups(
     df: DataFrame, pad_id: int, batch: str = "batch_id", key: str = "key", ids: str = "input_ids"
 ) -> DataFrame:
-    """One row per batch with the padded matrix, by a function over the rows of the batch (fixed in number)."""
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
-        longest = max(len(v) for v in rows[ids])
-        width = -(-longest // PAD_MULTIPLE) * PAD_MULTIPLE
-        matrix = [list(v) + [pad_id] * (width - len(v)) for v in rows[ids]]
-        return pd.DataFrame({batch: [rows[batch].iloc[0]], "width": [width], ids: [matrix]})
-
-    return df.select(batch, key, ids).groupBy(batch).applyInPandas(
-        merge, f"{batch} bigint, width int, {ids} array<array<int>>"
+    """One row per batch with the padded matrix, rows in key order. A batch is fixed in number."""
+    gathered = df.groupBy(batch).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(ids).alias("v")))).alias("rows"),
+        rounded_width(F.max(F.size(ids))).alias("width"),
     )
+    matrix = F.transform("rows", lambda r: pad_right(r["v"], F.col("width"), pad_id))
+    return gathered.select(F.col(batch).cast("bigint").alias(batch), "width", matrix.alias(ids))
 
 
 def attention_mask(ids: Column) -> Column:

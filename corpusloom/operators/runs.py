@@ -18,6 +18,9 @@ VALUES_PER_PART = 65_536
 COLLAPSED_BELOW = 1e-6
 REPORTED_NAMES = ("embed", "layers.0")
 
+# Up to so many rows of a group Spark's optimizer cuts groups before it shuffles them; the results are the same beyond.
+GROUP_LIMIT = 1000
+
 MIB = 1024 * 1024
 
 
@@ -66,7 +69,7 @@ def metric_averages(
     if last_n:
         # Spark keeps only the first last_n rows per key on the map side before it shuffles them.
         newest = Window.partitionBy("key").orderBy(F.col("step").desc())
-        if last_n <= 1000:
+        if last_n <= GROUP_LIMIT:
             chosen = metrics.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= last_n)
         else:
             # A value without a step is the oldest, as in the window above.
@@ -220,14 +223,14 @@ def checkpoint_retention(
     never win. Nothing is deleted.
     """
     found = checkpoints.withColumn("step", checkpoint_step(F.col(path))).where(F.col("step").isNotNull())
-    newest = Window.partitionBy(run).orderBy(F.col("step").desc(), F.col(path))
-    # Spark cuts each run to its newest rows before the shuffle, so a run with most of the rows stays cheap.
-    kept = (
-        found.select(run, path, "step")
-        .withColumn("age", F.row_number().over(newest))
-        .where(F.col("age") <= keep_last)
-        .select(run, path)
-    )
+    rows = found.select(run, path, "step")
+    if keep_last <= GROUP_LIMIT:
+        # Spark cuts each run to its newest rows before the shuffle, so a run with most of the rows stays cheap.
+        newest = Window.partitionBy(run).orderBy(F.col("step").desc(), F.col(path))
+        aged = rows.withColumn("age", F.row_number().over(newest))
+    else:
+        aged = numbered(rows.withColumn("__back", -F.col("step")), ["__back", path], [run], "age")
+    kept = aged.where(F.col("age") <= keep_last).select(run, path)
     if keep_best:
         score = F.col(metric) if lower_is_better else -F.col(metric)
         rank = F.struct(score.alias("s"), (-F.col("step")).alias("n"), F.col(path).alias("p"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +14,11 @@ from corpusloom.operators.rendering import template_text
 from corpusloom.plans import adapters as a
 from corpusloom.plans.blends import SEED, mix_sql
 from corpusloom.plans.chat import EXCHANGE_TEXT, INSTRUCTION_TEXT, INSTRUCTIONS, MARKED_SQL
-from corpusloom.plans.datasets import preference_dataset, pretrain_dataset, sft_dataset
+from corpusloom.plans.datasets import preference_dataset, pretrain_from_blend, sft_dataset
 from corpusloom.plans.pairs import FLAT
 from corpusloom.plans.registry import query, table
 from corpusloom.session import scratch_path
+from corpusloom.sources.catalogue import Source
 
 MAX_LENGTH = 2048
 BATCH = 8
@@ -295,6 +299,17 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("chunk", a.joined_ids("input_ids").alias("input_ids"))
 
 
+@query("SELECT doc_id, length(text) AS n_points, octet_length(encode(text)) AS n_bytes FROM documents")
+def batched_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """A function from column batches to column batches, applied to all documents."""
+
+    def lengths(batch: pd.DataFrame) -> pd.DataFrame:
+        sizes = batch["text"].str.encode("utf-8").str.len()
+        return pd.DataFrame({"doc_id": batch["doc_id"], "n_points": batch["text"].str.len(), "n_bytes": sizes})
+
+    return b.map_batches(a.texts(spark, folder), lengths, "doc_id bigint, n_points bigint, n_bytes bigint")
+
+
 # Whole stages ---------------------------------------------------------------------------------------------------------
 
 
@@ -306,8 +321,20 @@ SELECT source, key, position, batch_id, n_tokens,
   CAST(ceil(max(least(n_tokens, {MAX_LENGTH})) OVER (PARTITION BY batch_id) / 8.0) * 8 AS INT) AS width FROM sized
 """)
 def pretrain_stage(spark: SparkSession, folder: str) -> DataFrame:
-    """Mix, encode with single bytes, batch and pad; shapes are compared."""
-    rows = pretrain_dataset(a.blend_sources(spark, folder), a.MIX_WEIGHTS, k.Vocabulary([]), MAX_LENGTH, seed=SEED)
+    """From a blend: load (one source is missing), mix, encode with single bytes, batch and pad."""
+    frames = a.blend_sources(spark, folder)
+    blend = [Source(name, weight) for name, weight in a.MIX_WEIGHTS.items()]
+
+    def read(source: Source) -> DataFrame:
+        if source.name not in frames:
+            raise ValueError(f"no source {source.name}")
+        return frames[source.name]
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the missing source is part of the test
+        rows = pretrain_from_blend(
+            read, [*blend, Source("missing", 0.2)], k.Vocabulary([]), max_length=MAX_LENGTH, seed=SEED
+        )
     return rows.select("source", "key", "position", "batch_id", "n_tokens", F.size("input_ids").alias("width"))
 
 

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import rendering as r
+from corpusloom.operators import tokens as k
 from corpusloom.operators.mixing import interleave, union_sources
 from corpusloom.plans import adapters as a
 from corpusloom.plans.blends import SEED, SOURCES_SQL, mix_sql
 from corpusloom.plans.chat import MESSAGES_SQL
-from corpusloom.plans.registry import query, table
+from corpusloom.plans.registry import SQL, query, table
 from corpusloom.plans.reports import LAST_N, METRICS_SQL
+from corpusloom.plans.sequences import MAX_LENGTH
 from corpusloom.session import scratch_path
 from corpusloom.sources.catalogue import Source
 from corpusloom.sources.readers import Layout, scan_stream
@@ -44,6 +46,15 @@ def stream_render(spark: SparkSession, folder: str) -> DataFrame:
     return finished(r.render_chat(stream, keep=["conv_id", "part"]), root)
 
 
+@query(SQL["encode_bytes"])
+def stream_encode(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoding of a stream of documents with a vocabulary of single bytes."""
+    stream, root = replayed(spark, table(spark, folder, "documents"), "documents")
+    rows = finished(k.encode(stream, k.Vocabulary([]), MAX_LENGTH, keep=["doc_id"]), root)
+    attended = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return rows.select("doc_id", "n_tokens", a.joined_ids("input_ids").alias("input_ids"), attended.alias("attended"))
+
+
 @query(f"WITH {METRICS_SQL} SELECT key, round(avg(value), 6) AS mean, count(*) AS n FROM metrics GROUP BY key")
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
     stream, root = replayed(spark, a.metrics(spark, folder), "metrics")

@@ -73,9 +73,9 @@ def with_order_key(df: DataFrame, out: str = "key") -> DataFrame:
     Must be called on the scan itself. Only file names are gathered, one row per file, to give them numbers.
     """
     files = df.select(F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
-    numbered = files.select(
-        "__file", (F.row_number().over(Window.orderBy("__file")).cast("bigint") - 1).alias("__number")
-    )
+    number = F.row_number().over(Window.orderBy("__file")).cast("bigint") - 1
+    too_many = F.raise_error(F.lit(f"more than {1 << 63 - ROWS_PER_FILE_BITS} files")).cast("bigint")
+    numbered = files.select("__file", F.when(number < 1 << 63 - ROWS_PER_FILE_BITS, number).otherwise(too_many).alias("__number"))
     located = df.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
     return (
         located.join(numbered, "__file")

@@ -74,3 +74,33 @@ def test_no_window_holds_all_rows(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any("SinglePartition" in line and "text" in line for line in plan.splitlines())
         assert sorted(r[0] for r in df.select(df.columns[-1]).collect()) == list(range(1, 1001))
+
+
+def test_stages_from_a_blend(spark):
+    from corpusloom.operators.tokens import Vocabulary
+    from corpusloom.plans.datasets import encoded_pairs, sft_from_blend
+    from corpusloom.sources.catalogue import Source
+
+    blend = [Source("documents", 0.5), Source("gated", 0.5, fallback_name="benchmark"), Source("missing", 0.5)]
+
+    def read(source):
+        return spark.read.parquet(f"{FOLDER}/{source.name}.parquet").select("text")
+
+    with pytest.warns(UserWarning, match="could not load"):
+        rows = sft_from_blend(read, blend).collect()
+    assert {r.source for r in rows} == {"documents", "gated"} and len(rows) > 40
+    with pytest.warns(UserWarning):
+        packed = sft_from_blend(read, blend, vocabulary=Vocabulary([]), max_length=64).collect()
+    sizes = sorted(len(r.input_ids) for r in packed)
+    assert set(sizes[1:]) == {64} and sum(sizes) == sum(len(r.text.encode()) + 1 for r in rows)
+    pairs = spark.createDataFrame([(1, "abc", "de", "f"), (2, "xy", "z", "long")], "id long, prompt string, chosen string, rejected string")
+    got = {r.id: r for r in encoded_pairs(pairs, Vocabulary([]), "id", max_length=5, max_prompt_length=2).collect()}
+    assert {i: (len(r.prompt), len(r.chosen_ids), len(r.rejected_ids)) for i, r in got.items()} == {1: (2, 4, 4), 2: (2, 5, 5)}
+
+
+@pytest.mark.parametrize("keep_last", [3, 1500])
+def test_retention_is_the_same_for_many_checkpoints(spark, monkeypatch, keep_last):
+    rows = [(run, f"checkpoint-{i}", float(i % 7)) for run in (1, 2) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "run long, path string, loss double")
+    kept = {(r.run, r.path) for r in runs.checkpoint_retention(frame, keep_last, keep_best=False).where("keep").collect()}
+    assert kept == {(run, f"checkpoint-{i}") for run in (1, 2) for i in range(2000 - keep_last, 2000)}
