@@ -37,7 +37,6 @@ SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
 SAMPLE_SIZE = 1_000_000
 PAIRS_PER_ROUND = 512
 CACHED_WORDS = 500_000
-MERGES_PER_TABLE = 16
 
 
 def byte_characters() -> list[str]:
@@ -269,8 +268,8 @@ def train_merges(
 ) -> Vocabulary:
     """Merges from a table ``word, freq``: each time the most frequent pair, ties to the smaller left, then right id.
 
-    Every round counts all pairs on the cluster and applies a whole head of the ranking at once. Word table and pair
-    counts are written to the shared folder as merges pile up.
+    Every round applies a whole head of the ranking at once, updates the counts of the pairs in the words it changes, and
+    writes word table and pair counts to the shared folder.
     """
     if vocab_size > SYMBOL_LIMIT:
         raise ValueError(f"vocab_size may be at most {SYMBOL_LIMIT}")
@@ -281,12 +280,10 @@ def train_merges(
     table = words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq")
     table = _landed(_dealt(table), f"{folder}/words-0")
     counts = _landed(pair_counts(table), f"{folder}/pairs-0")
-    pending: list[tuple[str, str]] = []
     generation = 0
     while size < vocab_size:
-        now = updated_pair_counts(counts, table, pending) if pending else counts
         ranked = (
-            now.where(F.col("freq") >= min_frequency)
+            counts.where(F.col("freq") >= min_frequency)
             .orderBy(F.col("freq").desc(), F.col("pair"))
             .limit(PAIRS_PER_ROUND)
             .collect()
@@ -294,17 +291,15 @@ def train_merges(
         head = independent_prefix([r["pair"] for r in ranked], vocab_size - size)
         if not head:
             break
-        if len(pending) >= MERGES_PER_TABLE:
-            # Two folders take turns: one is read while the other is replaced.
-            generation = 1 - generation
-            merged = table.select(apply_merges("symbols", pending).alias("symbols"), "freq")
-            counts = _landed(now.where(F.col("freq") > 0), f"{folder}/pairs-{generation}")
-            table = _landed(_dealt(merged), f"{folder}/words-{generation}")
-            pending = []
-        for pair in head:
-            merges.append((symbol_id(pair[0]), symbol_id(pair[1])))
-            pending.append((pair, symbol(size)))
-            size += 1
+        new = [(pair, symbol(size + i)) for i, pair in enumerate(head)]
+        merges += [(symbol_id(pair[0]), symbol_id(pair[1])) for pair in head]
+        size += len(head)
+        # Two folders take turns: one is read while the other is replaced. Only words that the head changes are recounted.
+        generation = 1 - generation
+        now = updated_pair_counts(counts, table, new).where(F.col("freq") > 0)
+        merged = table.select(apply_merges("symbols", new).alias("symbols"), "freq").where(F.length("symbols") > 1)
+        counts = _landed(now, f"{folder}/pairs-{generation}")
+        table = _landed(merged, f"{folder}/words-{generation}")
     return Vocabulary(merges, tuple(reserved))
 
 
