@@ -160,13 +160,21 @@ def tensor_summary(stats: DataFrame, name: str = "name", examples: int = 5) -> D
         F.count_if(F.col("health") == "nan_inf").alias("bad_count"),
         F.count_if(F.col("health") == "collapsed").alias("small_std_count"),
         F.count_if(F.col("health") == "dead").alias("dead_count"),
-    ).withColumn("healthy", F.expr("total_elements > 0 AND bad_count = 0 AND small_std_count = 0"))
+    )
+    rows = totals
     for health, out in (("nan_inf", "bad_examples"), ("collapsed", "small_std_examples")):
         # A top-k over names, so that a long list of broken tensors is never gathered.
-        top = stats.where(F.col("health") == health).select(name).orderBy(name).limit(examples)
-        listed = top.agg(F.array_sort(F.collect_list(name)).alias(out)).withColumn("one", F.lit(1))
-        totals = totals.withColumn("one", F.lit(1)).join(listed, "one").drop("one")
-    return totals
+        top = stats.where(F.col("health") == health).select(F.col(name).alias(out)).orderBy(out).limit(examples)
+        rows = rows.unionByName(top, allowMissingColumns=True)
+    # One row of totals and a few of examples become one row; lists leave NULLs out.
+    whole = rows.agg(
+        *[F.max(c).alias(c) for c in totals.columns],
+        *[F.array_sort(F.collect_list(c)).alias(c) for c in ("bad_examples", "small_std_examples")],
+    )
+    healthy = F.expr("total_elements > 0 AND bad_count = 0 AND small_std_count = 0")
+    return whole.withColumn("healthy", healthy).select(
+        "total_elements", "bad_count", "small_std_count", "dead_count", "healthy", "bad_examples", "small_std_examples"
+    )
 
 
 # Model size ---------------------------------------------------------------------------------------------------------
