@@ -60,7 +60,9 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         keys.groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("last"))
         .where(F.col("docs") >= min_docs)
     )
-    return keys.join(often.select("key", "last"), "key").where("doc_id < last").select("doc_id", "key")
+    # Landed, so that both sides of the join are dealt out for it alone and Spark may split a key that most documents have.
+    often = landed(often.select("key", "last"), "shared-keys")
+    return keys.join(often, "key").where("doc_id < last").select("doc_id", "key")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
