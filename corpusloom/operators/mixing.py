@@ -15,6 +15,8 @@ from corpusloom.operators.ordering import bucket_count, bucket_of, key_bounds, n
 # Arrival gaps are whole multiples of 2**-20, so that sums do not depend on the order of addition.
 CLOCK_SCALE = float(1 << 20)
 
+BROADCAST_STARTS = 1_000_000  # rows of sources and buckets; beyond, Spark joins them by a shuffle
+
 # Fixed value: steps of a streaming run that sets no limit.
 DEFAULT_STEPS = 10_000
 
@@ -91,8 +93,9 @@ def interleave(
     cut = min(ends.values())
     if len(shares) > 1:
         starts = [s for s in starts if s[2] <= cut]
+    clocks = _starts_frame(df, starts)
     near = parts.join(
-        F.broadcast(_starts_frame(df, starts)),
+        F.broadcast(clocks) if len(starts) <= BROADCAST_STARTS else clocks,
         F.col(source).eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__b")),
     )
     local = Window.partitionBy(source, "__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)

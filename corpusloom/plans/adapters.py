@@ -159,8 +159,9 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
-    """A small vocabulary trained on all documents, once per session and folder."""
-    at = (spark.sparkContext.applicationId, folder)
+    """A small vocabulary trained on all documents, once per session and set of files."""
+    files = table(spark, folder, "documents").inputFiles()
+    at = (spark.sparkContext.applicationId, "\n".join(sorted(files)))
     if at not in _VOCABULARIES:
         _VOCABULARIES[at] = train_vocabulary(texts(spark, folder), vocab_size=TRAINED_SIZE, pattern=SIMPLE_PATTERN)
     return _VOCABULARIES[at]
