@@ -26,14 +26,16 @@ BITS = 5
 
 
 def log_cell(value: Column, bits: int = BITS) -> Column:
-    """A number's half octave, from 1; NULL and negative numbers are 0."""
-    cell = F.least(F.floor(F.log2(value + 1) * 2) + 1, F.lit((1 << bits) - 1))
-    return F.when(value >= 0, cell).otherwise(0).cast("int")
+    """A positive whole number's half octave: twice its number of bits, and its second bit; NULL and the others are 0."""
+    binary = F.bin(value.cast("bigint"))
+    cell = F.length(binary) * 2 + (F.substring(binary, 2, 1) == "1").cast("int")
+    return F.when(value > 0, F.least(cell, F.lit((1 << bits) - 1))).otherwise(0).cast("int")
 
 
 def name_cell(value: Column, bits: int = BITS) -> Column:
     """One of the cells from 1 by hash; NULL is 0."""
-    return F.when(value.isNotNull(), F.pmod(F.xxhash64(value), F.lit((1 << bits) - 1)) + 1).otherwise(0).cast("int")
+    digest = F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint")
+    return F.when(value.isNotNull(), digest % ((1 << bits) - 1) + 1).otherwise(0).cast("int")
 
 
 def hilbert_index(cells: Sequence[Column], bits: int = BITS) -> Column:
@@ -101,8 +103,7 @@ def document_shards(docs: DataFrame, count: int) -> DataFrame:
     """Shards of documents by language, source and size: rows ``(doc_id, size, text_crc32, shard, slot)``."""
     text = F.coalesce("text", F.lit(""))
     size = (F.octet_length(text) + 1).cast("bigint")
-    # The text itself is not moved: two hashes and the size stand for it as the group.
-    group = F.concat_ws("-", F.hex(F.xxhash64(text)), F.hex(F.xxhash64(F.lit(1), text)), size)
+    group = F.md5(text)  # the text itself is not moved
     rows = docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), name_cell(F.col("lang")).alias("__lang"), name_cell(F.col("source")).alias("__source"), log_cell(size).alias("__size"), group.alias("__text"))
     placed = shards(rows, [F.col("__lang"), F.col("__source"), F.col("__size")], count, F.col("__text"))
     return placed.select("doc_id", "size", "text_crc32", "shard", "slot")

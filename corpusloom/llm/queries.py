@@ -21,7 +21,26 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), shingles AS MATERIALIZED (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM cut
+    ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), common AS (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+        WHERE a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS MATERIALIZED (
+        SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ), reached AS (
+        SELECT u, v FROM links UNION SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v
+    ), least AS (SELECT u AS doc_id, min(v) AS m FROM reached GROUP BY u)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+           doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+""")
 def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"))
 
@@ -63,7 +82,41 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "rule")
 
 
-@query()
+# Fixed value: 3988292384 is the reversed polynomial of CRC-32. The engine has no such function.
+CRC_TABLE_SQL = """SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crcs"""
+CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295],
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
+
+
+def _hilbert_sql() -> str:
+    """The steps of the curve one by one, each a query around the one before it; then ranks over the whole table."""
+    name = "CASE WHEN {0} IS NULL THEN 0 ELSE ('0x' || substr(md5({0}), 1, 8))::BIGINT % 31 + 1 END"
+    size = "least(31, 2 * length(bin(size)) + CASE WHEN substr(bin(size), 2, 1) = '1' THEN 1 ELSE 0 END)"
+    rows = f"""SELECT doc_id, size, text_crc32, grp, ({name.format("lang")})::INT AS x0, ({name.format("source")})::INT AS x1,
+        ({size})::INT AS x2 FROM (SELECT doc_id, lang, source, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+        {CRC_SQL} AS text_crc32, md5(coalesce(text, '')) AS grp FROM documents, crc_table)"""
+    for q in (16, 8, 4, 2):
+        for axis in range(3):
+            flip, swap = f"x{axis} & {q} <> 0", f"(xor(x0, x{axis}) & {q - 1})"
+            new = f"CASE WHEN {flip} THEN xor(x0, {q - 1}) ELSE xor(x0, {swap}) END AS x0"
+            if axis:
+                new += f", CASE WHEN {flip} THEN x{axis} ELSE xor(x{axis}, {swap}) END AS x{axis}"
+            rows = f"SELECT * REPLACE ({new}) FROM ({rows})"
+    rows = f"SELECT * REPLACE (xor(x1, x0) AS x1, xor(xor(x2, x1), x0) AS x2) FROM ({rows})"
+    parity = "0"
+    for q in (16, 8, 4, 2):
+        parity = f"xor({parity}, CASE WHEN x2 & {q} <> 0 THEN {q - 1} ELSE 0 END)"
+    rows = f"SELECT *, {parity} AS t FROM ({rows})"
+    index = " + ".join(f"((xor(x{i}, t) >> {b}) & 1) * {2 ** (3 * b + 2 - i)}" for b in range(5) for i in range(3))
+    return f"""WITH crc_table AS MATERIALIZED ({CRC_TABLE_SQL}), placed AS (SELECT *, min({index}) OVER (PARTITION BY grp) AS cell FROM ({rows})),
+        ranks AS (SELECT *, row_number() OVER (ORDER BY cell, grp, doc_id) - 1 AS r, count(*) OVER () AS n FROM placed),
+        cut AS (SELECT *, r * 8 // n AS shard FROM ranks)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, r - (shard * n + 7) // 8 AS slot, NULL::INT AS grown_shard FROM cut"""
+
+
+@query(_hilbert_sql())
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert.document_shards(table(spark, folder, "documents"), 8).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -166,7 +166,7 @@ def test_distrust_reaches_those_who_link_to_blocked_hosts(spark):
     assert got["spam.com"] == got["farm.com"] == "block" and got["nice.com"] == "allow"
 
 
-@pytest.mark.parametrize("name", ["op5_line_dedup", "op9_url_filter"])
+@pytest.mark.parametrize("name", ["op3_near_dedup", "op5_line_dedup", "op7_sharding", "op9_url_filter"])
 def test_sql(spark, name):
     from tests.oracle import connect, differences
 
