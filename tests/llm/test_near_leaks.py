@@ -56,7 +56,7 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize(("percent", "leaf", "levels"), [(80, 1024, 9), (85, 4, 9), (85, 4, 1)])
+@pytest.mark.parametrize(("percent", "leaf", "levels"), [(80, 1024, 9), (85, 4, 3), (85, 4, 1)])
 def test_components(spark, monkeypatch, percent, leaf, levels):
     """Also with nodes so small that every level and the pivots of large nodes are used."""
     monkeypatch.setattr(near_dup, "LEAF", leaf)
