@@ -1,8 +1,10 @@
 """Benchmark leaks: windows of documents that are as long as a benchmark item and nearly equal to it.
 
-Texts are lower-cased and cut into words at white space; shingles are five words. A window is proposed wherever a run of shingles
-that stand at the same places in an item begins: the item's start and length then fix the window (a window without any
-shingle of the benchmark has similarity 0). Equal windows are one from here on. Each gets a 64-bit SimHash of its shingles;
+Texts are lower-cased and cut into words at white space; shingles are five words. A window is proposed for an item by the
+places of the item's shingles in the text alone, in whatever order they stand: it is as long as the item, begins at such a place (or
+at the text's start, and ends at one), and holds so many of them that the similarity can be reached. A window that
+begins elsewhere can be moved to the next such place without losing any, so the best window of an item is always proposed, and
+others with the same shingles may not be. Equal windows are one from here on. Each gets a 64-bit SimHash of its shingles;
 a multi-index over four 16-bit blocks finds the items: two fingerprints that differ in at most ``RADIUS`` = 19 bits differ in at
 most four bits of some block, and the index holds every value within four bits of each item's blocks, so none within the
 radius is missed. What it finds is verified by the exact weighted similarity: the sum of the smaller over the sum of the
@@ -12,7 +14,8 @@ Defined results: a NULL or short text (below five words) has no windows; items w
 for; a window is cut at the text's ends; repeated items are one, and repeated rows of a document count as one document;
 documents with a NULL doc_id are one document; empty tables give no leaks. Other columns of the input are ignored.
 
-Native: no function leaves the JVM. The text is read once and only windows move. The benchmark's shingles are broadcast while
+Native: no function leaves the JVM. The text is read twice (for the places, then for the windows of the texts that have some), and only
+places and windows move. The benchmark's shingles are broadcast while
 there are at most ``BROADCAST_SHINGLES`` of them, and joined by a shuffle beyond.
 """
 
@@ -46,22 +49,44 @@ def items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select("item_id", shingles(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
 
 
-def windows(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows ``(doc_id, start, window)``: the proposed windows of each document, as shingles."""
-    at = F.explode(F.transform("item", lambda h, p: F.struct(h.alias("h"), p.alias("p"), F.size("item").alias("size"), F.get("item", p - 1).alias("before"))))
-    places = found.select(at.alias("x")).select("x.*").distinct()
-    lists = places.groupBy("h").agg(F.collect_list(F.struct("p", "size", "before")).alias("places"))
+def reaching(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """Rows ``(text_key, start, length)``, in shingles: windows that hold enough shingles of an item, in any order."""
+    known = found.select(F.xxhash64("item").alias("key"), F.size("item").alias("m"), F.explode(F.array_distinct("item")).alias("h"))
+    lists = known.groupBy("h").agg(F.collect_set(F.struct("key", "m")).alias("places"))
     if lists.count() <= BROADCAST_SHINGLES:
         lists = F.broadcast(lists)
-    rows = docs.select("doc_id", shingles(F.col("text")).alias("all")).where(F.size("all") > 0)
-    hits = rows.select("doc_id", "all", F.posexplode("all").alias("pos", "h")).join(lists, "h")
-    # Only the first shingle of a run proposes: the one before it differs from the item's.
-    begun = F.filter("places", lambda x: F.coalesce(F.get("all", F.col("pos") - 1) != x["before"], F.lit(True)))
-    cut = F.transform(begun, lambda x: F.struct(
-        F.greatest(F.col("pos") - x["p"], F.lit(0)).alias("start"),
-        F.slice("all", F.greatest(F.col("pos") - x["p"], F.lit(0)) + 1, x["size"] + F.least(F.col("pos") - x["p"], F.lit(0))).alias("window"),
-    ))
-    return hits.select("doc_id", F.explode(F.array_distinct(cut)).alias("x")).select("doc_id", "x.*")
+    rows = docs.select(F.md5("text").alias("text_key"), shingles(F.col("text")).alias("all"))
+    hits = rows.select("text_key", F.size("all").alias("n"), F.posexplode("all").alias("pos", "h")).join(lists, "h")
+    each = hits.select("text_key", "n", "pos", F.explode("places").alias("x")).select("text_key", "n", "pos", "x.*")
+    sorted_places = each.groupBy("text_key", "n", "key", "m").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+
+    def needed(length: Column) -> Column:  # common / (length + m - common) >= least
+        return F.greatest(F.lit(1), F.ceil((length + F.col("m")) * F.lit(least / (1 + least)) - F.lit(1e-6)).cast("int"))
+
+    def from_here(p: Column, i: Column) -> Column:
+        length = F.least(F.col("m"), F.col("n") - p)
+        last = F.get("at", i + needed(length) - 1)  # the last of so many places, counted from this one
+        return F.when(F.coalesce(last < p + length, F.lit(False)), F.struct(p.alias("start"), length.alias("length")))
+
+    def up_to_here(p: Column, i: Column) -> Column:
+        reached = (p + 1 < F.col("m")) & (i + 1 >= needed(p + 1))
+        return F.when(reached, F.struct(F.lit(0).alias("start"), (p + 1).alias("length")))
+
+    cut = F.filter(F.concat(F.transform("at", from_here), F.transform("at", up_to_here)), lambda x: x.isNotNull())
+    return sorted_places.select("text_key", F.explode(cut).alias("x")).select("text_key", "x.*").distinct()
+
+
+def windows(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """Rows ``(doc_id, start, window)``: the proposed windows of each document, as shingles."""
+    cuts = landed(reaching(docs, found, least), "cuts")
+    lists = cuts.groupBy("text_key").agg(F.collect_list(F.struct("start", "length")).alias("cuts"))
+    if cuts.count() <= BROADCAST_SHINGLES:
+        lists = F.broadcast(lists)
+    rows = docs.select("doc_id", "text", F.md5("text").alias("text_key")).join(lists, "text_key")
+    taken = F.transform(F.array(shingles(F.col("text"))), lambda a: F.transform(
+        "cuts", lambda x: F.struct(x["start"].alias("start"), F.slice(a, x["start"] + 1, x["length"]).alias("window"))
+    ))[0]
+    return rows.select("doc_id", F.explode(taken).alias("x")).select("doc_id", "x.*")
 
 
 def simhash(found: Column) -> Column:
@@ -97,7 +122,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radi
     """Rows ``(doc_id, start, length, item_id, similarity)`` of all verified windows; start and length count words."""
     known = landed(items(benchmark), "items")
     seen = landed(
-        windows(docs, known).withColumn("content", F.sha2(F.array_join(F.transform("window", lambda h: F.hex(h)), ""), 256)), "windows"
+        windows(docs, known, least).withColumn("content", F.sha2(F.array_join(F.transform("window", lambda h: F.hex(h)), ""), 256)), "windows"
     )
     distinct = seen.groupBy("content").agg(F.first("window").alias("window")).where(F.size("window") > 0)
     printed = landed(distinct.withColumn("print", simhash(F.col("window"))), "fingerprints")

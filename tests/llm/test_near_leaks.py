@@ -125,6 +125,27 @@ def test_leaks(spark):
     assert not leaks.marked(frame, table.limit(0)).where("contaminated").count()
 
 
+def test_reordered_passages(spark):
+    """Halves and sentences in another order; cut by the text's start or end; long items with repeated shingles."""
+    rng = random.Random(6)
+    items = [[f"{k}b{rng.randrange(9000)}" for _ in range(n)] for k, n in enumerate((64, 90, 50))] + [[f"r{i % 20}" for i in range(70)]]
+    docs = []
+    for item in items:
+        half, third = len(item) // 2, len(item) // 3
+        for part in (item[half:] + item[:half], item[third : 2 * third] + item[2 * third :] + item[:third], item[5:], item[:-5]):
+            own = [f"d{rng.randrange(500)}" for _ in range(40)]
+            docs += [own + part + own, part + own, own[:9] + part[:-3]]
+    docs = [" ".join(d) for d in docs]
+    frame = spark.createDataFrame([*enumerate(docs), (0, docs[1])], "doc_id long, text string")
+    table = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: r for r in leaks.marked(frame, table).collect() if r.doc_id}
+    same = len(docs) // len(items)  # the items have no words in common
+    want = {d: {d // same: leaked(t, " ".join(items[d // same]))} for d, t in enumerate(docs) if d}
+    assert {d: r.item_ids for d, r in got.items()} == {d: [i for i, s in w.items() if s >= 0.8] for d, w in want.items()}
+    assert sum(bool(r.item_ids) for r in got.values()) > 20
+    assert all(abs(r.similarity - max(want[d].values())) < 1e-9 for d, r in got.items() if r.item_ids)
+
+
 def test_all_planted_passages_are_found(spark):
     docs, bench = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     texts = [r.text for r in bench.collect()]
