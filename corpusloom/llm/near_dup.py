@@ -4,18 +4,22 @@ A document is the set of its distinct five-word shingles (hashed to 64 bits; A-Z
 linked if ``100 * intersection >= percent * union``.
 
 1. Each set becomes ``TOKENS`` minwise tokens. Equal sets are one class from here on, so exact copies cost nothing further.
-2. Each of ``TREES`` independent trees deals the classes to nodes by its first token. Nodes of more than ``LEAF`` classes branch
-   again by further tokens, level by level; which token is drawn by the node.
-3. Small nodes are compared exhaustively, first by their tokens (a pair whose tokens agree four standard deviations too
-   rarely is not linked) and what remains by whole sets. A node hands on one link per member, not its pairs.
+2. Each of several trees deals the classes to nodes by its first token. Nodes of more than ``LEAF`` classes branch again by
+   further tokens, level by level. No two trees share a token. Once links are known, a node that is one component but for
+   at most ``LEAF // 2`` classes need not branch: it is cut into chunks of that component, each with all the others.
+3. Small nodes are compared exhaustively, first by their tokens (a pair whose tokens agree too rarely is not
+   linked) and what remains by whole sets. A node hands on one link per member, not its pairs.
 4. What no token divides are classes that agree in all tokens of their path. Such a node is compared with one member at
    a time, in chunks; by the triangle inequality of the Jaccard distance, members that cannot be linked with any
    remaining one leave. This goes on until the node is small, so it is exact and needs no all-pairs step.
-5. The links' connected components are the result.
+5. Classes whose trees branched so often that a link may have been lost are dealt by further trees, with new tokens.
+6. The links' connected components are the result.
 
-A pair of similarity s stays together in a tree that branches n times with probability ``s ** n``. At 0.85, ten trees miss 6 of a
-billion pairs in nodes that are small at once, and 1 of 100 in nodes that have to branch four times more; at 0.95 those
-are 1 of a million. ``TREES`` sets the recall. Later trees only look at nodes with documents of several components.
+A pair of similarity s is together in a node that n tokens lead to with probability ``s ** n``, so the trees miss it with the
+product of their ``1 - s ** n``. Each class keeps that product for the similarity that is asked for, and is done when it is at
+most ``TREE_MISS``. A pair is missed by the trees with at most twice that probability (either end may be done first), and by the
+comparison of tokens in 3 with at most ``TOKEN_MISS``: 1 of 10,000 pairs at exactly the threshold in all, whatever the percent and
+the depth. Later trees only look at nodes with documents of several components.
 
 Defined results: documents without words are linked with nothing; fewer than five words are one shingle; rows that share a
 doc_id are one document; rows with a NULL doc_id are linked with nothing and have a NULL component; an empty table gives an
@@ -37,15 +41,21 @@ from corpusloom.llm.common import landed, shuffle_parts, travels
 from corpusloom.llm.components import components
 
 WORDS, PERCENT = 5, 85
-TREES, TOKENS, PER_LEVEL, LEAF = 10, 64, 6, 1024
-LEVELS = (TOKENS - TREES) // PER_LEVEL
+TOKENS, LEAF = 64, 1024
+LEVELS = 9  # a tree branches so often at most, and not more often than it has tokens
+TREE_MISS, TOKEN_MISS = 4e-5, 2e-5  # recall of a pair: 1 - 2 * TREE_MISS - TOKEN_MISS
 FIRST_TREES = 2  # trees whose links are found before the others are looked at
 BROADCAST_ROWS = 1_000_000
 MOST_CACHED = 200_000
 
 travels(__name__)
 
-FACTORS = np.random.default_rng(85).integers(1 << 62, size=TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def factors(sketch: int) -> np.ndarray:
+    """The hash functions of a sketch; those of different sketches have nothing in common."""
+    seed = [85, sketch] if sketch else 85
+    return np.random.default_rng(seed).integers(1 << 62, size=TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class Shingler:
@@ -73,26 +83,26 @@ class Shingler:
         return np.unique(value ^ (value >> np.uint64(32)))
 
 
-def minwise(values: np.ndarray) -> np.ndarray:
+def minwise(values: np.ndarray, factor: np.ndarray) -> np.ndarray:
     """The smallest value of the set under each hash function."""
     least = np.full(TOKENS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(values), 2048):
-        np.minimum(least, (values[at : at + 2048, None] * FACTORS).min(axis=0), out=least)
+        np.minimum(least, (values[at : at + 2048, None] * factor).min(axis=0), out=least)
     return (least >> np.uint64(33)).astype(np.int32)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, sketch: int = 0) -> DataFrame:
     """Rows ``(doc_id, n_shingles, key, tokens)``; ``key`` stands for the whole set, and is NULL for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
+        shingles, factor = Shingler(), factors(sketch)
         for batch in batches:
             sizes, keys, tokens = [], [], []
             for text in batch.column(1):
                 values = shingles(text.as_py())
                 sizes.append(len(values))
                 keys.append(xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None)
-                tokens.append(minwise(values) if len(values) else None)
+                tokens.append(minwise(values, factor) if len(values) else None)
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int32()))]
             yield pa.record_batch(columns, ["doc_id", "n_shingles", "key", "tokens"])
 
@@ -140,27 +150,70 @@ def sizes_of(rows: DataFrame) -> DataFrame:
     return landed(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")), "sizes")
 
 
-def tree_leaves(classes: DataFrame, trees: range) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(node, doc)`` of the small nodes of some trees, and of the large ones that no token is left for."""
+def log_miss(percent: int, tokens: int) -> float:
+    """Logarithm of the probability that a tree parts a pair at the threshold on a path of so many tokens."""
+    return math.log(max(1e-300, 1 - (percent / 100) ** tokens))
+
+
+def trees_for(percent: int) -> int:
+    """Trees of a sketch: enough for classes whose nodes need not branch once the first trees' links are known."""
+    return min(TOKENS, FIRST_TREES + math.ceil(math.log(TREE_MISS) / log_miss(percent, 1)))
+
+
+def around_components(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small nodes cut from large ones that are nearly one component, and the other large nodes.
+
+    All classes outside a node's largest component meet each other and each member of it; nodes of one component alone are left out.
+    """
+    half = max(1, LEAF // 2)
+    rows = landed(large.join(classes.select("doc", "root").distinct(), "doc"), "rooted")
+    counts = rows.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
+    nodes = landed(counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main")), "mains")
+    others = F.col("size") - F.col("main.n")
+    rest = rows.join(nodes.where(others > half).select("node"), "node", "left_semi").select(*large.columns)
+    chunks = F.ceil(F.col("main.n") / half)
+    every = F.sequence(F.lit(0).cast("bigint"), chunks - 1)
+    own = F.array(F.pmod(F.xxhash64("doc"), chunks))
+    joined = rows.join(nodes.where((others > 0) & (others <= half)), "node")
+    cut = joined.select("node", "doc", F.explode(F.when(F.col("root") == F.col("main.root"), own).otherwise(every)).alias("chunk"))
+    return landed(cut.select(F.xxhash64("node", "chunk").alias("node"), "doc"), "chunks"), landed(rest, "nodes")
+
+
+def tree_leaves(classes: DataFrame, trees: range, percent: int, linked: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Rows ``(node, doc)`` of the small nodes of some trees, and of the large ones that no token is left for.
+
+    Also rows ``(doc, more)``: what each branching adds to a class's ``log_miss``. ``linked`` says that some links are known.
+    """
+    many = trees_for(percent)
     roots = [F.struct(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))).alias("node"), F.lit(t).alias("tree")) for t in trees]
-    rows = classes.select("doc", F.explode(F.array(*roots)).alias("n")).select("n.node", "doc")
-    small, large = split(rows, sizes_of(rows))
-    leaves = small
-    for level in range(LEVELS):
+    rows = classes.select("doc", F.explode(F.array(*roots)).alias("n")).select("n.node", "n.tree", "doc")
+    leaves, more = None, []
+    for level in range(1 + min(LEVELS, TOKENS // many - 1)):
+        if level:
+            token = F.get("tokens", F.col("tree") + level * many)
+            joined = large.join(classes.select("doc", "tokens"), "doc")
+            rows = landed(joined.select(F.xxhash64("node", token).alias("node"), "tree", "doc"), "children")
+            added = log_miss(percent, level + 1) - log_miss(percent, level)
+            more.append(rows.select("doc", F.lit(added).alias("more")))
+        small, large = split(rows, sizes_of(rows))
+        small = small.select("node", "doc")
+        leaves = small if leaves is None else leaves.unionByName(small)
         if large.isEmpty():
             break
-        pick = TREES + level * PER_LEVEL + F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(PER_LEVEL))
-        child = F.xxhash64("node", F.get("tokens", pick.cast("int")))
-        rows = landed(large.join(classes.select("doc", "tokens"), "doc").select(child.alias("node"), "doc"), "children")
-        small, large = split(rows, sizes_of(rows))
-        leaves = leaves.unionByName(small)
-    return leaves, large
+        if linked:
+            cut, large = around_components(large, classes)
+            leaves = leaves.unionByName(cut)
+            if large.isEmpty():
+                break
+    return leaves, large.select("node", "doc"), more
 
 
 def agreeing(percent: int) -> int:
-    """Tokens of a linked pair that agree, at the least: four standard deviations below the mean."""
-    p = percent / 100
-    return max(1, math.floor(TOKENS * p - 4 * math.sqrt(TOKENS * p * (1 - p))))
+    """Tokens of a linked pair that agree, at the least: fewer do with a probability of at most ``TOKEN_MISS``."""
+    p, least, below = percent / 100, 0, 0.0
+    while least < TOKENS and (below := below + math.comb(TOKENS, least) * p**least * (1 - p) ** (TOKENS - least)) <= TOKEN_MISS:
+        least += 1
+    return max(1, least)
 
 
 def likely(leaves: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -314,20 +367,39 @@ def pivot_links(large: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFr
 
 def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links ``(u, v)`` between classes ``(doc, tokens)``, enough to connect all that are linked."""
-    found = None
-    for trees in (range(FIRST_TREES), range(FIRST_TREES, TREES)):
-        roots = classes.withColumn("root", F.col("doc"))
-        if found is not None:
-            known = found.select(F.col("u").alias("doc"), F.col("v").alias("known"))
-            roots = landed(classes.join(known, "doc", "left").withColumn("root", F.coalesce("known", "doc")).drop("known"), "roots")
-        leaves, large = tree_leaves(roots, trees)
-        rows = landed(likely(leaves, roots, percent), "likely")
-        new = leaf_links(rows, docs, percent)
-        star, more = pivot_links(large.select("node", "doc"), docs, percent)
-        for extra in (star, None if more is None else leaf_links(more, docs, percent)):
-            new = new if extra is None else new.unionByName(extra)
-        found = components(new if found is None else new.unionByName(found))
-    return found
+    if percent < 1:
+        raise ValueError("percent must be 1 or more")
+    trees, found, sketch = trees_for(percent), None, 0
+    missed = classes.select("doc", F.lit(0.0).alias("miss"))
+    while True:
+        more = []
+        for some in [range(FIRST_TREES), range(FIRST_TREES, trees)] if found is None else [range(trees)]:
+            roots = classes.withColumn("root", F.col("doc"))
+            if found is not None:
+                known = found.select(F.col("u").alias("doc"), F.col("v").alias("known"))
+                roots = landed(classes.join(known, "doc", "left").withColumn("root", F.coalesce("known", "doc")).drop("known"), "roots")
+            leaves, large, deeper = tree_leaves(roots, some, percent, found is not None)
+            more += deeper
+            rows = landed(likely(leaves, roots, percent), "likely")
+            new = leaf_links(rows, docs, percent)
+            star, rest = pivot_links(large, docs, percent)
+            for extra in (star, None if rest is None else leaf_links(rest, docs, percent)):
+                new = new if extra is None else new.unionByName(extra)
+            found = components(new if found is None else new.unionByName(found))
+        every = trees * log_miss(percent, 1)
+        if not more and every <= math.log(TREE_MISS):
+            return found
+        for rows in more:
+            missed = missed.unionByName(rows.withColumnRenamed("more", "miss"))
+        # Each row of a class that has several counts in full, which errs on the side of more trees.
+        missed = missed.groupBy("doc").agg((F.sum("miss") + every).alias("miss"))
+        missed = landed(missed.where(F.col("miss") > math.log(TREE_MISS)), "missed")
+        if missed.isEmpty():
+            return found
+        sketch += 1
+        texts = with_texts(missed, docs).select(F.col("doc").alias("doc_id"), "text")
+        again = sketches(texts, sketch).where("key is not null")
+        classes = landed(again.select(F.col("doc_id").alias("doc"), "tokens").distinct(), "classes")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

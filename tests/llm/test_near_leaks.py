@@ -76,6 +76,25 @@ def test_components(spark, monkeypatch, percent, leaf, levels):
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize(("percent", "core", "own", "tail"), [(80, 60, 20, 10), (85, 80, 22, 9)])
+def test_no_pair_at_the_threshold_is_lost_on_deep_paths(spark, monkeypatch, percent, core, own, tail):
+    """All texts share half of their shingles, so that small nodes are many branchings away."""
+    monkeypatch.setattr(near_dup, "LEAF", 16)
+
+    def new(name, n):
+        return [f"{name}x{k}" for k in range(n)]
+
+    texts = []
+    for pair in range(80):
+        shared = new("core", core + 4) + new(f"p{pair}", own)
+        texts += [" ".join(shared + new(f"{side}{pair}", tail)) for side in "ab"]
+    a, b, c = map(shingles, texts[:3])
+    assert 100 * len(a & b) == percent * len(a | b) and 100 * len(a & c) < 60 * len(a | c)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, percent).collect()}
+    assert got == {i: i // 2 * 2 for i in range(160)}
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(docs).count() == 0
