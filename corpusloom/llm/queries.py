@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import hilbert, html_text, importance, language, leaks, line_dedup, near_dup, packing, quality_rules, url_filter
+from corpusloom.llm import (
+    filter_audit,
+    hilbert,
+    html_text,
+    importance,
+    infill,
+    language,
+    leaks,
+    line_dedup,
+    near_dup,
+    packing,
+    pigeonring,
+    quality_rules,
+    url_filter,
+)
 from corpusloom.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -178,3 +192,74 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.marked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), marks AS (
+        SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+    ), judged AS (
+        SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+                      regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails,
+               coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+        FROM cut LEFT JOIN marks USING (doc_id)
+    ), groups AS MATERIALIZED (
+        SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails
+    ), orders AS (
+        SELECT '' AS o UNION ALL
+        SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)
+    ), places AS (
+        SELECT o AS filter_order, i AS step, strpos('ABCDE', o[i]) AS own,
+               list_transform(range(1, i), lambda j: strpos('ABCDE', o[j])) AS earlier
+        FROM (SELECT o, unnest(range(1, 6)) AS i FROM orders WHERE length(o) = 5)
+    ), applied AS (
+        SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS here,
+               len(list_filter(earlier, lambda j: fails[j])) > 0 AS gone, len(list_filter(fails, lambda f: f)) AS failed
+        FROM groups, places
+    ), figures AS (
+        SELECT part, filter_order, step, own,
+               coalesce(sum(n) FILTER (NOT here AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed,
+               coalesce(sum(n) FILTER (here AND gone), 0) AS redundant, coalesce(sum(n) FILTER (here AND failed = 1), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (here AND NOT gone), 0) AS good_lost, coalesce(sum(toxic) FILTER (here AND NOT gone), 0) AS toxic_lost
+        FROM applied GROUP BY part, filter_order, step, own
+    )
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM figures
+""")
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+               list_transform(range(4), lambda i: ('0x' || substr(sha256('7:' || doc_id), 8 * i + 1, 8))::BIGINT) AS h FROM documents
+    ), ends AS (
+        SELECT doc_id, t, u, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+               greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+                    WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut
+    ), parts AS (
+        SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM ends
+    ), outputs AS (
+        SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS o FROM parts
+    ), places AS (SELECT *, strpos(o, '<P>') AS p, strpos(o, '<S>') AS s, strpos(o, '<M>') AS m FROM outputs)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(o) AS output_sha256,
+           sha256(CASE form WHEN 'plain' THEN o
+                  WHEN 'psm' THEN substr(o, p + 3, s - p - 3) || substr(o, m + 3) || substr(o, s + 3, m - s - 3)
+                  ELSE substr(o, p + 3, m - p - 3) || substr(o, m + 3) || substr(o, s + 3, p - s - 3) END) AS restored_sha256
+    FROM places
+""")
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    filled = infill.filled(infill.stored(table(spark, folder, "documents")))
+    return infill.digests(filled).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query()
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pigeonring.grouped(table(spark, folder, "documents"))
