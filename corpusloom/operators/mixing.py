@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions.hashing import uniform
-from corpusloom.operators.ordering import bucket_count, bucket_of, key_bounds, numbered, require_bounded
+from corpusloom.operators.ordering import bucket_count, bucket_of, key_bounds, numbered, require_bounded, running_total
+from corpusloom.session import landed
 
 # Arrival gaps are whole multiples of 2**-20, so that sums do not depend on the order of addition.
 CLOCK_SCALE = float(1 << 20)
 
-BROADCAST_STARTS = 1_000_000  # rows of sources and buckets; beyond, Spark joins them by a shuffle
-
 # Fixed value: steps of a streaming run that sets no limit.
 DEFAULT_STEPS = 10_000
 
@@ -85,22 +84,16 @@ def interleave(
         raise ValueError("no source has any row")
     shares = normalised({name: weights[name] for name in rows})
     bounds = key_bounds(parts, key, rows_per_bucket, rows=sum(rows.values()))
-    gap = arrival_gap(source, key, shares, seed)
-    parts = parts.withColumn("__bucket", bucket_of(F.col(key), bounds))
-    # At most one number per source and bucket reaches the driver.
-    totals = parts.groupBy(source, "__bucket").agg(F.sum(gap).alias("total")).collect()
-    starts, ends = _clock_starts(totals)
-    cut = min(ends.values())
+    gap, bucket = arrival_gap(source, key, shares, seed), bucket_of(F.col(key), bounds)
+    clocks = bucket_clocks(parts.select(source, bucket.alias("__bucket"), gap.alias("__value")), source)
+    # One number per source each: where its clock ends, and the last bucket that begins before the mix ends.
+    cut = min(r[1] for r in clocks.groupBy(source).agg(F.max(F.col("__value") + F.col("__total"))).collect())
     if len(shares) > 1:
-        starts = [s for s in starts if s[2] <= cut]
-    clocks = _starts_frame(df, starts)
-    near = parts.join(
-        F.broadcast(clocks) if len(starts) <= BROADCAST_STARTS else clocks,
-        F.col(source).eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__b")),
-    )
-    local = Window.partitionBy(source, "__bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    timed = near.withColumn("t", F.sum(gap).over(local) + F.col("__start"))
-    mixed = timed.drop("__bucket", "__source", "__b", "__start")
+        clocks = clocks.where(F.col("__value") <= cut)
+        near = {r[0]: r[1] for r in clocks.groupBy(source).agg(F.max("__bucket")).collect()}
+        parts = parts.where(bucket <= lookup(source, near))
+    heads = clocks.select(source, "__bucket", "__value")
+    mixed = running_total(parts, gap, [key], within=[source], out="t", bucket=bucket, heads=heads)
     if len(shares) > 1:
         mixed = mixed.where(F.col("t") <= F.lit(cut))
     if position is None:
@@ -108,17 +101,14 @@ def interleave(
     return place_by_time(mixed, cut, source, key, position, sum(rows.values()), rows_per_bucket)
 
 
-def _clock_starts(totals: list) -> tuple[list[tuple[str, int, int]], dict[str, int]]:
-    """For every source and bucket the sum of its earlier buckets, and the last arrival of every source."""
-    starts, ends = [], {}
-    for source, bucket, total in sorted(totals):
-        starts.append((source, bucket, ends.get(source, 0)))
-        ends[source] = ends.get(source, 0) + total
-    return starts, ends
-
+def bucket_clocks(gaps: DataFrame, source: str) -> DataFrame:
+    """Rows ``(source, __bucket, __total, __value)``: the gaps of every bucket, and those of all earlier ones of its source.
 
-def _starts_frame(df: DataFrame, starts: list[tuple[str, int, int]]) -> DataFrame:
-    return df.sparkSession.createDataFrame(starts, "__source string, __b int, __start bigint")
+    A table of at most ``MAX_BUCKETS`` rows per source, in the shared folder.
+    """
+    totals = landed(gaps.groupBy(source, "__bucket").agg(F.sum("__value").alias("__total")), "clocks")
+    before = Window.partitionBy(source).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("__value", F.coalesce(F.sum("__total").over(before), F.lit(0)))
 
 
 def place_by_time(

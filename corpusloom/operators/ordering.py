@@ -49,12 +49,12 @@ def key_bounds(
         return []
     every = max(1, rows // (buckets * SAMPLED_PER_BUCKET))
     sample = df.select(key) if every == 1 else df.select(key).where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
-    points = _constants([i / buckets for i in range(1, buckets)], "double")
+    points = constants([i / buckets for i in range(1, buckets)], "double")
     cuts = sample.agg(F.percentile_approx(key, points, F.lit(max(10_000, 4 * buckets)))).first()[0]
     return sorted(set(cuts or []))
 
 
-def _constants(values: Sequence, kind: str) -> Column:
+def constants(values: Sequence, kind: str) -> Column:
     """An array of constants, written as one string that the optimizer turns into a literal."""
     return F.split(F.lit(",".join(str(v) for v in values)), ",").cast(f"array<{kind}>")
 
@@ -63,10 +63,10 @@ def bucket_of(key: Column, bounds: Sequence) -> Column:
     """How many cut points are <= key: a binary search inside one expression."""
     if not bounds:
         return F.lit(0)
-    cuts = _constants(bounds, "bigint" if all(isinstance(b, int) for b in bounds) else "double")
+    cuts = constants(bounds, "bigint" if all(isinstance(b, int) for b in bounds) else "double")
     steps = [1 << i for i in range(len(bounds).bit_length())]
     return F.aggregate(
-        _constants(reversed(steps), "int"),
+        constants(reversed(steps), "int"),
         F.lit(0),
         lambda low, s: F.when(F.get(cuts, low + s - 1) <= key, low + s).otherwise(low),
     )
@@ -80,11 +80,13 @@ def running_total(
     out: str = "running_total",
     rows_per_bucket: int | None = None,
     bucket: Column | None = None,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` (this row included) in ``order``, separately for each group of ``within``.
 
     The first order column must be numeric and close to unique within a group; the others break ties. ``bucket`` may be
-    passed when some expression already splits the rows in order.
+    passed when some expression already splits the rows in order, and ``heads`` when the totals of the earlier buckets are known
+    as rows of the group's columns, ``__bucket`` and ``__value``.
     """
     keys = list(within)
     if bucket is None:
@@ -96,7 +98,7 @@ def running_total(
     parts = df.withColumns({_BUCKET: bucket, "__value": value, "__row": F.lit(1)})
     # The total of the earlier buckets enters each bucket as a row of its own, ahead of all others. The rows are thus
     # moved once and joined with nothing.
-    heads = bucket_offsets(parts, F.col("__value"), keys).withColumn("__row", F.lit(0))
+    heads = (bucket_offsets(parts, F.col("__value"), keys) if heads is None else heads).withColumn("__row", F.lit(0))
     window = Window.partitionBy(*keys, _BUCKET).orderBy("__row", *order)
     return (
         parts.unionByName(heads, allowMissingColumns=True)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ REPORTED_NAMES = ("embed", "layers.0")
 # Up to so many rows of a group Spark's optimizer cuts groups before it shuffles them; the results are the same beyond.
 GROUP_LIMIT = 1000
 
+NAMES_HELD = 100_000  # tensors whose moments a task combines before it hands them on
+
 MIB = 1024 * 1024
 
 
@@ -107,27 +111,92 @@ def save_metric_report(metrics: DataFrame, path: str) -> None:
 # Tensor health ------------------------------------------------------------------------------------------------------
 
 
+def tensor_moments(tensors: DataFrame, name: str = "name", values: str = "values") -> DataFrame:
+    """Rows ``(name, numel, has_nan, has_inf, n, mean, m2)``: one per tensor and task, over the arrays that the task has seen.
+
+    ``m2`` is the sum of squared distances from ``mean``. Arrays are taken as whole columns; no element becomes a row. Moments of
+    arrays of one tensor are combined pairwise (Chan's rule), which loses no digits where the mean is far from zero.
+    """
+
+    names = ["name", "numel", "has_nan", "has_inf", "n", "mean", "m2"]
+    kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.float64(), pa.float64()]
+
+    def record(parts: dict[str | None, list]) -> pa.RecordBatch:
+        columns = [list(parts), *([p[i] for p in parts.values()] for i in range(6))]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[str | None, list] = {}
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            codes = {key: i for i, key in enumerate(dict.fromkeys(keys))}
+            lists = batch.column(1)
+            of_row = np.array([codes[k] for k in keys], np.int64)
+            flat = lists.flatten()
+            of_value = np.repeat(of_row, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            numel = np.bincount(of_value, minlength=len(codes))
+            known = flat.is_valid().to_numpy(zero_copy_only=False)
+            x = flat.to_numpy(zero_copy_only=False)[known].astype(np.float64)
+            of_value = of_value[known]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                n = np.bincount(of_value, minlength=len(codes))
+                mean = np.bincount(of_value, x, len(codes)) / n
+                x0 = x - mean[of_value]
+                rest = np.bincount(of_value, x0, len(codes)) / n  # what rounding left of the mean
+                mean, m2 = mean + rest, np.bincount(of_value, (x0 - rest[of_value]) ** 2, len(codes))
+            nan = np.bincount(of_value, np.isnan(x), len(codes)) > 0
+            inf = np.bincount(of_value, np.isinf(x), len(codes)) > 0
+            for key, i in codes.items():
+                new = [int(numel[i]), bool(nan[i]), bool(inf[i]), int(n[i]), float(mean[i]) if n[i] else 0.0, float(m2[i])]
+                parts[key] = merged_moments(parts[key], new) if key in parts else new
+            if len(parts) > NAMES_HELD:
+                yield record(parts)
+                parts = {}
+        if parts:
+            yield record(parts)
+
+    kept = tensors.select(F.col(name).cast("string"), values)
+    return kept.mapInArrow(run, "name string, numel bigint, has_nan boolean, has_inf boolean, n bigint, mean double, m2 double")
+
+
+def merged_moments(a: list, b: list) -> list:
+    """Counts, flags, mean and squared distances of two sets of values together."""
+    n = a[3] + b[3]
+    if not a[3] or not b[3]:
+        mean, m2 = (b if b[3] else a)[4:]
+    else:
+        apart = b[4] - a[4]
+        mean, m2 = a[4] + apart * b[3] / n, a[5] + b[5] + apart * apart * a[3] * b[3] / n
+    return [a[0] + b[0], a[1] or b[1], a[2] or b[2], n, mean, m2]
+
+
 def tensor_statistics(tensors: DataFrame, name: str = "name", values: str = "values") -> DataFrame:
     """Per tensor: element count, mean, sample deviation, whether NaN or infinite values occur, and health class.
 
-    A tensor may be stored in any number of rows. Only floating-point tensors are looked at.
+    A tensor may be stored in any number of rows. Only floating-point tensors are looked at. NULL elements count as elements,
+    but have no part in mean and deviation. At most one row per tensor and task is moved and gathered.
     """
     kind = tensors.schema[values].dataType
     if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.FloatType, T.DoubleType))):
         raise ValueError(f"{values} must hold floating-point numbers")
-    x = F.col("x")
-    infinite = x.isin(float("inf"), float("-inf"))
-    stats = (
-        tensors.select(name, F.posexplode_outer(values).alias("pos", "x"))  # a tensor without elements keeps its row
-        .select(name, "pos", F.col("x").cast("double").alias("x"))
-        .groupBy(name)
-        .agg(
-            F.count("pos").alias("numel"),
-            F.coalesce(F.max(F.isnan(x)), F.lit(False)).alias("has_nan"),
-            F.coalesce(F.max(infinite), F.lit(False)).alias("has_inf"),
-            F.avg("x").alias("mean"),
-            F.stddev_samp("x").alias("std"),
-        )
+    parts = tensor_moments(tensors, name, values).groupBy("name").agg(
+        F.sum("numel").alias("numel"),
+        F.max("has_nan").alias("has_nan"),
+        F.max("has_inf").alias("has_inf"),
+        F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2")))).alias("parts"),
+    )
+    # Chan's rule again, over the tasks.
+    whole = F.expr("""aggregate(parts, named_struct('n', 0L, 'mean', 0D, 'm2', 0D), (a, b) -> named_struct(
+        'n', a.n + b.n,
+        'mean', if(a.n = 0, b.mean, a.mean + (b.mean - a.mean) * b.n / (a.n + b.n)),
+        'm2', if(a.n = 0, b.m2, a.m2 + b.m2 + (b.mean - a.mean) * (b.mean - a.mean) * a.n * b.n / (a.n + b.n))))""")
+    stats = parts.withColumn("whole", whole).select(
+        F.col("name").alias(name),
+        "numel",
+        "has_nan",
+        "has_inf",
+        F.when(F.col("whole.n") > 0, F.col("whole.mean")).alias("mean"),
+        F.when(F.col("whole.n") > 1, F.sqrt(F.col("whole.m2") / (F.col("whole.n") - 1))).alias("std"),
     )
     return stats.withColumn("health", health_class(F.col("has_nan"), F.col("has_inf"), F.col("std")))
 

@@ -1,14 +1,14 @@
 """Byte-level BPE: word counts, training of merges, encoding and decoding.
 
-During training every symbol is one character, so a word is a string, a merge is Spark's ``replace`` (left to
-right, without overlaps) and the order of pairs is the order of strings. Nothing of the corpus or of its word table
-reaches the driver: it only sees the best pairs of each round.
+During training every symbol is one character, so a word is a string and the order of pairs is the order of strings. The word
+table stays on the cluster, with an inverted index from pairs to words; the driver only ranks a bounded number of pairs.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -36,6 +36,12 @@ SURROGATES = range(0xD800, 0xE000)
 SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
 SAMPLE_SIZE = 1_000_000
 PAIRS_PER_ROUND = 512
+CANDIDATES = 65_536  # pairs that the driver ranks during training
+FIRST_SNAPSHOT = 256  # merges, after which words are indexed
+INDEX_FOLDERS = 64
+ROUND_TASKS = 4  # that add up the changed pairs of a round
+INDEXED_LENGTH = 64
+MERGED_AT_ONCE = 1000
 CACHED_WORDS = 500_000
 
 
@@ -203,41 +209,14 @@ def as_symbols(word: Column, byte_ids: Sequence[int]) -> Column:
 
 def pair_counts(words: DataFrame, symbols: str = "symbols", freq: str = "freq") -> DataFrame:
     """Weighted counts of adjacent symbol pairs; a pair is a string of two symbols."""
-    chars = words.select(F.split(symbols, "").alias("new"), F.col(freq).alias("freq"))
-    return _total(_weighted_pairs(chars.withColumn("old", F.array().cast("array<string>"))))
+    listed = words.select(F.explode(_pairs(symbols)).alias("pair"), F.col(freq).alias("freq"))
+    return listed.groupBy("pair").agg(F.sum("freq").alias("freq"))
 
 
-def _weighted_pairs(chars: DataFrame) -> DataFrame:
-    """Adjacent entries of ``old`` with weight ``-freq`` and of ``new`` with weight ``freq``."""
-
-    def side(column: str, first: int) -> Column:
-        return F.slice(column, F.lit(first), F.greatest(F.size(column) - 1, F.lit(0)))
-
-    lefts, rights = F.concat(side("old", 1), side("new", 1)), F.concat(side("old", 2), side("new", 2))
-    zipped = F.arrays_zip(lefts.alias("l"), rights.alias("r"))
-    listed = chars.select("freq", (F.size("old") - 1).alias("lost"), F.posexplode(zipped))
-    weight = F.when(F.col("pos") < F.col("lost"), -F.col("freq")).otherwise(F.col("freq"))
-    return listed.select(F.concat("col.l", "col.r").alias("pair"), weight.alias("freq"))
-
-
-def _total(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("pair").agg(F.sum("freq").alias("freq"))
-
-
-def apply_merges(symbols: str, merges: Sequence[tuple[str, str]]) -> Column:
-    """The word after some merges, in order.
-
-    The merges are one array literal, which is data to the compiled plan: rounds with more or fewer of them share code.
-    """
-    listed = ", ".join(f"named_struct('pair', '{pair}', 'new', '{new}')" for pair, new in merges)
-    return F.expr(f"aggregate(array({listed}), {symbols}, (word, m) -> replace(word, m.pair, m.new))")
-
-
-def updated_pair_counts(counts: DataFrame, words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
-    """Pair counts after some merges: only words that change lose their old pairs and get their new ones."""
-    changed = words.select("symbols", apply_merges("symbols", merges).alias("now"), "freq").where("symbols != now")
-    chars = changed.select(F.split("symbols", "").alias("old"), F.split("now", "").alias("new"), "freq")
-    return _total(counts.unionByName(_weighted_pairs(chars)))
+def _pairs(symbols: str) -> Column:
+    """All adjacent pairs of a word of symbols."""
+    places = F.sequence(F.lit(1), F.length(symbols) - 1)
+    return F.when(F.length(symbols) > 1, F.transform(places, lambda i: F.substring(F.col(symbols), i, F.lit(2))))
 
 
 def independent_prefix(pairs: Sequence[str], room: int) -> list[str]:
@@ -260,6 +239,181 @@ def independent_prefix(pairs: Sequence[str], room: int) -> list[str]:
     return chosen
 
 
+class RankedPairs:
+    """The best pairs with their counts, ranked by count and then by pair: ``CANDIDATES`` of them, and at most twice that.
+
+    ``behind`` is the rank up to which they are complete (None: there are no others). Counts of old pairs only fall, and a pair that
+    a merge creates has its whole count at once, so no pair behind that rank gets before it unnoticed.
+    """
+
+    def __init__(self, found: list[tuple[str, int]], complete: bool) -> None:
+        self.counts = dict(found)
+        self.heap = sorted((-n, pair) for pair, n in found)
+        self.behind = None if complete else self.heap[-1]
+
+    def change(self, deltas: list[tuple[str, int]]) -> None:
+        for pair, delta in deltas:
+            now = self.counts.get(pair, 0) + delta
+            if now > 0 and (pair in self.counts or delta > 0) and (self.behind is None or (-now, pair) <= self.behind):
+                self.counts[pair] = now
+                heapq.heappush(self.heap, (-now, pair))
+            else:
+                self.counts.pop(pair, None)
+        if len(self.counts) > 2 * CANDIDATES or len(self.heap) > 8 * CANDIDATES:
+            self.heap = sorted((-n, pair) for pair, n in self.counts.items())
+            if len(self.heap) > 2 * CANDIDATES:
+                self.heap = self.heap[:CANDIDATES]
+                self.behind = self.heap[-1]
+            self.counts = {pair: -n for n, pair in self.heap}
+
+    def head(self, min_frequency: int, room: int) -> list[str]:
+        """The pairs that are merged next."""
+        best: list[tuple[int, str]] = []
+        while self.heap and len(best) < min(room, PAIRS_PER_ROUND):
+            n, pair = heapq.heappop(self.heap)
+            if self.counts.get(pair) == -n and (not best or best[-1][1] != pair):  # an entry may be outdated or stand twice
+                best.append((n, pair))
+                if -n < min_frequency:
+                    break
+        for entry in best:
+            heapq.heappush(self.heap, entry)
+        return independent_prefix([pair for n, pair in best if -n >= min_frequency], room)
+
+
+def renamed(merges: Sequence[str], first: int, end: int, size: int) -> list[tuple[str, str]]:
+    """Some of the merges with their new symbols; ``size`` is the number of tokens before any merge."""
+    return [(merges[i], symbol(size + i)) for i in range(first, end)]
+
+
+def spelled(symbols: str, merges: Sequence[str], first: int, size: int) -> str:
+    """Symbols in terms of those that existed after ``first`` merges."""
+    out, todo = [], list(reversed(symbols))
+    while todo:
+        rank = symbol_id(todo[-1]) - size
+        if rank < first:
+            out.append(todo.pop())
+        else:
+            todo[-1:] = reversed(merges[rank])
+    return "".join(out)
+
+
+def merged(words: str, merges: Sequence[tuple[str, str]]) -> str:
+    """Words of symbols, one a line, after some merges ``(pair, new symbol)`` in order.
+
+    Few merges are made on all words at once; of many, each word only goes through those that it has pairs for.
+    """
+    if len(merges) <= MERGED_AT_ONCE:
+        for pair, new in merges:
+            words = words.replace(pair, new)
+        return words
+    ranks = {(pair[0], pair[1]): (i, new) for i, (pair, new) in enumerate(merges)}
+    return "\n".join("".join(merge_word(list(w), ranks)) for w in words.split("\n"))
+
+
+def updated(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
+    """The word table after some merges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                now = merged("\n".join(batch.column(0).to_pylist()), merges).split("\n")
+                yield pa.record_batch([pa.array(now, pa.string()), batch.column(1)], ["symbols", "freq"])
+
+    return words.select("symbols", "freq").mapInArrow(run, "symbols string, freq bigint")
+
+
+def pair_codes(words: str) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacent pairs of words, one a line, as integers, and the number of the word that each pair is in."""
+    points = np.frombuffer(words.encode("utf-32-le"), np.uint32)
+    ends = points == ord("\n")
+    inside = ~(ends[:-1] | ends[1:])
+    codes = points[:-1].astype(np.int64) << 32 | points[1:]
+    return codes[inside], np.cumsum(ends)[:-1][inside]
+
+
+def pair_code(pair: str) -> int:
+    return ord(pair[0]) << 32 | ord(pair[1])
+
+
+class Snapshot:
+    """The word table after some merges, and an inverted index from pairs to the words that hold them.
+
+    Words are strings of symbols. The index lies in folders by the pair's checksum, so a lookup reads the folders of its pairs
+    alone; pairs that very many words hold are split over several files. Words of more than ``INDEXED_LENGTH`` symbols would
+    stand in the index with all their pairs; they are searched whole, and so is the table before any merge.
+    """
+
+    def __init__(self, words: DataFrame, path: str, first: int, reader: SparkSession) -> None:
+        spark = words.sparkSession
+        self.first = first  # merges that the table has seen
+        self.usual: dict[str, int] = {}  # counts of the more frequent pairs
+        self.folders = max(INDEX_FOLDERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self.words = _landed(words.where(F.length("symbols") > 1), f"{path}/words")
+        whole = reader.read.schema(self.words.schema).parquet(f"{path}/words")
+        self.index = None
+        if first:  # the first merges are in most words
+            short = self.words.where(F.length("symbols") <= INDEXED_LENGTH)
+            rows = short.select(F.explode(F.array_distinct(_pairs("symbols"))).alias("pair"), "symbols", "freq")
+            rows = rows.withColumn("folder", F.pmod(F.crc32(F.col("pair").cast("binary")), F.lit(self.folders)).cast("int"))
+            rows.hint("rebalance", "folder").write.partitionBy("folder").parquet(f"{path}/index")
+            self.index = reader.read.schema(rows.schema).parquet(f"{path}/index")
+            whole = whole.where(F.length("symbols") > INDEXED_LENGTH)
+        whole = whole.select(F.lit(None).cast("string").alias("pair"), "symbols", "freq")
+        self.rest = None if first and whole.isEmpty() else whole
+
+    def holding(self, pairs: set[str]) -> DataFrame:
+        """Rows ``(pair, symbols, freq)`` of the words that hold one of some pairs of this table's symbols, and maybe of others."""
+        if self.index is None:
+            return self.rest
+        folders = sorted({zlib.crc32(p.encode()) % self.folders for p in pairs})
+        found = self.index.where(F.col("folder").isin(folders) & F.col("pair").isin(sorted(pairs))).select("pair", "symbols", "freq")
+        return found if self.rest is None else found.unionByName(self.rest)
+
+    def lookups(self, head: Sequence[str], merges: Sequence[str], size: int) -> set[str]:
+        """Pairs of this table's symbols, one of which is in every word that holds a pair of the head by now.
+
+        A word holds a pair of later symbols only if it holds what they stand for; of its pairs the rarest is looked up.
+        """
+        texts = [spelled(p, merges, self.first, size) for p in head]
+        return {min(map(str.__add__, t, t[1:]), key=lambda p: self.usual.get(p, 0)) for t in texts}
+
+
+def count_changes(
+    rows: DataFrame, lookups: set[str], before: Sequence[tuple[str, str]], head: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """How the counts of pairs change when a head is merged: rows ``(pair, delta)``.
+
+    ``rows`` are the words that a snapshot finds for ``lookups``, and ``before`` are the merges between that snapshot and the head.
+    A word that was found by several pairs counts where its first one found it.
+    """
+    wanted = np.array(sorted(pair_code(p) for p in lookups), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, freq = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
+            if not words:
+                continue
+            codes, word = pair_codes("\n".join(words))
+            hit = np.isin(codes, wanted)
+            own, first = np.unique(word[hit], return_index=True)
+            found = codes[hit][first].tolist()
+            by = batch.column(0).to_pylist()
+            mine = [i for i, code in zip(own.tolist(), found, strict=True) if by[i] is None or pair_code(by[i]) == code]
+            if not mine:
+                continue
+            old = merged("\n".join([words[i] for i in mine]), before)
+            (ones, at), (others, to) = pair_codes(old), pair_codes(merged(old, head))
+            weights = freq[mine].astype(np.float64)  # whole numbers far below 2 ** 53
+            pairs, place = np.unique(np.concatenate([ones, others]), return_inverse=True)
+            delta = np.bincount(place, np.concatenate([-weights[at], weights[to]]), len(pairs)).astype(np.int64)
+            some = np.flatnonzero(delta)
+            names = [chr(c >> 32) + chr(c & 0xFFFFFFFF) for c in pairs[some].tolist()]
+            yield pa.record_batch([pa.array(names, pa.string()), pa.array(delta[some])], ["pair", "delta"])
+
+    changed = rows.mapInArrow(run, "pair string, delta bigint")
+    return changed.groupBy("pair").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+
+
 def train_merges(
     words: DataFrame,
     vocab_size: int = VOCAB_SIZE,
@@ -268,39 +422,50 @@ def train_merges(
 ) -> Vocabulary:
     """Merges from a table ``word, freq``: each time the most frequent pair, ties to the smaller left, then right id.
 
-    Every round applies a whole head of the ranking at once, updates the counts of the pairs in the words it changes, and
-    writes word table and pair counts to the shared folder.
+    A round merges a whole head of the ranking at once. One job looks up the words that hold the head's pairs in the index of the
+    last snapshot, brings them up to date, and returns how the counts change; it writes nothing. Whenever the number of merges
+    has doubled, the word table is brought up to date and indexed anew, which is the only state, and in the shared folder. The
+    driver holds the merges and the best pairs. It receives the changed pairs of a round: old ones beside a pair of the head, and
+    new ones that rank before what it holds.
     """
     if vocab_size > SYMBOL_LIMIT:
         raise ValueError(f"vocab_size may be at most {SYMBOL_LIMIT}")
     base = Vocabulary([], tuple(reserved))
     size = len(base.names)
-    merges: list[tuple[int, int]] = []
     folder = scratch_path(words.sparkSession, "merges")
-    table = words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq")
-    table = _landed(_dealt(table), f"{folder}/words-0")
-    counts = _landed(pair_counts(table), f"{folder}/pairs-0")
-    generation = 0
-    while size < vocab_size:
-        ranked = (
-            counts.where(F.col("freq") >= min_frequency)
-            .orderBy(F.col("freq").desc(), F.col("pair"))
-            .limit(PAIRS_PER_ROUND)
-            .collect()
-        )
-        head = independent_prefix([r["pair"] for r in ranked], vocab_size - size)
-        if not head:
+    table = _dealt(words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq"))
+    # Rounds are small jobs: what they move fits a few tasks, and planning it anew at runtime costs more than it saves.
+    rounds = words.sparkSession.newSession()
+    rounds.conf.set("spark.sql.adaptive.enabled", "false")
+    rounds.conf.set("spark.sql.shuffle.partitions", str(ROUND_TASKS))
+    snapshot = Snapshot(table, f"{folder}/0", 0, rounds)
+    merges: list[str] = []
+    ranked = None
+    while (done := len(merges)) < vocab_size - size:
+        head = ranked.head(min_frequency, vocab_size - size - done) if ranked else []
+        if not head and ranked and ranked.behind is None:
             break
-        new = [(pair, symbol(size + i)) for i, pair in enumerate(head)]
-        merges += [(symbol_id(pair[0]), symbol_id(pair[1])) for pair in head]
-        size += len(head)
-        # Two folders take turns: one is read while the other is replaced. Only words that the head changes are recounted.
-        generation = 1 - generation
-        now = updated_pair_counts(counts, table, new).where(F.col("freq") > 0)
-        merged = table.select(apply_merges("symbols", new).alias("symbols"), "freq").where(F.length("symbols") > 1)
-        counts = _landed(now, f"{folder}/pairs-{generation}")
-        table = _landed(merged, f"{folder}/words-{generation}")
-    return Vocabulary(merges, tuple(reserved))
+        if done > snapshot.first and (not head or done >= max(FIRST_SNAPSHOT, 2 * snapshot.first)):
+            now = updated(snapshot.words, renamed(merges, snapshot.first, done, size))
+            snapshot = Snapshot(now, f"{folder}/{done}", done, rounds)
+            snapshot.usual = dict(ranked.counts)
+        if not head:
+            counts = pair_counts(snapshot.words).where(F.col("freq") >= min_frequency)
+            found = [tuple(r) for r in counts.orderBy(F.col("freq").desc(), "pair").limit(CANDIDATES).collect()]
+            if not found:
+                break
+            ranked = RankedPairs(found, len(found) < CANDIDATES)
+            snapshot.usual = dict(ranked.counts)
+            continue
+        merges += head
+        lookups = snapshot.lookups(head, merges, size)
+        before, now = renamed(merges, snapshot.first, done, size), renamed(merges, done, len(merges), size)
+        changed = count_changes(snapshot.holding(lookups), lookups, before, now)
+        if ranked.behind is not None:
+            n, pair = -ranked.behind[0], ranked.behind[1]
+            changed = changed.where((F.col("delta") < 0) | (F.col("delta") > n) | ((F.col("delta") == n) & (F.col("pair") <= pair)))
+        ranked.change([tuple(r) for r in changed.collect()])
+    return Vocabulary([(symbol_id(p[0]), symbol_id(p[1])) for p in merges], tuple(reserved))
 
 
 def _landed(df: DataFrame, path: str) -> DataFrame:

@@ -12,7 +12,6 @@ from corpusloom.plans.registry import table
 from corpusloom.session import spread
 
 MIX_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.1, "benchmark": 0.05}
-TRAINED_SIZE = 320
 # Look-ahead is left out on both sides of a comparison, since the SQL engine has none.
 SIMPLE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
@@ -159,11 +158,11 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
-    """A small vocabulary trained on all documents, once per session and set of files."""
+    """A vocabulary trained on all documents, once per session and set of files."""
     files = table(spark, folder, "documents").inputFiles()
     at = (spark.sparkContext.applicationId, "\n".join(sorted(files)))
     if at not in _VOCABULARIES:
-        _VOCABULARIES[at] = train_vocabulary(texts(spark, folder), vocab_size=TRAINED_SIZE, pattern=SIMPLE_PATTERN)
+        _VOCABULARIES[at] = train_vocabulary(texts(spark, folder))
     return _VOCABULARIES[at]
 
 

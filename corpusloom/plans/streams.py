@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import rendering as r
 from corpusloom.operators import tokens as k
-from corpusloom.operators.mixing import interleave, union_sources
+from corpusloom.operators.mixing import union_sources
+from corpusloom.operators.ordering import bucket_of, key_bounds
 from corpusloom.plans import adapters as a
 from corpusloom.plans.blends import SEED, SOURCES_SQL, mix_sql
 from corpusloom.plans.chat import MESSAGES_SQL
@@ -19,6 +20,9 @@ from corpusloom.sources.catalogue import Source
 from corpusloom.sources.readers import Layout, scan_stream
 from corpusloom.sources.sinks import land, land_stream
 from corpusloom.streaming import streams as s
+from corpusloom.streaming.mixing import StreamMix
+
+STREAM_PARTS = 3
 
 
 def replayed(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -102,12 +106,13 @@ def stream_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {mix_sql(a.MIX_WEIGHTS, SEED)} SELECT source, key, text, t FROM mix")
 def stream_mix_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """The exact mix of one micro-batch that holds the whole blend."""
-    whole, _ = _expected(spark, folder)
-    stream, root = replayed(spark, whole, "blend")
-
-    def mix(batch: DataFrame, number: int) -> None:
-        land(interleave(batch, a.MIX_WEIGHTS, SEED), f"{root}/out/batch={number}")
-
-    s.each_batch(stream, mix, f"{root}/checkpoint").awaitTermination()
+    """The exact mix of a blend that arrives in parts, in order of its keys; the stream is started anew for each of them."""
+    whole, expected = _expected(spark, folder)
+    root = scratch_path(spark, "blend")
+    mix = StreamMix({n: w for n, w in a.MIX_WEIGHTS.items() if expected.get(n)}, SEED, root)
+    bounds = key_bounds(whole, "key", buckets=STREAM_PARTS)
+    for part in range(len(bounds) + 1):
+        whole.where(bucket_of(F.col("key"), bounds) == part).write.mode("append").parquet(f"{root}/blend")
+        stream = scan_stream(spark, Layout(root), Source("blend"), whole.schema)
+        mix.start(stream, f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out").select("source", "key", "text", "t")

@@ -56,6 +56,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "corpusloom", f"{label}-{uuid.uuid4().hex}")
 
 
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back, which ends its lineage."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a scan out to all cores when its files give fewer splits than there are cores.
 

@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,35 @@ def test_tensor_in_several_rows_and_examples_limit(spark):
         u.tensor_statistics(spark.createDataFrame([("i", [1])], "name string, values array<int>"))
 
 
+def test_moments_are_those_of_all_elements(spark):
+    """Arrays of one tensor in many rows and tasks, far from zero, with NULLs, empty and NULL arrays; no element becomes a row."""
+    rng = random.Random(3)
+    rows, values = [], {}
+    for i in range(300):
+        name = rng.choice(["hot", "hot", "hot", "far", "one", None])
+        size = rng.choice([0, 1, 5, 64])
+        array = None if rng.random() < 0.05 else [None if rng.random() < 0.1 else rng.gauss(1e9 if name == "far" else 0, 1) for _ in range(size)]
+        rows.append((name, array, "x"))
+        values.setdefault(name, []).extend(array or [])
+    rows.append(("none", [], "x"))
+    df = spark.createDataFrame(rows, "name string, values array<double>, mean string").repartition(7)
+    stats = u.tensor_statistics(df)
+    assert "Generate" not in stats._jdf.queryExecution().executedPlan().toString()
+    got = {x.name: x for x in stats.collect()}
+    for name, all_values in values.items():
+        known = [v for v in all_values if v is not None]
+        assert got[name].numel == len(all_values)
+        assert math.isclose(got[name].mean, statistics.fmean(known), rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isclose(got[name]["std"], statistics.stdev(known), rel_tol=1e-6)
+    assert tuple(got["none"])[1:] == (0, False, False, None, None, "ok")
+
+
+def test_a_tensor_of_ten_million_elements(spark):
+    df = spark.range(10).select(F.lit("w").alias("name"), F.expr("transform(sequence(1, 1000000), i -> cast(i % 2 as float))").alias("values"))
+    got = u.tensor_statistics(df).first()
+    assert (got.numel, got.mean, got.health) == (10_000_000, 0.5, "ok") and math.isclose(got["std"], 0.5, rel_tol=1e-6)
+
+
 def test_dead_tensors_do_not_change_the_verdict(spark):
     df = spark.createDataFrame([("a", [1.0, 1.0]), ("b", [1.0, 2.0])], "name string, values array<double>")
     assert u.tensor_summary(u.tensor_statistics(df)).first().healthy

@@ -109,6 +109,39 @@ def test_rounds_equal_single_merges(spark, seed):
     assert k.train_merges(df, vocab_size=262 + 30).merges == one_at_a_time(words, 262 + 30)
 
 
+@pytest.mark.parametrize("limits", [{"CANDIDATES": 40}, {"CANDIDATES": 12, "FIRST_SNAPSHOT": 20}, {"INDEXED_LENGTH": 3}])
+def test_bounded_ranking_and_snapshots_change_nothing(spark, monkeypatch, limits):
+    """Few pairs at the driver, frequent snapshots and words that are not indexed: the merges stay those of the rule."""
+    for name, value in limits.items():
+        monkeypatch.setattr(k, name, value)
+    rng = random.Random(5)
+    words = {"".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 12))): rng.randint(1, 30) for _ in range(120)}
+    words["a" * 40] = 3
+    df = spark.createDataFrame(list(words.items()), "word string, freq bigint")
+    assert k.train_merges(df, vocab_size=262 + 60).merges == one_at_a_time(words, 262 + 60)
+
+
+def test_training_ends_where_no_pair_is_left(spark):
+    df = spark.createDataFrame([("abab", 5), ("x", 9), ("yz", 1)], "word string, freq bigint")
+    assert k.train_merges(df).merges == one_at_a_time({"abab": 5, "x": 9, "yz": 1}, 400)
+    assert k.train_merges(df.limit(0)).merges == []
+
+
+def test_a_large_vocabulary_equals_the_library(spark, monkeypatch):
+    """Thousands of merges, one by one the library's, with a ranking that is cut and filled again on the way."""
+    from tokenizers import ByteLevelBPETokenizer
+
+    monkeypatch.setattr(k, "CANDIDATES", 1000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    mine = k.train_vocabulary(docs, vocab_size=900)
+    library = ByteLevelBPETokenizer()
+    library.train_from_iterator([x.text for x in docs.collect()], vocab_size=900, min_frequency=2, special_tokens=list(k.RESERVED_TOKENS))
+    assert {n: i for i, n in enumerate(mine.names)} == library.get_vocab()
+    listed = json.loads(library.to_str())["model"]["merges"]
+    pairs = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in listed]
+    assert [(mine.names[a], mine.names[b]) for a, b in mine.merges] == pairs and len(pairs) == 638
+
+
 def test_independent_prefix():
     assert k.independent_prefix(["ab", "cb", "ad", "bc"], 9) == ["ab", "cb", "ad"]
     assert k.independent_prefix(["ab", "cd", "aa"], 9) == ["ab", "cd"]
@@ -201,6 +234,50 @@ def test_packing(spark, length, rows_per_bucket):
     assert whole.count() == len(stream) // length
 
 
+def id_exchanges(df):
+    """Exchanges of the plan that carry token arrays."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange " in line and "BroadcastExchange" not in line], plan
+
+
+@pytest.mark.parametrize("length, parts", [(1, 8), (7, 8), (64, 3), (100_000, 8)])
+def test_packing_of_long_and_short_sequences(spark, length, parts):
+    """Sequences over many tasks, some ending with a chunk, against one list; each is moved once."""
+    rng = random.Random(length)
+    lengths = [rng.choice([0, 1, length - 1, 2 * length - 1, rng.randrange(40)]) for _ in range(60)] + [900, 0, 6]
+    if length > 1000:
+        lengths = [n % 5000 for n in lengths]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        packed = b.pack(sequences(spark, lengths), length, end_id=2)
+        exchanges, plan = id_exchanges(packed)
+        got = sorted(packed.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    stream = [t for n in lengths for t in [*range(10, 10 + n), 2]]
+    assert [x.input_ids for x in got] == [stream[i : i + length] for i in range(0, len(stream), length)]
+    assert [x.chunk for x in got] == list(range(len(got)))
+    # The test's own repartition, and one for all that follows.
+    assert len(exchanges) == 2, plan
+
+
+def test_dealt_batches(spark):
+    df = sequences(spark, [3, 9, 5, 1, 0] * 20)
+    want = {x.key: x for x in b.collate(b.fixed_batches(df, 8, ["key"]), 0).collect()}
+    collated = b.collate(b.dealt_batches(df, 8, "key"), 0, within=[b.RANGE])
+    assert len(id_exchanges(collated)[0]) == 2
+    rows = collated.collect()
+    assert len(rows) == len(want) == 100
+    for x in rows:
+        assert x.asDict() | {b.RANGE: None} == want[x.key].asDict() | {b.RANGE: None}
+    groups = b.collate_groups(b.dealt_batches(df, 8, "key"), 0, within=[b.RANGE])
+    assert len(id_exchanges(groups)[0]) == 2
+    assert sorted(groups.collect()) == sorted(b.collate_groups(b.fixed_batches(df, 8, ["key"]), 0).collect())
+    assert b.dealt_batches(df.limit(0), 8, "key").count() == 0 == b.pack(df.limit(0), 8, 2).count()
+    with pytest.raises(ValueError):
+        b.dealt_batches(df.unionByName(spark.createDataFrame([(None, [1])], df.schema)), 8, "key")
+
+
 def test_pair_caps(spark):
     df = spark.createDataFrame([([1, 2, 3], [4, 5], [6, 7, 8, 9])], "prompt array<int>, chosen array<int>, rejected array<int>")
     off = b.cap_pairs(df, 0).first()
