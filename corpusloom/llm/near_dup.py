@@ -4,16 +4,18 @@ A document is the set of its distinct five-word shingles (hashed to 64 bits; A-Z
 linked if ``100 * intersection >= percent * union``.
 
 1. Each set becomes ``TOKENS`` minwise tokens. Equal sets are one class from here on, so exact copies cost nothing further.
-2. Each of several trees deals the classes to nodes by its first token. Nodes of more than ``LEAF`` classes branch again by
-   further tokens, level by level. No two trees share a token. Once links are known, a node that is one component but for
-   at most ``LEAF // 2`` classes need not branch: it is cut into chunks of that component, each with all the others.
+2. Each of several trees deals the classes to nodes by its first token. Nodes of more than ``LEAF`` (classes, or as much text as so many
+   of ``LONG`` shingles) branch by further tokens: all levels of their classes are counted at once, and a class goes to the first
+   node on its path that is small. No two trees share a token.
 3. Small nodes are compared exhaustively, first by their tokens (a pair whose tokens agree too rarely is not
    linked) and what remains by whole sets. A node hands on one link per member, not its pairs.
-4. What no token divides are classes that agree in all tokens of their path. Such a node is compared with one member at
-   a time, in chunks; by the triangle inequality of the Jaccard distance, members that cannot be linked with any
-   remaining one leave. This goes on until the node is small, so it is exact and needs no all-pairs step.
-5. Classes whose trees branched so often that a link may have been lost are dealt by further trees, with new tokens.
-6. The links' connected components are the result.
+4. What no token divides are classes that agree in all tokens of their path. In the first trees, some members chosen by hash
+   are compared with all others of such a node, in chunks. That finds the component of a large group of near copies.
+5. Once links are known, a node need not branch if it is one component but for at most ``LEAF // 2`` classes, and a node of one
+   component is done. The others, and those that no token divides, are cut in blocks: the classes outside the largest
+   component meet each other and each member of it, a pair of blocks being a small node. This is exact, and takes one pass.
+6. Classes whose trees branched so often that a link may have been lost are dealt by further trees, with new tokens.
+7. The links' connected components are the result. New links are added to the components found before as links between those.
 
 A pair of similarity s is together in a node that n tokens lead to with probability ``s ** n``, so the trees miss it with the
 product of their ``1 - s ** n``. Each class keeps that product for the similarity that is asked for, and is done when it is at
@@ -34,7 +36,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import landed, shuffle_parts, travels
@@ -44,14 +46,13 @@ WORDS, PERCENT = 5, 85
 TOKENS, LEAF = 64, 1024
 LEVELS = 9  # a tree branches so often at most, and not more often than it has tokens
 TREE_MISS, TOKEN_MISS = 4e-5, 2e-5  # recall of a pair: 1 - 2 * TREE_MISS - TOKEN_MISS
-FIRST_TREES = 2  # trees whose links are found before the others are looked at
-BROADCAST_ROWS = 1_000_000
+FIRST_TREES = 2  # trees whose large nodes are looked at before links are known
+LONG = 4096  # shingles; a longer text counts as several classes where the size of nodes is bounded
 MOST_CACHED = 200_000
 
 travels(__name__)
 
 
-
 def factors(sketch: int) -> np.ndarray:
     """The hash functions of a sketch; those of different sketches have nothing in common."""
     seed = [85, sketch] if sketch else 85
@@ -139,17 +140,6 @@ def in_groups(rows: DataFrame, key: str, function: Callable[[pa.Table], pa.Recor
     return rows.repartition(parts, key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
-def split(rows: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Small nodes with more than one class, and large nodes; ``rows`` are ``(node, doc, …)``, ``sizes`` are ``(node, size)``."""
-    several = sizes.where("size > 1")
-    joined = landed(rows.join(several, "node"), "nodes")
-    return joined.where(F.col("size") <= LEAF).drop("size"), joined.where(F.col("size") > LEAF).drop("size")
-
-
-def sizes_of(rows: DataFrame) -> DataFrame:
-    return landed(rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")), "sizes")
-
-
 def log_miss(percent: int, tokens: int) -> float:
     """Logarithm of the probability that a tree parts a pair at the threshold on a path of so many tokens."""
     return math.log(max(1e-300, 1 - (percent / 100) ** tokens))
@@ -160,52 +150,94 @@ def trees_for(percent: int) -> int:
     return min(TOKENS, FIRST_TREES + math.ceil(math.log(TREE_MISS) / log_miss(percent, 1)))
 
 
-def around_components(large: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Small nodes cut from large ones that are nearly one component, and the other large nodes.
+def weighed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Number and weight of the classes of each group."""
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
+
+
+def chunked(rows: DataFrame) -> DataFrame:
+    """Large nodes ``(node, doc, weight)`` as small ones: chunks of their classes, each with the classes that are chosen by hash."""
+    half = max(1, LEAF // 2)
+    sizes = landed(weighed(rows, ["node"]), "sizes")
+    chunks = F.ceil(F.col("size") / half)
+    chosen = F.pmod(F.xxhash64("doc", F.lit(1)), 2 * chunks) == 0  # about a quarter of LEAF
+    own, every = F.pmod(F.xxhash64("doc"), chunks), F.sequence(F.lit(0).cast("bigint"), chunks - 1)
+    placed = rows.join(sizes.select("node", F.col("weight").alias("size")), "node")
+    cut = placed.select("node", "doc", F.explode(F.when(chosen, every).otherwise(F.array(own))).alias("chunk"))
+    return cut.select(F.xxhash64("node", "chunk").alias("node"), "doc")
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Large nodes ``(node, doc, root, weight)`` as small ones, which bring together all pairs but those of the largest component.
 
-    All classes outside a node's largest component meet each other and each member of it; nodes of one component alone are left out.
+    A class outside it stands with each block of such classes, and with each block of the component's members.
     """
     half = max(1, LEAF // 2)
-    rows = landed(large.join(classes.select("doc", "root").distinct(), "doc"), "rooted")
-    counts = rows.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
-    nodes = landed(counts.groupBy("node").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("main")), "mains")
-    others = F.col("size") - F.col("main.n")
-    rest = rows.join(nodes.where(others > half).select("node"), "node", "left_semi").select(*large.columns)
-    chunks = F.ceil(F.col("main.n") / half)
-    every = F.sequence(F.lit(0).cast("bigint"), chunks - 1)
-    own = F.array(F.pmod(F.xxhash64("doc"), chunks))
-    joined = rows.join(nodes.where((others > 0) & (others <= half)), "node")
-    cut = joined.select("node", "doc", F.explode(F.when(F.col("root") == F.col("main.root"), own).otherwise(every)).alias("chunk"))
-    return landed(cut.select(F.xxhash64("node", "chunk").alias("node"), "doc"), "chunks"), landed(rest, "nodes")
-
-
-def tree_leaves(classes: DataFrame, trees: range, percent: int, linked: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """Rows ``(node, doc)`` of the small nodes of some trees, and of the large ones that no token is left for.
-
-    Also rows ``(doc, more)``: what each branching adds to a class's ``log_miss``. ``linked`` says that some links are known.
+    counts = weighed(rows, ["node", "root"])
+    mains = counts.groupBy("node").agg(F.sum("weight").alias("size"), F.max(F.struct("weight", "root")).alias("main"))
+    others = F.col("size") - F.col("main.weight")
+    mains = landed(mains.where(others > 0), "mains")
+    placed = rows.join(mains, "node").withColumns(
+        {
+            "is_main": F.col("root") == F.col("main.root"),
+            "outer": F.ceil(others / half),
+            "inner": F.ceil(F.col("main.weight") / half),
+        }
+    )
+    first = F.lit(0).cast("bigint")
+    b = F.pmod(F.xxhash64("doc"), F.when(F.col("is_main"), F.col("inner")).otherwise(F.col("outer")))
+    placed = placed.withColumn("b", b)
+    among = F.transform(F.sequence(first, F.col("outer") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
+    # Blocks of members are numbered from -1 downwards.
+    across = F.transform(F.sequence(first, F.col("inner") - 1), lambda j: F.struct(F.col("b").alias("i"), (-1 - j).alias("j")))
+    member = F.transform(F.sequence(first, F.col("outer") - 1), lambda i: F.struct(i.alias("i"), (-1 - F.col("b")).alias("j")))
+    cut = placed.select("node", "doc", F.explode(F.when(F.col("is_main"), member).otherwise(F.concat(among, across))).alias("at"))
+    return cut.select(F.xxhash64("node", "at.i", "at.j").alias("node"), "doc")
+
+
+def dealt(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows ``(node, doc)`` of the small nodes that the first tokens of the trees give, and ``(node, tree, doc)`` of the large ones."""
+    roots = [F.struct(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))).alias("node"), F.lit(t).alias("tree")) for t in range(trees)]
+    rows = classes.select("doc", "weight", F.explode(F.array(*roots)).alias("n")).select("n.node", "n.tree", "doc", "weight")
+    sizes = landed(weighed(rows, ["node"]).where("n > 1").select("node", F.col("weight").alias("size")), "sizes")
+    rows = landed(rows.join(sizes, "node"), "nodes")
+    large = rows.where(F.col("size") > LEAF).select("node", "tree", "doc")
+    return rows.where(F.col("size") <= LEAF).select("node", "doc"), None if large.isEmpty() else large
+
+
+def divided(large: DataFrame, classes: DataFrame, percent: int, linked: bool) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Rows ``(node, doc)`` of the small nodes below large ones, and ``(node, doc, weight)`` of nodes that no token is left for.
+
+    Also rows ``(doc, more)``: what its branchings add to a class's ``log_miss``. ``classes`` are ``(doc, root, weight, tokens)``; ``linked``
+    says that some links are known, in which case those nodes are cut in blocks and not returned.
     """
-    many = trees_for(percent)
-    roots = [F.struct(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))).alias("node"), F.lit(t).alias("tree")) for t in trees]
-    rows = classes.select("doc", F.explode(F.array(*roots)).alias("n")).select("n.node", "n.tree", "doc")
-    leaves, more = None, []
-    for level in range(1 + min(LEVELS, TOKENS // many - 1)):
-        if level:
-            token = F.get("tokens", F.col("tree") + level * many)
-            joined = large.join(classes.select("doc", "tokens"), "doc")
-            rows = landed(joined.select(F.xxhash64("node", token).alias("node"), "tree", "doc"), "children")
-            added = log_miss(percent, level + 1) - log_miss(percent, level)
-            more.append(rows.select("doc", F.lit(added).alias("more")))
-        small, large = split(rows, sizes_of(rows))
-        small = small.select("node", "doc")
-        leaves = small if leaves is None else leaves.unionByName(small)
-        if large.isEmpty():
-            break
-        if linked:
-            cut, large = around_components(large, classes)
-            leaves = leaves.unionByName(cut)
-            if large.isEmpty():
-                break
-    return leaves, large.select("node", "doc"), more
+    many, half = trees_for(percent), max(1, LEAF // 2)
+    levels = 1 + min(LEVELS, TOKENS // many - 1)
+    # Every level of the paths of these classes.
+    path = [F.col("node")]
+    for level in range(1, levels):
+        path.append(F.xxhash64(path[-1], F.get("tokens", F.col("tree") + level * many)))
+    listed = F.array(*[F.struct(F.lit(i).alias("level"), n.alias("node")) for i, n in enumerate(path)])
+    deep = large.select("node", "tree", "doc").join(classes, "doc").select("doc", "tree", "root", "weight", F.explode(listed).alias("p"))
+    deep = landed(deep.select("doc", "tree", "root", "weight", "p.level", "p.node"), "paths")
+    nodes = weighed(deep, ["node", "root"]).groupBy("node").agg(
+        F.sum("n").alias("n"), F.sum("weight").alias("size"), F.max("weight").alias("main")
+    )
+    small = F.col("size") <= LEAF
+    apart = F.col("size") - F.col("main") <= half if linked else F.lit(False)
+    nodes = landed(nodes.select("node", "n", small.alias("small"), (small | apart).alias("done")), "path-nodes")
+    found = deep.join(nodes, "node")
+    ends = found.where("done").groupBy("doc", "tree", "root", "weight").agg(F.min(F.struct("level", "node", "n", "small")).alias("s"))
+    ends = landed(ends.select("doc", "root", "weight", "s.*"), "ends")
+    rest = landed(found.where((F.col("level") == levels - 1) & ~F.col("done")).select("doc", "root", "weight", "level", "node"), "undivided")
+    leaves = ends.where("small and n > 1").select("node", "doc")
+    added = F.array(*[F.lit(log_miss(percent, i + 1) - log_miss(percent, 1)) for i in range(levels)])
+    more = ends.select("doc", "level").unionByName(rest.select("doc", "level")).where("level > 0").select("doc", F.get(added, "level").alias("more"))
+    cut = ends.where("not small").select("node", "doc", "root", "weight")
+    if linked:
+        whole = cut.unionByName(rest.select("node", "doc", "root", "weight"))
+        return leaves.unionByName(in_blocks(whole)), None, more
+    return leaves.unionByName(chunked(rest.select("node", "doc", "weight"))), rest.select("node", "doc", "weight"), more
 
 
 def agreeing(percent: int) -> int:
@@ -282,12 +314,10 @@ def stars(docs: np.ndarray, found: np.ndarray) -> list[tuple[int, int]]:
 
 
 def with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Add the text to rows ``(doc, …)``. Up to a checked number the rows are broadcast, and texts move once, to their node."""
+    """Add the text to landed rows ``(doc, …)``. Where Spark finds their files small it broadcasts them, and texts move once."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
     rest = [c for c in rows.columns if c != "doc"]
-    places = rows.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("places"))
-    if rows.count() <= BROADCAST_ROWS:
-        places = F.broadcast(places)
+    places = landed(rows.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("places")), "places")
     return texts.join(places, "doc").select("doc", "text", F.explode("places").alias("p")).select("doc", "text", "p.*")
 
 
@@ -308,84 +338,57 @@ def leaf_links(rows: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return in_groups(with_texts(rows, docs), "node", compare, "u bigint, v bigint")
 
 
-def distances(rows: DataFrame, pivots: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(node, doc, pivot, common, total)`` of each member ``(node, doc, size)`` with its node's pivot ``(node, pivot)``.
+def joined_components(found: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Components ``(u, root)`` after new links: those are first drawn between the components known so far."""
+    if found is None:
+        return components(new)
+    for side in ("u", "v"):
+        known = found.select(F.col("u").alias(side), F.col("v").alias("known"))
+        new = new.join(known, side, "left").withColumn(side, F.coalesce("known", side)).drop("known")
+    between = landed(new.where("u <> v").select("u", "v").distinct(), "between")
+    if between.isEmpty():
+        return found
+    joined = components(between)
+    moved = found.join(joined.select(F.col("u").alias("v"), F.col("v").alias("to")), "v", "left").select("u", F.coalesce("to", "v").alias("v"))
+    return landed(moved.unionByName(joined), "components")
 
-    A node is cut into chunks of about ``LEAF`` members, and each chunk gets the pivot's text as one more row.
-    """
-    chunks = F.ceil(F.col("size") / LEAF)
-    members = rows.withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks)).select("node", "doc", "chunk", F.lit(False).alias("is_pivot"))
-    sizes = rows.select("node", "size").distinct()
-    heads = pivots.join(sizes, "node").select(
-        "node", F.col("pivot").alias("doc"), F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)).alias("chunk"), F.lit(True).alias("is_pivot")
-    )
-    both = landed(members.unionByName(heads).withColumn("part", F.xxhash64("node", "chunk")), "members")
 
-    def compare(group: pa.Table) -> pa.RecordBatch | None:
-        shingles = Shingler()
-        rows = group.to_pylist()
-        out = []
-        for node in {r["node"] for r in rows}:
-            own = [r for r in rows if r["node"] == node]
-            pivot = next(r for r in own if r["is_pivot"])
-            first = shingles(pivot["text"])
-            for r in own:
-                if not r["is_pivot"]:
-                    values = shingles(r["text"])
-                    common = len(np.intersect1d(first, values, assume_unique=True))
-                    out.append((node, r["doc"], pivot["doc"], common, len(first) + len(values) - common))
-        return pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in range(5)], ["node", "doc", "pivot", "common", "total"])
-
-    return in_groups(with_texts(both, docs), "part", compare, "node bigint, doc bigint, pivot bigint, common bigint, total bigint")
-
-
-def pivot_links(large: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links of large nodes ``(node, doc)`` with one member after the other, and the small nodes that remain of them."""
-    links, leaves = None, None
-    rows = large.withColumn("open", F.lit(True))
-    while not rows.isEmpty():
-        sized = rows.join(sizes_of(rows), "node")
-        # The next pivot is one that no pivot was linked with yet, by hash.
-        nexts = rows.where("open").groupBy("node").agg(F.min(F.struct(F.xxhash64("doc"), "doc")).alias("p"))
-        pivots = landed(nexts.select("node", F.col("p.doc").alias("pivot")), "pivots")
-        seen = landed(distances(sized, pivots, docs).join(rows.select("node", "doc", "open"), ["node", "doc"]), "distances")
-        seen = seen.withColumns({"far": 1 - F.col("common") / F.col("total"), "near": 100 * F.col("common") >= percent * F.col("total")})
-        new = seen.where("near").select(F.col("doc").alias("u"), F.col("pivot").alias("v"))
-        links = new if links is None else links.unionByName(new)
-        rest = seen.where("doc <> pivot").withColumn("open", F.col("open") & ~F.col("near"))
-        nearest = landed(rest.where("open").groupBy("node").agg(F.min("far").alias("closest"), F.max("far").alias("farthest")), "nearest")
-        reach = 1 - percent / 100 + 1e-9
-        # By the triangle inequality only members about as far from the pivot as an open one can be linked with it.
-        may = (F.col("far") >= F.col("closest") - reach) & (F.col("far") <= F.col("farthest") + reach)
-        rows = landed(rest.join(nearest, "node").where(F.col("open") | may).select("node", "doc", "open"), "open-nodes")
-        small, big = split(rows, sizes_of(rows))
-        small = small.select("node", "doc")
-        leaves = small if leaves is None else leaves.unionByName(small)
-        rows = big
-    return links, leaves
+def rooted(classes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The classes with the component they are in so far."""
+    if found is None:
+        return classes.withColumn("root", F.col("doc"))
+    known = found.select(F.col("u").alias("doc"), F.col("v").alias("known"))
+    return landed(classes.join(known, "doc", "left").withColumn("root", F.coalesce("known", "doc")).drop("known"), "roots")
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links ``(u, v)`` between classes ``(doc, tokens)``, enough to connect all that are linked."""
+    """Components ``(u, v)`` of the links between classes ``(doc, weight, tokens)``; ``v`` is the smallest of ``u``'s component."""
     if percent < 1:
         raise ValueError("percent must be 1 or more")
     trees, found, sketch = trees_for(percent), None, 0
     missed = classes.select("doc", F.lit(0.0).alias("miss"))
     while True:
         more = []
-        for some in [range(FIRST_TREES), range(FIRST_TREES, trees)] if found is None else [range(trees)]:
-            roots = classes.withColumn("root", F.col("doc"))
-            if found is not None:
-                known = found.select(F.col("u").alias("doc"), F.col("v").alias("known"))
-                roots = landed(classes.join(known, "doc", "left").withColumn("root", F.coalesce("known", "doc")).drop("known"), "roots")
-            leaves, large, deeper = tree_leaves(roots, some, percent, found is not None)
-            more += deeper
+
+        def compared(leaves: DataFrame, roots: DataFrame, found: DataFrame | None) -> DataFrame:
             rows = landed(likely(leaves, roots, percent), "likely")
-            new = leaf_links(rows, docs, percent)
-            star, rest = pivot_links(large, docs, percent)
-            for extra in (star, None if rest is None else leaf_links(rest, docs, percent)):
-                new = new if extra is None else new.unionByName(extra)
-            found = components(new if found is None else new.unionByName(found))
+            return joined_components(found, landed(leaf_links(rows, docs, percent), "links"))
+
+        roots, later = rooted(classes, found), None
+        leaves, large = dealt(roots, trees)
+        if large is not None and found is None:
+            large, later = large.where(F.col("tree") < FIRST_TREES), large.where(F.col("tree") >= FIRST_TREES)
+        if large is not None:
+            below, undivided, deeper = divided(large, roots, percent, found is not None)
+            leaves, more = leaves.unionByName(below), [deeper]
+        found = compared(leaves, roots, found)
+        if later is not None:
+            # The large nodes of the other trees, and those of the first ones of which only chosen members were compared.
+            roots = rooted(classes, found)
+            leaves, _, deeper = divided(later, roots, percent, True)
+            more.append(deeper)
+            open_nodes = in_blocks(undivided.join(roots.select("doc", "root").distinct(), "doc"))
+            found = compared(leaves.unionByName(open_nodes), roots, found)
         every = trees * log_miss(percent, 1)
         if not more and every <= math.log(TREE_MISS):
             return found
@@ -399,23 +402,27 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         sketch += 1
         texts = with_texts(missed, docs).select(F.col("doc").alias("doc_id"), "text")
         again = sketches(texts, sketch).where("key is not null")
-        classes = landed(again.select(F.col("doc_id").alias("doc"), "tokens").distinct(), "classes")
+        classes = landed(again.select(F.col("doc_id").alias("doc"), weight().alias("weight"), "tokens").distinct(), "classes")
+
+
+def weight() -> Column:
+    """As how many classes a text of ``n_shingles`` counts."""
+    return F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("n_shingles") / LONG))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id, kept)``, one per row of ``docs``."""
     rows = landed(sketches(docs), "sketches")
     members = rows.where("doc_id is not null and key is not null")
-    classes = landed(members.groupBy("key").agg(F.min(F.struct("doc_id", "tokens")).alias("s")).select(
-        "key", F.col("s.doc_id").alias("doc"), F.col("s.tokens").alias("tokens")
-    ), "classes")
-    found = links(docs, classes.select("doc", "tokens"), percent)
+    classes = members.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles", "tokens")).alias("s"))
+    classes = landed(classes.select("key", "s.*").select("key", F.col("doc_id").alias("doc"), weight().alias("weight"), "tokens"), "classes")
+    found = links(docs, classes.select("doc", "weight", "tokens"), percent)
     # A doc_id that stands on several texts links their classes.
     reps = landed(members.select("doc_id", "key").join(classes.select("key", "doc"), "key").select("doc_id", "doc").distinct(), "reps")
     twice = reps.groupBy("doc_id").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     joined = reps.join(twice, "doc_id").select(F.col("doc").alias("u"), F.col("least").alias("v"))
     if not joined.isEmpty():
-        found = components(found.unionByName(joined))
+        found = joined_components(found, joined)
     root = found.select(F.col("u").alias("doc"), F.col("v").alias("root"))
     ids = reps.join(root, "doc", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "doc")).alias("component_id"))
     out = rows.select("doc_id", "n_shingles").join(ids, "doc_id", "left")
