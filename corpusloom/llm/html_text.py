@@ -14,7 +14,7 @@ for a tag a share of -3.25, small for the tags that articles are made of.
 
 Defined results: a NULL or empty html, or one without a word, has the empty text; a tag that the page's end cuts off is no text;
 unclosed elements end with their parents; repeated rows are extracted alike; an empty table gives an empty result. Only ``page_id``,
-``url`` and ``html`` are read, so other columns cannot clash. A page is handled on its own, so a very long one costs time in
+``url`` and ``html`` are read, so other columns cannot clash. A page is handled on its own; a very long or deeply nested one costs time in
 proportion to its length and memory for itself.
 """
 
@@ -55,11 +55,12 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label map mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr br".split()
+    "strike strong sub sup time tt u var wbr br "
+    "math mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 #: Elements that are never part of an article.
 NEVER = frozenset(
-    "head nav footer aside form menu select button dialog object embed svg canvas audio video math map applet datalist fieldset "
+    "head nav footer aside form menu select button dialog object embed svg canvas audio video map applet datalist fieldset "
     "frameset".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -75,6 +76,11 @@ NAMES = frozenset(
     "outbrain taboola hidden skip".split()
 )
 TALK = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+#: Words of a heading that begins the readers' comments, besides one of the first ones and numbers.
+TALK_HEADINGS = frozenset("comment comments reply replies respond response responses".split())
+WITH_TALK = frozenset("a add all and as discuss discussion join latest leave load new newest no on our post reader readers recent s show the this to view write yet your".split())
+#: Names that also describe what an article is about; within one they only count where links prevail or little is said.
+SOFT = frozenset("share sharing social related recommended recommendations discussion".split())
 #: What closes what when an end tag is left out.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -94,10 +100,12 @@ class Element:
     never: bool = False  # by its tag, role or attributes
     named: bool = False  # by its class or id
     talk: bool = False
+    soft: bool = False  # named by such words alone
     article: bool = False
     parent: int = -1
     holds_article: bool = False
     words: int = 0
+    linked: int = 0  # words in links
 
 
 @dataclass
@@ -121,12 +129,22 @@ def describe(name: str, attrs: str) -> Element:
         parts = {p.lower() for p in PARTS.findall(f"{values.get('class', '')} {values.get('id', '')}")}
         found.talk = not parts.isdisjoint(TALK)
         found.named = found.talk or (name != "main" and not parts.isdisjoint(NAMES))
+        found.soft = found.named and parts.isdisjoint((NAMES | TALK) - SOFT)
     return found
 
 
+def begins_talk(heading: str) -> bool:
+    """Whether a heading says that readers' comments follow, as in "3 comments" or "Leave a reply"."""
+    words = PARTS.findall(heading.lower())
+    said = [w for w in words if not w.isdigit()]
+    return len(words) <= MOST_TITLE_WORDS and not TALK_HEADINGS.isdisjoint(said) and all(w in TALK_HEADINGS or w in WITH_TALK for w in said)
+
+
 def parse(source: str) -> Page:
+    """The page in one pass; what a step needs to know of the open elements is kept with them, not searched for."""
     page = Page([Element("#page")])
-    stack = [0]
+    stack, kinds, near = [0], ["#page"], [0]  # open elements, their closest blocks, and the closest level that may end a paragraph
+    opened: Counter = Counter(["#page"])
     block: list[str] | None = None
     at = 0
 
@@ -141,15 +159,28 @@ def parse(source: str) -> Page:
             page.blocks.append(block)
         block.append(words)
         if count:
-            names = [page.elements[e].name for e in stack]
-            kind = next((n for n in reversed(names) if n not in INLINE), "#page")
-            page.items.append((stack[-1], len(page.blocks) - 1, (kind, "a" in names[-3:]), count))
-            if kind in HEADINGS and count <= MOST_TITLE_WORDS and not TALK.isdisjoint(PARTS.findall(words.lower())):
-                section = next((e for e in reversed(stack) if page.elements[e].name in ("div", "section", "aside")), 0)
-                page.elements[section].named = page.elements[section].talk = section > 0
+            linked = "a" in [page.elements[e].name for e in stack[-3:]]
+            page.items.append((stack[-1], len(page.blocks) - 1, (kinds[-1], linked), count))
+            if kinds[-1] in HEADINGS and count <= MOST_TITLE_WORDS and begins_talk(words):
+                level = near[-1]
+                if level and page.elements[stack[level]].name in HEADINGS:
+                    # All that follows in the heading's container, which itself stays what it is.
+                    above = page.elements[stack[level - 1]]
+                    page.elements.append(Element(above.name, named=True, talk=True, parent=stack[level - 1]))
+                    stack[level - 1] = len(page.elements) - 1
+                    page.elements[stack[level]].parent = stack[level - 1]
+
+    def push(element: int) -> None:
+        name = page.elements[element].name
+        stack.append(element)
+        opened[name] += 1
+        kinds.append(kinds[-1] if name in INLINE else name)
+        near.append(len(stack) - 1 if name == "p" or name in HEADINGS or name in SCOPES else near[-1])
 
     def pop_to(place: int) -> None:
-        del stack[place:]
+        for e in stack[place:]:
+            opened[page.elements[e].name] -= 1
+        del stack[place:], kinds[place:], near[place:]
 
     for found in TOKEN.finditer(source):
         if found.start() > at:
@@ -168,20 +199,21 @@ def parse(source: str) -> Page:
         if name not in INLINE:
             block = None
         if found["close"] or found["close2"]:
-            place = next((k for k in range(len(stack) - 1, 0, -1) if page.elements[stack[k]].name == name), 0)
-            if place:
-                pop_to(place)
+            if opened[name]:
+                pop_to(next(k for k in range(len(stack) - 1, 0, -1) if page.elements[stack[k]].name == name))
             continue
         if name in VOID:
             continue
         if name not in INLINE:  # a block ends an open paragraph
-            for k in range(len(stack) - 1, 0, -1):
+            k = near[-1]
+            while k > 0:
                 inside = page.elements[stack[k]].name
                 if inside == "p" or (inside in HEADINGS and name in HEADINGS):
                     pop_to(k)
                     break
                 if inside in SCOPES:
                     break
+                k = near[k - 1]
         if name in CLOSES:
             same, scope = CLOSES[name]
             for k in range(len(stack) - 1, 0, -1):
@@ -195,47 +227,66 @@ def parse(source: str) -> Page:
         if (found["attrs"] or "").endswith("/") and name in ("svg", "path", "use"):
             continue
         page.elements.append(element)
-        if element.article:
-            for k in stack:
-                page.elements[k].holds_article = True
-        stack.append(len(page.elements) - 1)
+        push(len(page.elements) - 1)
     if at < len(source):
         text(source[at:])
     return page
 
 
+def upwards(page: Page) -> list[int]:
+    """The elements, each after all that are in it. A comment section stands after the heading that it was made for."""
+    order, children = [], [[] for _ in page.elements]
+    for i, e in enumerate(page.elements):
+        if e.parent >= 0:
+            children[e.parent].append(i)
+    todo = [0]
+    while todo:
+        order.append(todo.pop())
+        todo += children[order[-1]]
+    return order[::-1]
+
+
 def excluded(page: Page) -> list[bool]:
     """Which elements are no part of the article, with all that is in them.
 
-    A class or id does not count if its element holds the article, or most words of the page.
+    A class or id does not count if its element holds the article, or most words of the page; a form does not if it is most of it.
     """
     for item in page.items:
         if len(item) == 4:
-            k = item[0]
-            while k >= 0:
-                page.elements[k].words += item[3]
-                k = page.elements[k].parent
-    out: list[bool] = []
-    in_article: list[bool] = []
+            page.elements[item[0]].words += item[3]
+            page.elements[item[0]].linked += item[3] * item[2][1]
+    order = upwards(page)
+    for i in order[:-1]:
+        e = page.elements[i]
+        above = page.elements[e.parent]
+        above.words, above.linked = above.words + e.words, above.linked + e.linked
+        above.holds_article = above.holds_article or e.holds_article or e.article
+    out, in_article = [False] * len(order), [False] * len(order)
     total = page.elements[0].words
-    for e in page.elements:
+    for i in reversed(order):
+        e = page.elements[i]
         above = e.parent >= 0 and out[e.parent]
         within = e.parent >= 0 and in_article[e.parent]
-        named = e.named and not e.holds_article and (e.talk or not e.article) and (e.talk or 5 * e.words <= 3 * total)
+        most = 5 * e.words > 3 * total
+        named = e.named and not e.holds_article and (e.talk or not e.article) and (e.talk or not most)
+        if within and e.soft and e.words >= 15 and 2 * e.linked < e.words:
+            named = False
         title = within and e.name in HEADINGS and page.elements[e.parent].name == "header" and not out[page.elements[e.parent].parent]
+        never = e.never and not (e.name == "form" and (most or e.holds_article))
         # A header goes, but for the article's own title in it.
-        out.append((above and not title) or e.never or named or e.name == "header")
-        in_article.append(within or (e.article and not out[-1]))
+        out[i] = (above and not title) or never or named or e.name == "header"
+        in_article[i] = within or (e.article and not out[i])
     return out
 
 
 def owner_article(page: Page, out: list[bool]) -> list[int]:
     """For each element the outermost named article that it belongs to, or -1."""
-    owner: list[int] = []
-    for i, e in enumerate(page.elements):
+    owner = [-1] * len(page.elements)
+    for i in reversed(upwards(page)):
+        e = page.elements[i]
         above = owner[e.parent] if e.parent >= 0 else -1
         # An article within a main element is the closer name, if it is the only one there.
-        owner.append(above if above >= 0 and not (page.elements[above].name == "main" and e.article) else i if e.article and not out[i] else above)
+        owner[i] = above if above >= 0 and not (page.elements[above].name == "main" and e.article) else i if e.article and not out[i] else above
     return owner
 
 
@@ -285,53 +336,60 @@ def with_container(page: Page, region: list[tuple], runs: list[tuple]) -> list[t
 
     Short blocks that are mostly links are not added.
     """
-    inside: Counter = Counter()
+    inside = [0] * len(page.elements)
     for item in region:
-        k = item[0]
-        while k >= 0:
-            inside[k] += item[3]
-            k = page.elements[k].parent
+        inside[item[0]] += item[3]
+    order = upwards(page)
+    for i in order[:-1]:
+        inside[page.elements[i].parent] += inside[i]
     total = sum(item[3] for item in region)
-    box = max((k for k, n in inside.items() if 10 * n >= 9 * total), default=0)
+    box = next(i for i in order if 10 * inside[i] >= 9 * total)  # what is in it comes before it
     if page.elements[box].name in ("#page", "html", "body"):
         return region
     wanted, links, sizes = {item[1] for item in region}, Counter(), Counter()
     for item in runs:
         sizes[item[1]] += item[3]
         links[item[1]] += item[3] * item[2][1]
-    more = []
-    for item in runs:
-        k = item[0]
-        while k > box:
-            k = page.elements[k].parent
-        if k == box and item[1] not in wanted and (2 * links[item[1]] <= sizes[item[1]] or sizes[item[1]] >= 15):
-            more.append(item)
+    boxed = [False] * len(page.elements)
+    for i in reversed(order):
+        boxed[i] = i == box or (page.elements[i].parent >= 0 and boxed[page.elements[i].parent])
+    more = [
+        item for item in runs
+        if boxed[item[0]] and item[1] not in wanted and (2 * links[item[1]] <= sizes[item[1]] or sizes[item[1]] >= 15)
+    ]
     return region + more if sum(item[3] for item in more) <= MOST_ADDED * total else region
 
 
-def main_text(source: str | None, weights: dict[str, float]) -> str:
-    page = parse(source or "")
-    out = excluded(page)
-    owner = owner_article(page, out)
-    # The linear scan: the best sum that ends here either goes on from the one before or begins anew.
-    best, best_range, total, begin = 0.0, None, 0.0, 0
-    known: dict[str, float] = {}
+def score(item: tuple, weights: dict[str, float]) -> float:
+    """The weight of a run of words or a tag."""
+    feature = f"w {item[2][0]} {int(item[2][1])}" if len(item) == 4 else f"t {item[0]}"
+    each = weights[feature] if feature in weights else weight(feature)
+    return each * item[3] if len(item) == 4 else each
+
+
+def best_range(page: Page, out: list[bool], weights: dict[str, float]) -> tuple[float, tuple[int, int] | None]:
+    """The linear scan: the best sum that ends at an item either goes on from the one before or begins anew."""
+    best, found, total, begin = 0.0, None, 0.0, 0
     for i, item in enumerate(page.items):
-        run = len(item) == 4
-        if out[item[0] if run else item[1]]:
+        if out[item[0] if len(item) == 4 else item[1]]:
             continue
-        feature = f"w {item[2][0]} {int(item[2][1])}" if run else f"t {item[0]}"
-        if feature not in known:
-            known[feature] = weights[feature] if feature in weights else weight(feature)
         if total <= 0:
             total, begin = 0.0, i
-        total += known[feature] * item[3] if run else known[feature]
+        total += score(item, weights)
         if total > best:
-            best, best_range = total, (begin, i)
-    if best_range is None:
+            best, found = total, (begin, i)
+    return best, found
+
+
+def main_text(source: str | None, weights: dict[str, float]) -> str:
+    page = parse(source or "")
+    out = excluded(page)
+    owner = owner_article(page, out)
+    _, best = best_range(page, out, weights)
+    if best is None:
         return ""
     runs = [(i, item) for i, item in enumerate(page.items) if len(item) == 4 and not out[item[0]]]
-    region = [item for i, item in runs if best_range[0] <= i <= best_range[1]]
+    region = [item for i, item in runs if best[0] <= i <= best[1]]
     words = Counter()
     for item in region:
         words[owner[item[0]]] += item[3]

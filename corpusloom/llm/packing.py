@@ -9,7 +9,8 @@ the pieces of equal length.
 Defined results: a NULL or empty text is the end token alone; a NULL doc_id is kept and sorts first; repeated rows are each
 packed; an empty table gives an empty result. Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 
-Token ids are those of the given ``tokenizers`` file without special tokens. Where the file is a byte-level BPE whose ids are in
+Token ids are those that the given ``tokenizers`` file gives without adding special tokens; a special token's own string in a text is
+that token, as for any user of the file. Where the file is a byte-level BPE whose ids are in
 merge order, the same merges are run by tiktoken, which is four times as fast; any other file is run by ``tokenizers``.
 """
 
@@ -51,7 +52,6 @@ def encoder(path: str | None = None) -> Callable[[str], list[int]]:
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
 
     def slow(text: str) -> list[int]:
         return whole.encode(text, add_special_tokens=False).ids
@@ -70,7 +70,8 @@ def encoder(path: str | None = None) -> Callable[[str], list[int]]:
     ranks = {bytes(symbols[c] for c in token): i for token, i in vocabulary.items() if token not in special}
     fast = tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    return lambda text: slow(text) if LONG_BLANK.search(text) else fast.encode_ordinary(text)
+    named = re.compile("|".join(re.escape(t) for t in sorted(special)) or r"(?!)")
+    return lambda text: slow(text) if named.search(text) or LONG_BLANK.search(text) else fast.encode_ordinary(text)
 
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, with_ids: bool = True) -> DataFrame:

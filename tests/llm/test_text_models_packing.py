@@ -60,6 +60,62 @@ def test_any_markup(source):
     assert found == "\n\n".join(" ".join(b.split()) for b in found.split("\n\n") if b.split())
 
 
+LONG = ["The river rose by two metres in a single night and the lower town stood under water.",
+        "Boats carried people from their roofs, and the school became a shelter for three hundred of them.",
+        "Engineers had warned for years that the old dam needed work before the winter storms arrived."]
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize(
+    ("source", "blocks"),
+    [
+        (f"<body><div id=content><h1>Flood</h1>{paragraphs(LONG)}<h2>Discussion</h2>{paragraphs(LONG)}</div></body>", ["Flood", *LONG, "Discussion", *LONG]),
+        (f"<article><div class=entry-content>{paragraphs(LONG)}<h3>Comments</h3><p>First!</p><p>Nice read.</p></div></article>", LONG),
+        (f"<div class=wrap><div class=post>{paragraphs(LONG)}</div><h3>3 comments</h3><div><p>I was there too.</p></div></div>", LONG),
+        (f"<article>{paragraphs(LONG[:1])}<section id=discussion>{paragraphs(LONG[1:])}</section></article>", LONG),
+        (f"<article>{paragraphs(LONG[:1])}<div class=market-share>{paragraphs(LONG[1:])}</div></article>", LONG),
+        (f"<article>{paragraphs(LONG)}<div class=share><a href=x>Post</a> <a href=y>Mail</a></div></article>", LONG),
+        (f"<body><form action=x><input type=hidden>{paragraphs(LONG)}</form></body>", LONG),
+        (f"<article><p>{LONG[0]} So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", [f"{LONG[0]} So x=2 holds."]),
+    ],
+)
+def test_the_article_stays_whole(source, blocks):
+    assert html_text.main_text(source, {}) == "\n\n".join(blocks)
+
+
+def test_talk_headings():
+    assert all(map(html_text.begins_talk, ["Comments", "3 comments", "Leave a Reply", "Post a comment", "No comments yet", "Reader comments (12)"]))
+    assert not any(map(html_text.begins_talk, ["Discussion", "Comments on the ruling", "The reply of Rome", "Response times", "Flood", ""]))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "<div>", "</div>", "<li>", "<a>", "</a>", "<b>", "word ", "two words ", "five words of plain text "]), max_size=14))
+def test_scan_finds_the_best_range(parts):
+    """The region's weight is that of the best of all ranges of items."""
+    page = html_text.parse("".join(parts))
+    out = html_text.excluded(page)
+    sums = [html_text.score(item, {}) for item in page.items if not out[item[0] if len(item) == 4 else item[1]]]
+    best = max((sum(sums[i:j]) for i in range(len(sums)) for j in range(i + 1, len(sums) + 1)), default=0)
+    total, where = html_text.best_range(page, out, {})
+    assert total == pytest.approx(max(best, 0))
+    assert (where is None) == (best <= 0)
+
+
+def test_long_and_deep_pages_take_time_in_proportion():
+    import time
+
+    def page(n):
+        return "<div>word " * n + "<p>" + "text " * n + "</div>" * n + "</b>" * n + "<li>x" * n
+
+    html_text.main_text(page(100), {})
+    start = time.perf_counter()
+    html_text.main_text(page(40_000), {})  # 1 MB
+    assert time.perf_counter() - start < 30
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").withColumn("text", F.lit("clash"))
     odd = spark.createDataFrame([(None, None, None, "x"), (7, "u", "", "x")], pages.schema)
@@ -120,7 +176,6 @@ def test_importance_without_labels(spark):
 @pytest.fixture(scope="module")
 def tokenizer():
     found = Tokenizer.from_file(public_tokenizers.path(packing.FILE))
-    found.encode_special_tokens = True
     return found
 
 
@@ -130,15 +185,14 @@ def test_ids_are_those_of_the_file(text):
     own = test_ids_are_those_of_the_file
     if not hasattr(own, "pair"):
         whole = Tokenizer.from_file(public_tokenizers.path(packing.FILE))
-        whole.encode_special_tokens = True
         own.pair = packing.encoder(), whole
-    assert own.pair[0](text) == own.pair[1].encode(text, add_special_tokens=False).ids
+    for some in (text, f"{text}<|endoftext|>{text}"):
+        assert own.pair[0](some) == own.pair[1].encode(some, add_special_tokens=False).ids
 
 
 def test_other_tokenizer_file():
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     assert packing.encoder(path)("Some  Words") == whole.encode("Some  Words", add_special_tokens=False).ids
 
 
