@@ -48,6 +48,7 @@ LEVELS = 9  # a tree branches so often at most, and not more often than it has t
 TREE_MISS, TOKEN_MISS = 4e-5, 2e-5  # recall of a pair: 1 - 2 * TREE_MISS - TOKEN_MISS
 FIRST_TREES = 2  # trees whose large nodes are looked at before links are known
 LONG = 4096  # shingles; a longer text counts as several classes where the size of nodes is bounded
+BROADCAST_ROWS = 1_000_000  # of two integers each, which take at most 100 bytes with their list
 MOST_CACHED = 200_000
 
 travels(__name__)
@@ -213,12 +214,20 @@ def divided(large: DataFrame, classes: DataFrame, percent: int, linked: bool) ->
     """
     many, half = trees_for(percent), max(1, LEAF // 2)
     levels = 1 + min(LEVELS, TOKENS // many - 1)
+    top, settled = large.select("node", "tree", "doc").join(classes, "doc"), None
+    if linked:
+        # What is nearly one component needs no further level.
+        top = landed(top, "rooted-nodes")
+        mains = weighed(top, ["node", "root"]).groupBy("node").agg((F.sum("weight") - F.max("weight") <= half).alias("apart"))
+        top = landed(top.join(mains, "node"), "settled-nodes")
+        settled = top.where("apart").select("node", "doc", "root", "weight")
+        top = top.where("not apart")
     # Every level of the paths of these classes.
     path = [F.col("node")]
     for level in range(1, levels):
         path.append(F.xxhash64(path[-1], F.get("tokens", F.col("tree") + level * many)))
     listed = F.array(*[F.struct(F.lit(i).alias("level"), n.alias("node")) for i, n in enumerate(path)])
-    deep = large.select("node", "tree", "doc").join(classes, "doc").select("doc", "tree", "root", "weight", F.explode(listed).alias("p"))
+    deep = top.select("doc", "tree", "root", "weight", F.explode(listed).alias("p"))
     deep = landed(deep.select("doc", "tree", "root", "weight", "p.level", "p.node"), "paths")
     nodes = weighed(deep, ["node", "root"]).groupBy("node").agg(
         F.sum("n").alias("n"), F.sum("weight").alias("size"), F.max("weight").alias("main")
@@ -235,7 +244,7 @@ def divided(large: DataFrame, classes: DataFrame, percent: int, linked: bool) ->
     more = ends.select("doc", "level").unionByName(rest.select("doc", "level")).where("level > 0").select("doc", F.get(added, "level").alias("more"))
     cut = ends.where("not small").select("node", "doc", "root", "weight")
     if linked:
-        whole = cut.unionByName(rest.select("node", "doc", "root", "weight"))
+        whole = settled.unionByName(cut).unionByName(rest.select("node", "doc", "root", "weight"))
         return leaves.unionByName(in_blocks(whole)), None, more
     return leaves.unionByName(chunked(rest.select("node", "doc", "weight"))), rest.select("node", "doc", "weight"), more
 
@@ -314,10 +323,13 @@ def stars(docs: np.ndarray, found: np.ndarray) -> list[tuple[int, int]]:
 
 
 def with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Add the text to landed rows ``(doc, …)``. Where Spark finds their files small it broadcasts them, and texts move once."""
+    """Add the text to landed rows ``(doc, …)`` of integers. Up to a checked number of them, and so of bytes, they are broadcast, and
+    texts move once, to their node."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
     rest = [c for c in rows.columns if c != "doc"]
-    places = landed(rows.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("places")), "places")
+    places = rows.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("places"))
+    if rows.count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
     return texts.join(places, "doc").select("doc", "text", F.explode("places").alias("p")).select("doc", "text", "p.*")
 
 
