@@ -5,8 +5,10 @@ A text's blended spectrum is the set of its 1- to 4-grams of letters (lower case
 are landmarks; ridge regression on the Nyström features gives one score per language, and since all of that is linear in
 the presence vector, it folds into one ``BUCKETS`` x languages matrix: a batch is scored by one product.
 
-Learning takes at most ``PER_LANGUAGE`` documents of each of the ``MOST_LANGUAGES`` most frequent languages, chosen by hash of
-their ids, each as a whole and as a short excerpt so that short texts are known too.
+Learning knows every language. It takes at most ``PER_LANGUAGE`` documents of each and ``LEARNED`` of all, in equal shares and at least
+``FEWEST`` each, chosen by hash of their ids, each as a whole and as a short excerpt so that short texts are known too.
+Landmarks are shared out in the same way. The driver gets two bytes per n-gram present in these, and the matrix has
+``BUCKETS`` numbers per language; neither depends on the number or length of documents.
 
 Defined results: a text that is NULL or has no letter is ``und`` with score 0, as is every text if nothing could be learned;
 a NULL doc_id is not held out and not learned from; repeated rows are predicted alike (and learned once); an empty table gives an
@@ -23,10 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.llm.common import travels
+from corpusloom.llm.common import landed, travels
 
 GRAMS, BUCKETS, UNKNOWN = 4, 1 << 16, "und"
-PER_LANGUAGE, MOST_LANGUAGES, LANDMARKS, RIDGE = 300, 100, 24, 1e-3
+PER_LANGUAGE, LEARNED, FEWEST = 300, 30_000, 8
+PER_LANGUAGE_LANDMARKS, LANDMARKS, RIDGE = 24, 2_400, 1e-3
 CHUNK = 1 << 20  # characters that are hashed at a time; the sets of the chunks are united
 
 travels(__name__)
@@ -67,13 +70,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_spectra(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, list[int]]]:
+def share_of(languages: int, most: int, total: int, fewest: int) -> int:
+    """How many of a bounded number each language gets."""
+    return max(fewest, min(most, total // max(1, languages)))
+
+
+def training_spectra(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
     """Language and spectrum of the chosen training texts; at most two per chosen document."""
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("__rows")).orderBy(F.desc("__rows"), "lang").limit(MOST_LANGUAGES)
+    languages = landed(known.groupBy("lang").agg(F.count(F.lit(1)).alias("__rows")), "languages")
+    per_language = share_of(languages.count(), per_language, LEARNED, FEWEST)
     # About twice the wanted number passes by its hash, so that the window below is small for any language.
     chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    ids = known.select("doc_id", "lang").join(F.broadcast(frequent), "lang").where(chance * F.col("__rows") < 2 * per_language + 50)
+    ids = known.select("doc_id", "lang").join(languages, "lang").where(chance * F.col("__rows") < 2 * per_language + 50)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ranks = ids.select("doc_id", "lang").distinct().withColumn("__n", F.row_number().over(first))
     chosen = ranks.where(F.col("__n") <= per_language).select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
@@ -85,18 +94,22 @@ def training_spectra(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[
         for batch in batches:
             rows = [(lang, spectrum(x, letters)) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in (text, excerpt(text))]
             rows = [r for r in rows if len(r[1])]
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["lang", "grams"])
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].astype("<u2").tobytes() for r in rows], pa.binary())], ["lang", "grams"])
 
-    found = once.select("lang", "text").mapInArrow(run, "lang string, grams array<int>")
-    return sorted((r[0], r[1]) for r in found.collect())
+    found = once.select("lang", "text").mapInArrow(run, "lang string, grams binary")
+    rows = [(r[0], np.frombuffer(r[1], "<u2")) for r in found.collect()]
+    return sorted(rows, key=lambda r: (r[0], r[1].tolist()))
 
 
-def learn(rows: list[tuple[str, list[int]]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray, np.ndarray]:
+def learn(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, the folded matrix (buckets x languages) and the constant of each language."""
     names = sorted({r[0] for r in rows})
     if not rows:
         return [], np.zeros((BUCKETS, 0), np.float32), np.zeros(0)
-    by_name = {n: [r[1] for r in rows if r[0] == n] for n in names}
+    landmarks = share_of(len(names), PER_LANGUAGE_LANDMARKS, landmarks, 1)
+    by_name: dict[str, list[np.ndarray]] = {}
+    for name, grams in rows:
+        by_name.setdefault(name, []).append(grams)
     marks = [g for n in names for g in by_name[n][:: max(1, len(by_name[n]) // landmarks)][:landmarks]]
     basis = np.zeros((BUCKETS, len(marks)), np.float32)
     for j, grams in enumerate(marks):

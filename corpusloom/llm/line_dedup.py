@@ -5,7 +5,7 @@ points that are found in at least ``MIN_DOCS`` documents lose all their lines ex
 them. Texts are cut at ``\\n`` and joined by it again.
 
 Defined results: a NULL or empty text is one empty line; rows with a NULL doc_id are returned unchanged, and their lines do
-not count; rows that share a doc_id are one document and lose the same keys; an empty table gives an empty result.
+not count; invalid UTF-8 passes through unchanged; rows that share a doc_id are one document and lose the same keys; an empty table gives an empty result.
 Further columns of the input are passed through by ``dedup_lines``; the names ``n_lines``, ``n_dropped`` and ``__drop`` are
 replaced.
 
@@ -34,7 +34,7 @@ travels(__name__)
 def line_key(line: bytes, min_chars: int) -> bytes | None:
     """The 16-byte hash of a line's key, or nothing for a short key."""
     key = line.strip(SPACE).lower()  # bytes: only A-Z change
-    if len(key) < min_chars or (len(key) < 4 * min_chars and len(key.decode()) < min_chars):
+    if len(key) < min_chars or (len(key) < 4 * min_chars and len(key.decode(errors="replace")) < min_chars):
         return None
     return xxhash.xxh3_128_digest(key)
 
@@ -70,7 +70,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     lost = shared_lines(docs, min_chars, min_docs).groupBy("doc_id").agg(F.collect_set("key").alias("__drop"))
     added = T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "__drop")]
-    schema = T.StructType([docs.schema[c] for c in rest] + added.fields)
+    # Texts pass as bytes, so that invalid UTF-8 comes out as it went in.
+    fields = [T.StructField(c, T.BinaryType()) if c == "text" else docs.schema[c] for c in rest]
+    schema = T.StructType(fields + added.fields)
     place = rest.index("text")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,12 +81,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
             for text, drop in zip(batch.column(place), batch.column(len(rest)), strict=True):
                 value = text.as_py()
                 gone = set(drop.as_py() or ())
-                lines = (value or "").encode().split(b"\n")
+                lines = (value or b"").split(b"\n")
                 kept = [x for x in lines if line_key(x, min_chars) not in gone] if gone else lines
-                texts.append(value if len(kept) == len(lines) else b"\n".join(kept).decode())
+                texts.append(value if len(kept) == len(lines) else b"\n".join(kept))
                 before.append(len(lines))
                 dropped.append(len(lines) - len(kept))
-            columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(rest))]
+            columns = [pa.array(texts, pa.binary()) if i == place else batch.column(i) for i in range(len(rest))]
             yield pa.record_batch([*columns, pa.array(before), pa.array(dropped)], schema.names)
 
-    return docs.select(*rest).join(lost, "doc_id", "left").select(*rest, "__drop").mapInArrow(rebuild, schema)
+    read = [F.col(c).cast("binary").alias(c) if c == "text" else c for c in rest]
+    rows = docs.select(*read).join(lost, "doc_id", "left").select(*rest, "__drop").mapInArrow(rebuild, schema)
+    return rows.withColumn("text", F.col("text").cast("string"))

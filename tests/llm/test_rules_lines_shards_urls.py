@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import hilbert, line_dedup, quality_rules, queries, url_filter
 
@@ -176,3 +177,11 @@ def test_sql(spark, name):
 def test_kept_digest_of_query(spark):
     row = queries.op5_line_dedup(spark, FOLDER).where("n_dropped = 0").join(spark.read.parquet(f"{FOLDER}/documents.parquet"), "doc_id").first()
     assert row.kept_sha256 == hashlib.sha256(row.text.encode()).hexdigest()
+
+
+def test_lines_with_invalid_bytes_pass_through(spark):
+    line = "61ff" * 12  # 24 bytes, of which half are no UTF-8
+    docs = spark.sql(f"SELECT id AS doc_id, cast(unhex(concat('{line}0a', hex(cast(id AS string)), 'e282')) AS string) AS text FROM range(4)")
+    got = {r.doc_id: (bytes(r.b), r.n_dropped) for r in line_dedup.dedup_lines(docs).select("doc_id", F.col("text").cast("binary").alias("b"), "n_dropped").collect()}
+    ends = {i: str(i).encode() + b"\xe2\x82" for i in range(4)}
+    assert got == {i: (ends[i], 1) for i in range(3)} | {3: (bytes.fromhex(line) + b"\n" + ends[3], 0)}

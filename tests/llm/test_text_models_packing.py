@@ -142,6 +142,19 @@ def test_language(spark):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def test_more_languages_than_a_hundred(spark):
+    """Each of 150 languages is learned, the rare ones too; repeated rows and clashing columns change nothing."""
+    rng = np.random.default_rng(4)
+    words = {f"l{i:03d}": ["".join(rng.choice(list("abcdefghijklmnoprstuvz"), 7)) for _ in range(40)] for i in range(150)}
+    rows = [(i * 1000 + k, " ".join(rng.choice(words[name], 30)), name) for i, name in enumerate(words) for k in range(16 if i % 2 else 40)]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string, lang string").withColumns({"__rows": F.lit("x"), "score": F.lit(9)})
+    found = language.identify(docs).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in found if r.held_out]
+    assert len(found) == len(rows) + 20 and {r.lang_pred for r in held} == set(words)
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
+
+
 def test_kernel_is_presence_overlap():
     letters = np.unpackbits(language.LETTERS).astype(bool)
     a, b = (set(language.spectrum(t, letters).tolist()) for t in ("the cat", "the cat! THE CAT"))
