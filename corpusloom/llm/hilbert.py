@@ -1,7 +1,7 @@
 """Hilbert-curve shards: rows that are close in several metadata dimensions come to lie in the same shard and files.
 
-Each dimension is quantised to ``BITS`` bits: numbers by their logarithm (half octaves), names by hash. The cell's place on the
-Hilbert curve is the first sort key, the text's hash the second, doc_id the last, and the sorted rows are cut into
+Each dimension is quantised to ``BITS`` bits: numbers by their logarithm (half octaves; six bits hold all numbers below 2 ** 31,
+and so the size of any text, seven those of 64 bits), names by their place among the distinct names. The cell's place on the Hilbert curve is the first sort key, the text's hash the second, doc_id the last, and the sorted rows are cut into
 shards whose row counts differ by one at most (law ``rows``). Rows of equal text take the smallest place of their group,
 so a group of copies is one run, which at most the fixed cuts divide.
 
@@ -15,14 +15,14 @@ partitioning; the join that carries the group's place back is dealt again by Spa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import landed, ranked
 
-BITS = 5
+BITS = 6
 
 
 def log_cell(value: Column, bits: int = BITS) -> Column:
@@ -32,10 +32,18 @@ def log_cell(value: Column, bits: int = BITS) -> Column:
     return F.when(value > 0, F.least(cell, F.lit((1 << bits) - 1))).otherwise(0).cast("int")
 
 
-def name_cell(value: Column, bits: int = BITS) -> Column:
-    """One of the cells from 1 by hash; NULL is 0."""
-    digest = F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint")
-    return F.when(value.isNotNull(), digest % ((1 << bits) - 1) + 1).otherwise(0).cast("int")
+def with_name_cells(docs: DataFrame, names: Mapping[str, str], bits: int = BITS) -> DataFrame:
+    """Add cells of name columns, ``{new column: name column}``: the distinct names in order, cut into equal runs; NULL is 0.
+
+    The cells keep the order of the names, which hashes would not, so the smallest and largest name of a file say what it holds.
+    Names are ranked by a range partitioning. Their table is broadcast only if Spark finds its files small.
+    """
+    last = (1 << bits) - 1
+    for cell, name in names.items():
+        found, total = ranked(docs.where(F.col(name).isNotNull()).select(F.col(name).alias("__name")).distinct(), ["__name"], "__rank", "names")
+        numbered = landed(found.select("__name", F.expr(f"cast(__rank * {last} div {max(1, total)} + 1 as int)").alias("__of")), "name-cells")
+        docs = docs.join(numbered, docs[name] == F.col("__name"), "left").withColumn(cell, F.coalesce("__of", F.lit(0))).drop("__name", "__of")
+    return docs
 
 
 def hilbert_index(cells: Sequence[Column], bits: int = BITS) -> Column:
@@ -104,7 +112,10 @@ def document_shards(docs: DataFrame, count: int) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     size = (F.octet_length(text) + 1).cast("bigint")
     group = F.md5(text)  # the text itself is not moved
-    rows = docs.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), name_cell(F.col("lang")).alias("__lang"), name_cell(F.col("source")).alias("__source"), log_cell(size).alias("__size"), group.alias("__text"))
+    rows = docs.select(
+        "doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "lang", "source", log_cell(size).alias("__size"), group.alias("__text")
+    )
+    rows = with_name_cells(rows, {"__lang": "lang", "__source": "source"})
     placed = shards(rows, [F.col("__lang"), F.col("__source"), F.col("__size")], count, F.col("__text"))
     return placed.select("doc_id", "size", "text_crc32", "shard", "slot")
 

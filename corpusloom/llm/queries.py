@@ -22,6 +22,7 @@ from corpusloom.llm import (
 )
 from corpusloom.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 
+SETTLED = 200  # rounds: 0.85 ** 200 is below 1e-14
 URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
@@ -106,12 +107,14 @@ CRC_SQL = """xor(4294967295, list_reduce(list_concat([4294967295],
 
 def _hilbert_sql() -> str:
     """The steps of the curve one by one, each a query around the one before it; then ranks over the whole table."""
-    name = "CASE WHEN {0} IS NULL THEN 0 ELSE ('0x' || substr(md5({0}), 1, 8))::BIGINT % 31 + 1 END"
-    size = "least(31, 2 * length(bin(size)) + CASE WHEN substr(bin(size), 2, 1) = '1' THEN 1 ELSE 0 END)"
-    rows = f"""SELECT doc_id, size, text_crc32, grp, ({name.format("lang")})::INT AS x0, ({name.format("source")})::INT AS x1,
+    size = "least(63, 2 * length(bin(size)) + CASE WHEN substr(bin(size), 2, 1) = '1' THEN 1 ELSE 0 END)"
+    cells = """{0}s AS MATERIALIZED (SELECT {0}, (row_number() OVER (ORDER BY {0}) - 1) * 63 // count(*) OVER () + 1 AS {0}_cell
+        FROM (SELECT DISTINCT {0} FROM documents WHERE {0} IS NOT NULL))"""
+    rows = f"""SELECT doc_id, size, text_crc32, grp, coalesce(lang_cell, 0)::INT AS x0, coalesce(source_cell, 0)::INT AS x1,
         ({size})::INT AS x2 FROM (SELECT doc_id, lang, source, octet_length(encode(coalesce(text, ''))) + 1 AS size,
-        {CRC_SQL} AS text_crc32, md5(coalesce(text, '')) AS grp FROM documents, crc_table)"""
-    for q in (16, 8, 4, 2):
+        {CRC_SQL} AS text_crc32, md5(coalesce(text, '')) AS grp FROM documents, crc_table)
+        LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source)"""
+    for q in (32, 16, 8, 4, 2):
         for axis in range(3):
             flip, swap = f"x{axis} & {q} <> 0", f"(xor(x0, x{axis}) & {q - 1})"
             new = f"CASE WHEN {flip} THEN xor(x0, {q - 1}) ELSE xor(x0, {swap}) END AS x0"
@@ -120,11 +123,11 @@ def _hilbert_sql() -> str:
             rows = f"SELECT * REPLACE ({new}) FROM ({rows})"
     rows = f"SELECT * REPLACE (xor(x1, x0) AS x1, xor(xor(x2, x1), x0) AS x2) FROM ({rows})"
     parity = "0"
-    for q in (16, 8, 4, 2):
+    for q in (32, 16, 8, 4, 2):
         parity = f"xor({parity}, CASE WHEN x2 & {q} <> 0 THEN {q - 1} ELSE 0 END)"
     rows = f"SELECT *, {parity} AS t FROM ({rows})"
-    index = " + ".join(f"((xor(x{i}, t) >> {b}) & 1) * {2 ** (3 * b + 2 - i)}" for b in range(5) for i in range(3))
-    return f"""WITH crc_table AS MATERIALIZED ({CRC_TABLE_SQL}), placed AS (SELECT *, min({index}) OVER (PARTITION BY grp) AS cell FROM ({rows})),
+    index = " + ".join(f"((xor(x{i}, t) >> {b}) & 1) * {2 ** (3 * b + 2 - i)}" for b in range(6) for i in range(3))
+    return f"""WITH crc_table AS MATERIALIZED ({CRC_TABLE_SQL}), {cells.format("lang")}, {cells.format("source")}, placed AS (SELECT *, min({index}) OVER (PARTITION BY grp) AS cell FROM ({rows})),
         ranks AS (SELECT *, row_number() OVER (ORDER BY cell, grp, doc_id) - 1 AS r, count(*) OVER () AS n FROM placed),
         cut AS (SELECT *, r * 8 // n AS shard FROM ranks)
         SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, r - (shard * n + 7) // 8 AS slot, NULL::INT AS grown_shard FROM cut"""
@@ -143,7 +146,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _url_sql() -> str:
-    """The rules and ten rounds of both walks, each round a table of its own."""
+    """The rules, and both walks as one recursion over rounds, far beyond the point where they have settled."""
     fits = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
     by_length = sorted(URL_RULES, key=lambda r: -len(r[0]))
     cases = [(fits.format(*((r.split("/", 1)[0]), "/" + r.split("/", 1)[1])), r, v) for r, v in by_length]
@@ -159,29 +162,24 @@ def _url_sql() -> str:
         f"""edges AS MATERIALIZED (SELECT src, dst, count(*) AS links FROM
                 (SELECT host AS src, {lower.format(f"unnest(regexp_extract_all(html, '{link}', 1))")} AS dst FROM rows WHERE host <> '')
                 WHERE src <> dst GROUP BY ALL)""",
-        """hosts AS (SELECT host, count(*) AS pages, count(*) FILTER (said = 'allow') AS allowed,
-                count(*) FILTER (said = 'block') AS blocked FROM rows WHERE host <> '' GROUP BY host)""",
+        """own AS (SELECT host, count(*) FILTER (said = 'allow') / count(*)::DOUBLE AS trust,
+                count(*) FILTER (said = 'block') / count(*)::DOUBLE AS distrust FROM rows WHERE host <> '' GROUP BY host)""",
+        f"""linked AS (SELECT host, {says} AS said FROM (SELECT DISTINCT dst AS host, '/' AS path FROM edges) WHERE host NOT IN (SELECT host FROM own))""",
+        """seeds AS (SELECT * FROM own UNION ALL SELECT host, (said = 'allow')::INT::DOUBLE, (said = 'block')::INT::DOUBLE FROM linked)""",
+        f"""shares AS (SELECT src, dst, {url_filter.DAMPING}::DOUBLE * links / sum(links) OVER (PARTITION BY src) AS share FROM edges)""",
+        """moves AS MATERIALIZED (SELECT 'trust' AS kind, src AS here, dst AS there, share FROM shares
+                UNION ALL SELECT 'distrust', dst, src, share FROM shares)""",
+        f"""walk AS (SELECT 0 AS n, 'trust' AS kind, host, trust AS mass FROM seeds WHERE trust > 0
+                UNION ALL SELECT 0, 'distrust', host, distrust FROM seeds WHERE distrust > 0
+                UNION ALL SELECT n + 1, w.kind, there, sum(mass * share) FROM walk w JOIN moves m ON m.kind = w.kind AND here = host
+                WHERE n < {SETTLED} GROUP BY n, w.kind, there)""",
+        """scores AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS trust,
+                coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS distrust FROM walk WHERE n > 0 GROUP BY host)""",
     ]
-    for kind, column, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
-        steps += [
-            f"{kind}_seeds AS MATERIALIZED (SELECT host, 1.0::DOUBLE / count(*) OVER () AS mass FROM hosts WHERE {column} = pages)",
-            f"""{kind}_shares AS MATERIALIZED (SELECT {src} AS src, {dst} AS dst,
-                    links::DOUBLE / sum(links) OVER (PARTITION BY {src}) AS share FROM edges)""",
-            f"{kind}_0 AS (SELECT host, mass AS score FROM {kind}_seeds)",
-        ]
-        damping = url_filter.DAMPING
-        for n in range(1, url_filter.ROUNDS + 1):
-            steps.append(
-                f"""{kind}_{n} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (
-                    SELECT host, mass * (1 - {damping}::DOUBLE) AS score FROM {kind}_seeds UNION ALL
-                    SELECT dst, score * share * {damping}::DOUBLE FROM {kind}_{n - 1} JOIN {kind}_shares ON host = src)
-                    GROUP BY host)"""
-            )
-    last = url_filter.ROUNDS
-    return f"""WITH {", ".join(steps)}
+    return f"""WITH RECURSIVE {", ".join(steps)}
         SELECT page_id, r.host, path, rule,
-               coalesce(said, CASE WHEN d.score > coalesce(t.score, 0) THEN 'block' END, 'allow') AS verdict
-        FROM rows r LEFT JOIN distrust_{last} d ON d.host = r.host LEFT JOIN trust_{last} t ON t.host = r.host"""
+               coalesce(said, CASE WHEN distrust >= {url_filter.FLOOR} AND distrust > trust THEN 'block' END, 'allow') AS verdict
+        FROM rows r LEFT JOIN scores s ON s.host = r.host"""
 
 
 @query(_url_sql())
