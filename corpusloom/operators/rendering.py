@@ -1,19 +1,18 @@
 """Rendering of chat, instruction and plain records to one training text.
 
 All rules are column expressions. Which layout a frame has is read from its schema when the plan is built, once per
-source, so no row is inspected and no Python runs per row (except for records of unknown layout).
+source, so no row is inspected and no Python runs per row.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.python_form import python_form
 from corpusloom.functions.text import (
     ASSISTANT_OPEN,
     END,
@@ -75,14 +74,10 @@ def instruction_text(df: DataFrame) -> Column:
     return F.concat(plain_turn("user", prompt), plain_turn("assistant", F.col("output")))
 
 
-@F.pandas_udf(T.StringType())
-def _as_python_dict(rows: pd.Series) -> pd.Series:
-    return rows.map(lambda row: str(json.loads(row)))
-
-
 def unknown_text(df: DataFrame, columns: Sequence[str]) -> Column:
     """A record of no known layout, written as a Python dictionary."""
-    return _as_python_dict(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    record = T.StructType([df.schema[c] for c in columns])
+    return python_form(F.struct(*[df[c] for c in columns]), record)
 
 
 def chat_text(df: DataFrame, ignore: Sequence[str] = ()) -> Column:

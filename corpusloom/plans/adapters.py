@@ -106,7 +106,11 @@ def blend_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
+    return metric_rows(table(spark, folder, "events"))
+
+
+def metric_rows(events: DataFrame) -> DataFrame:
+    return events.select(
         (F.col("event_id") + 1).alias("step"), F.col("event_type").alias("key"), "value"
     )
 

@@ -23,6 +23,7 @@ from corpusloom.streaming import streams as s
 from corpusloom.streaming.mixing import StreamMix
 
 STREAM_PARTS = 3
+FILES_PER_BATCH = 1000
 
 
 def replayed(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -32,6 +33,14 @@ def replayed(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame,
     return scan_stream(spark, Layout(root), Source(name), df.schema), root
 
 
+def streamed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream of the files it has, without a copy; the schema is the batch reader's.
+
+    As a pattern, the name may stand for a folder or for a single file, which the file source does not take by its plain name.
+    """
+    return scan_stream(spark, Layout(folder), Source(f"{name}.[p]arquet"), table(spark, folder, name).schema, FILES_PER_BATCH)
+
+
 def finished(stream: DataFrame, root: str) -> DataFrame:
     """Run a stream to the end of its source into a folder and read the result."""
     land_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
@@ -40,8 +49,7 @@ def finished(stream: DataFrame, root: str) -> DataFrame:
 
 @query("SELECT doc_id, text FROM documents")
 def stream_scan(spark: SparkSession, folder: str) -> DataFrame:
-    stream, root = replayed(spark, table(spark, folder, "documents"), "documents")
-    return finished(r.pick_text(stream, keep=["doc_id"]), root)
+    return finished(r.pick_text(streamed(spark, folder, "documents"), keep=["doc_id"]), scratch_path(spark, "documents"))
 
 
 @query(MESSAGES_SQL)
@@ -53,16 +61,16 @@ def stream_render(spark: SparkSession, folder: str) -> DataFrame:
 @query(SQL["encode_bytes"])
 def stream_encode(spark: SparkSession, folder: str) -> DataFrame:
     """Encoding of a stream of documents with a vocabulary of single bytes."""
-    stream, root = replayed(spark, table(spark, folder, "documents"), "documents")
-    rows = finished(k.encode(stream, k.Vocabulary([]), MAX_LENGTH, keep=["doc_id"]), root)
+    stream = streamed(spark, folder, "documents")
+    rows = finished(k.encode(stream, k.Vocabulary([]), MAX_LENGTH, keep=["doc_id"]), scratch_path(spark, "documents"))
     attended = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda s, x: s + x)
     return rows.select("doc_id", "n_tokens", a.joined_ids("input_ids").alias("input_ids"), attended.alias("attended"))
 
 
 @query(f"WITH {METRICS_SQL} SELECT key, round(avg(value), 6) AS mean, count(*) AS n FROM metrics GROUP BY key")
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    stream, root = replayed(spark, a.metrics(spark, folder), "metrics")
-    return _latest(s.running_averages(stream), root)
+    stream = a.metric_rows(streamed(spark, folder, "events"))
+    return _latest(s.running_averages(stream), scratch_path(spark, "metrics"))
 
 
 @query(f"""
@@ -70,8 +78,8 @@ WITH {METRICS_SQL}, aged AS (SELECT *, row_number() OVER (PARTITION BY key ORDER
 SELECT key, round(avg(value), 6) AS mean, count(*) AS n FROM aged WHERE age <= {LAST_N} GROUP BY key
 """)
 def stream_last_n(spark: SparkSession, folder: str) -> DataFrame:
-    stream, root = replayed(spark, a.metrics(spark, folder), "metrics")
-    return _latest(s.last_n_averages(stream, LAST_N), root)
+    stream = a.metric_rows(streamed(spark, folder, "events"))
+    return _latest(s.last_n_averages(stream, LAST_N), scratch_path(spark, "metrics"))
 
 
 def _latest(stream: DataFrame, root: str) -> DataFrame:

@@ -53,9 +53,14 @@ def scan(spark: SparkSession, layout: Layout, source: Source) -> DataFrame:
     return _split(df, source)
 
 
-def scan_stream(spark: SparkSession, layout: Layout, source: Source, schema: T.StructType | str) -> DataFrame:
-    """The same source as a stream of files."""
-    return _split(spark.readStream.format(layout.format).schema(schema).load(layout.path(source)), source)
+def scan_stream(
+    spark: SparkSession, layout: Layout, source: Source, schema: T.StructType | str, files_per_batch: int | None = None
+) -> DataFrame:
+    """The same source as a stream of its files, which are read where they lie; a batch takes up to ``files_per_batch`` of them."""
+    reader = spark.readStream.format(layout.format).schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _split(reader.load(layout.path(source)), source)
 
 
 def _split(df: DataFrame, source: Source) -> DataFrame:

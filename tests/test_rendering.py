@@ -55,6 +55,37 @@ def test_unknown_layout_is_a_python_dict(spark):
     assert text_of(spark, schema, row) == [str(want)]
 
 
+def test_python_form_of_all_types(spark):
+    """Against Python itself: every type, quotes, escapes, and floats of all sizes."""
+    import datetime as dt
+    import random
+    from decimal import Decimal
+
+    dice = random.Random(3)
+    texts = ["", "'", '"', "'\"", "\\", "a\nb\rc\td", "\x00\x1f\x7f\x85\xa0", "\u200b\u2028\ufeff\ue000", "é😀\U000e0001", "\\n'", " x "]
+    floats = [0.0, -0.0, 1.0, -1.5, 1e15, 1e16, 123456789012345680.0, 1e-4, 1e-5, 0.1 + 0.2, 2e23, 8.41e21, 2.0e-3, 1e100, 5e-324, float("inf"), float("-inf"), float("nan"), 1e22, 9.5e-44]
+    floats += [dice.uniform(-1, 1) * 10.0 ** dice.randint(-30, 30) for _ in range(300)] + [float(dice.randint(-9999, 9999)) for _ in range(20)]
+    schema = (
+        "s string, d double, f float, i long, b boolean, y binary, a array<string>, m map<int,double>, day date, at timestamp_ntz,"
+        " n decimal(9,2), r struct<`it's`:string,e:array<struct<x:int>>>, none string"
+    )
+    rows = []
+    for k, number in enumerate(floats):
+        s = texts[k % len(texts)]
+        at = dt.datetime(2020, 1, 2, 3, k % 60, k % 2, k % 3)
+        rows.append(
+            (s, number, 0.1 * k, k - 9, k % 2 == 0, s.encode() + bytes([k % 256]), [s, None][: k % 3], {k: number}, at.date(), at,
+             Decimal(k) / 4, (s, [(k,), None]), None)
+        )
+    rows.append((None,) * 13)
+    frame = spark.createDataFrame(rows, schema)
+    texts_of = r.render_chat(frame)
+    assert "Python" not in texts_of._jdf.queryExecution().executedPlan().toString()
+    want = [str({**x.asDict(recursive=True), "y": x.y if x.y is None else bytes(x.y)}) for x in frame.collect()]
+    for got, expected in zip([x.text for x in texts_of.collect()], want, strict=True):
+        assert got == expected
+
+
 def test_marked_conversations(spark):
     rows = [([("human", "a"), ("bot", "b"), ("tool", "c"), ("system", "d")],)]
     assert text_of(spark, SHAREGPT, *rows, renderer="marked") == [
