@@ -11,8 +11,8 @@ linked if ``100 * intersection >= percent * union``.
    linked) and what remains by whole sets. A node hands on one link per member, not its pairs.
 4. What no token divides are classes that agree in all tokens of their path. In the first trees, some members chosen by hash
    are compared with all others of such a node, in chunks. That finds the component of a large group of near copies.
-5. Once links are known, a node need not branch if it is one component but for at most ``LEAF // 2`` classes, and a node of one
-   component is done. The others, and those that no token divides, are cut in blocks: the classes outside the largest
+5. The other trees are dealt once the links of the first are known. A node of one component is done, and its classes are not listed.
+   A node need not branch if it is one component but for at most ``LEAF // 2`` classes. The others, and those that no token divides, are cut in blocks: the classes outside the largest
    component meet each other and each member of it, a pair of blocks being a small node. This is exact, and takes one pass.
 6. Classes whose trees branched so often that a link may have been lost are dealt by further trees, with new tokens.
 7. The links' connected components are the result. New links are added to the components found before as links between those.
@@ -31,7 +31,7 @@ empty result. Only ``doc_id`` and ``text`` are read, so other columns cannot cla
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ WORDS, PERCENT = 5, 85
 TOKENS, LEAF = 64, 1024
 LEVELS = 9  # a tree branches so often at most, and not more often than it has tokens
 TREE_MISS, TOKEN_MISS = 4e-5, 2e-5  # recall of a pair: 1 - 2 * TREE_MISS - TOKEN_MISS
-FIRST_TREES = 2  # trees whose large nodes are looked at before links are known
+FIRST_TREES = 2  # trees that are compared before any link is known
 LONG = 4096  # shingles; a longer text counts as several classes where the size of nodes is bounded
 BROADCAST_ROWS = 1_000_000  # of two integers each, which take at most 100 bytes with their list
 MOST_CACHED = 200_000
@@ -196,13 +196,19 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     return cut.select(F.xxhash64("node", "at.i", "at.j").alias("node"), "doc")
 
 
-def dealt(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows ``(node, doc)`` of the small nodes that the first tokens of the trees give, and ``(node, tree, doc)`` of the large ones."""
-    roots = [F.struct(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))).alias("node"), F.lit(t).alias("tree")) for t in range(trees)]
-    rows = classes.select("doc", "weight", F.explode(F.array(*roots)).alias("n")).select("n.node", "n.tree", "doc", "weight")
-    sizes = landed(weighed(rows, ["node"]).where("n > 1").select("node", F.col("weight").alias("size")), "sizes")
+def dealt(classes: DataFrame, trees: Sequence[int]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows ``(node, doc)`` of the small nodes that the first tokens of the trees give, and rows of the large ones.
+
+    The latter are ``(node, tree, doc, root, weight, apart)``; ``apart`` says that the node is nearly one component. Nodes whose
+    classes ``(doc, root, weight, tokens)`` are one component are done and left out.
+    """
+    roots = [F.struct(F.xxhash64(F.lit(t), F.get("tokens", F.lit(t))).alias("node"), F.lit(t).alias("tree")) for t in trees]
+    rows = classes.select("doc", "root", "weight", F.explode(F.array(*roots)).alias("n")).select("n.node", "n.tree", "doc", "root", "weight")
+    sizes = weighed(rows, ["node", "root"]).groupBy("node")
+    sizes = sizes.agg(F.count(F.lit(1)).alias("parts"), F.sum("weight").alias("size"), F.max("weight").alias("main")).where("parts > 1")
+    sizes = landed(sizes.select("node", "size", (F.col("size") - F.col("main") <= max(1, LEAF // 2)).alias("apart")), "sizes")
     rows = landed(rows.join(sizes, "node"), "nodes")
-    large = rows.where(F.col("size") > LEAF).select("node", "tree", "doc")
+    large = rows.where(F.col("size") > LEAF).drop("size")
     return rows.where(F.col("size") <= LEAF).select("node", "doc"), None if large.isEmpty() else large
 
 
@@ -214,31 +220,29 @@ def divided(large: DataFrame, classes: DataFrame, percent: int, linked: bool) ->
     """
     many, half = trees_for(percent), max(1, LEAF // 2)
     levels = 1 + min(LEVELS, TOKENS // many - 1)
-    top, settled = large.select("node", "tree", "doc").join(classes, "doc"), None
+    top, settled = large, None
     if linked:
         # What is nearly one component needs no further level.
-        top = landed(top, "rooted-nodes")
-        mains = weighed(top, ["node", "root"]).groupBy("node").agg((F.sum("weight") - F.max("weight") <= half).alias("apart"))
-        top = landed(top.join(mains, "node"), "settled-nodes")
-        settled = top.where("apart").select("node", "doc", "root", "weight")
-        top = top.where("not apart")
-    # Every level of the paths of these classes.
+        settled, top = large.where("apart").select("node", "doc", "root", "weight"), large.where("not apart")
+    top = top.join(classes.select("doc", "tokens"), "doc")
     path = [F.col("node")]
     for level in range(1, levels):
         path.append(F.xxhash64(path[-1], F.get("tokens", F.col("tree") + level * many)))
-    listed = F.array(*[F.struct(F.lit(i).alias("level"), n.alias("node")) for i, n in enumerate(path)])
-    deep = top.select("doc", "tree", "root", "weight", F.explode(listed).alias("p"))
-    deep = landed(deep.select("doc", "tree", "root", "weight", "p.level", "p.node"), "paths")
+    paths = landed(top.select("doc", "root", "weight", F.array(*path).alias("path"), path[-1].alias("leaf")), "paths")
+    # Every level below the large node. What is done stays so further down, so the last open level gives where a class's path ends.
+    deep = paths.select("doc", "root", "weight", "leaf", F.posexplode(F.slice("path", 2, levels)).alias("level", "node"))
     nodes = weighed(deep, ["node", "root"]).groupBy("node").agg(
         F.sum("n").alias("n"), F.sum("weight").alias("size"), F.max("weight").alias("main")
     )
     small = F.col("size") <= LEAF
     apart = F.col("size") - F.col("main") <= half if linked else F.lit(False)
     nodes = landed(nodes.select("node", "n", small.alias("small"), (small | apart).alias("done")), "path-nodes")
-    found = deep.join(nodes, "node")
-    ends = found.where("done").groupBy("doc", "tree", "root", "weight").agg(F.min(F.struct("level", "node", "n", "small")).alias("s"))
-    ends = landed(ends.select("doc", "root", "weight", "s.*"), "ends")
-    rest = landed(found.where((F.col("level") == levels - 1) & ~F.col("done")).select("doc", "root", "weight", "level", "node"), "undivided")
+    last = deep.join(nodes.where("not done").select("node"), "node").groupBy("doc", "leaf").agg(F.max("level").alias("last"))
+    level = F.coalesce(F.col("last") + 2, F.lit(1))
+    found = paths.distinct().join(last, ["doc", "leaf"], "left").select("doc", "root", "weight", "path", level.alias("level"))
+    found = landed(found.select("doc", "root", "weight", "level", F.get("path", F.least("level", F.lit(levels - 1))).alias("node")), "path-ends")
+    ends = landed(found.where(F.col("level") < levels).join(nodes.select("node", "n", "small"), "node"), "ends")
+    rest = found.where(F.col("level") == levels).withColumn("level", F.lit(levels - 1))
     leaves = ends.where("small and n > 1").select("node", "doc")
     added = F.array(*[F.lit(log_miss(percent, i + 1) - log_miss(percent, 1)) for i in range(levels)])
     more = ends.select("doc", "level").unionByName(rest.select("doc", "level")).where("level > 0").select("doc", F.get(added, "level").alias("more"))
@@ -386,21 +390,25 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             rows = landed(likely(leaves, roots, percent), "likely")
             return joined_components(found, landed(leaf_links(rows, docs, percent), "links"))
 
-        roots, later = rooted(classes, found), None
-        leaves, large = dealt(roots, trees)
-        if large is not None and found is None:
-            large, later = large.where(F.col("tree") < FIRST_TREES), large.where(F.col("tree") >= FIRST_TREES)
-        if large is not None:
-            below, undivided, deeper = divided(large, roots, percent, found is not None)
-            leaves, more = leaves.unionByName(below), [deeper]
-        found = compared(leaves, roots, found)
-        if later is not None:
-            # The large nodes of the other trees, and those of the first ones of which only chosen members were compared.
+        begun, undivided = found is None, None
+        roots = rooted(classes, found)
+        if begun:
+            leaves, large = dealt(roots, range(FIRST_TREES))
+            if large is not None:
+                below, undivided, deeper = divided(large, roots, percent, False)
+                leaves, more = leaves.unionByName(below), [deeper]
+            found = compared(leaves, roots, None)
             roots = rooted(classes, found)
-            leaves, _, deeper = divided(later, roots, percent, True)
+        # The other trees, of which only nodes of several components are left.
+        leaves, large = dealt(roots, range(FIRST_TREES if begun else 0, trees))
+        if large is not None:
+            below, _, deeper = divided(large, roots, percent, True)
+            leaves = leaves.unionByName(below)
             more.append(deeper)
-            open_nodes = in_blocks(undivided.join(roots.select("doc", "root").distinct(), "doc"))
-            found = compared(leaves.unionByName(open_nodes), roots, found)
+        if undivided is not None:
+            # Of these nodes of the first trees only chosen members were compared.
+            leaves = leaves.unionByName(in_blocks(undivided.join(roots.select("doc", "root").distinct(), "doc")))
+        found = compared(leaves, roots, found)
         every = trees * log_miss(percent, 1)
         if not more and every <= math.log(TREE_MISS):
             return found

@@ -124,6 +124,24 @@ def test_nodes_are_bounded_by_the_length_of_texts(spark, monkeypatch):
     assert got == {i: i // 6 * 6 for i in range(24)}
 
 
+def test_a_group_of_near_copies_is_not_listed_in_every_tree(spark, monkeypatch):
+    """Nodes of what the first trees have made one component have no rows in the other trees."""
+    rows, real = [], near_dup.landed
+
+    def counted(df, label):
+        out = real(df, label)
+        rows.extend([out.count()] if label == "nodes" else [])
+        return out
+
+    monkeypatch.setattr(near_dup, "landed", counted)
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(400)]
+    texts = [" ".join(edited(rng, base, 1)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in near_dup.near_duplicates(docs).collect()} == {0}
+    assert sum(rows) <= near_dup.FIRST_TREES * len(texts), rows
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(docs).count() == 0
