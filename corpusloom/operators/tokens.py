@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,8 @@ INDEX_FOLDERS = 64
 ROUND_TASKS = 4  # that add up the changed pairs of a round
 INDEXED_LENGTH = 64
 MERGED_AT_ONCE = 1000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000  # each with its ids, per task
+SLICED_WORDS = 250_000  # words, and characters by eight, that are turned into ids at once
 
 
 def byte_characters() -> list[str]:
@@ -582,7 +584,7 @@ def encode(
 ) -> DataFrame:
     """``input_ids`` cut to ``max_length``, ``attention_mask`` and the uncut number of tokens ``n_tokens``.
 
-    Words are split by Spark; an Arrow stage looks up each distinct word of a batch and keeps what it learned for the
+    Words are split by Spark; an Arrow stage looks up each distinct word of a stretch of rows and keeps what it learned for the
     task. The stage is narrow: no shuffle. Reserved tokens in a text become their ids.
     """
     spark = texts.sparkSession
@@ -606,13 +608,16 @@ def encode(
                     found = [reserved[word]]
                 else:
                     found = merge_word([byte_ids[b] for b in word.encode()], ranks)
-                if len(known) < CACHED_WORDS:
+                if len(known) >= CACHED_WORDS:
+                    known.clear()
+                if len(word) <= INDEXED_LENGTH:
                     known[word] = found
             return found
 
         for batch in batches:
-            ids, sizes = batch_ids(batch.column(batch.num_columns - 1), ids_of, max_length)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), ids], names)
+            for part in sliced(batch, batch.num_columns - 1):
+                ids, sizes = batch_ids(part.column(part.num_columns - 1), ids_of, max_length)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sizes), ids], names)
 
     words = texts.select(*keep, split_reserved(column, list(vocabulary.special_ids()), pattern).alias("__words"))
     kept = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in keep)
@@ -621,12 +626,30 @@ def encode(
     return coded.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
 
 
+def sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch that hold about ``SLICED_WORDS`` words in a list column, or one row.
+
+    Working memory follows the number of ids of a stretch, and not the size of Spark's batches.
+    """
+    words = batch.column(column)
+    counts = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    long = np.concatenate([[0], np.cumsum(pc.binary_length(words.flatten()).to_numpy(zero_copy_only=False).astype(np.int64))])
+    ends = np.cumsum(counts)
+    weights = ends + long[ends] // 8
+    first = 0
+    while first < batch.num_rows:
+        before = weights[first - 1] if first else 0
+        after = max(first + 1, int(np.searchsorted(weights, before + SLICED_WORDS, "right")))
+        yield batch.slice(first, after - first)
+        first = after
+
+
 def batch_ids(
     words: pa.ListArray, ids_of: Callable[[str], list[int]], max_length: int | None
 ) -> tuple[pa.ListArray, np.ndarray]:
     """Token ids of lists of words, cut to ``max_length``, and the uncut numbers of tokens.
 
-    Each distinct word of the batch is looked up once; the rest is index arithmetic on whole columns.
+    Each distinct word is looked up once; the rest is index arithmetic on whole columns.
     """
     coded = words.flatten().dictionary_encode()
     pieces = [ids_of(w) for w in coded.dictionary.to_pylist()]

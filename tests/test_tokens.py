@@ -2,6 +2,7 @@ import json
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,22 @@ def test_truncation(corpus, learned):
         assert len(x.attention_mask) == len(x.input_ids) <= 16
 
 
+def test_memory_of_encoding_follows_stretches_of_rows(monkeypatch):
+    """A batch of any size is coded in stretches, with the same ids."""
+    words = [["a", "bc"] * 50, [], None, ["d" * 900], ["a"], ["e"] * 7]
+    batch = pa.record_batch([pa.array(range(6)), pa.array(words, pa.list_(pa.string()))], ["key", "words"])
+    monkeypatch.setattr(k, "SLICED_WORDS", 100)
+    for part in (batch, batch.slice(1, 4)):
+        cut = list(k.sliced(part, 1))
+        assert sum(x.num_rows for x in cut) == part.num_rows and len(cut) > 1
+        assert pa.Table.from_batches(cut) == pa.Table.from_batches([part])
+        coded = [k.batch_ids(x.column(1), lambda w: [ord(c) for c in w], 5) for x in cut]
+        ids, sizes = k.batch_ids(part.column(1), lambda w: [ord(c) for c in w], 5)
+        assert [r for x, _ in coded for r in x.to_pylist()] == ids.to_pylist()
+        assert [n for _, x in coded for n in x.tolist()] == sizes.tolist()
+    assert list(k.sliced(batch.slice(0, 0), 1)) == []
+
+
 def test_decoding(corpus, learned, library):
     rows = k.encode(corpus, learned, keep=["text"])
     got = rows.select(
