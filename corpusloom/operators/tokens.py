@@ -1,14 +1,13 @@
 """Byte-level BPE: word counts, training of merges, encoding and decoding.
 
 During training every symbol is one character, so a word is a string and the order of pairs is the order of strings. The word
-table stays on the cluster, with an inverted index from pairs to words; the driver only ranks a bounded number of pairs.
+table stays on the cluster; the driver ranks a bounded number of pairs and receives a bounded number of stretches where they overlap.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -36,13 +35,15 @@ SYMBOL_BASE = 0x100  # character of id 0; the others follow in order, past the s
 SURROGATES = range(0xD800, 0xE000)
 SYMBOL_LIMIT = 0x110000 - SYMBOL_BASE - len(SURROGATES)
 SAMPLE_SIZE = 1_000_000
-PAIRS_PER_ROUND = 512
+PAIRS_AT_FIRST = 32  # that the first round takes
+PAIRS_PER_ROUND = 2048  # that a round takes at most
+CHAINS = 50_000  # stretches of words that the driver receives in a round, at most
 CANDIDATES = 65_536  # pairs that the driver ranks during training
-FIRST_SNAPSHOT = 256  # merges, after which words are indexed
-INDEX_FOLDERS = 64
+FIRST_SNAPSHOT = 1024  # merges, after which the word table is written anew; sooner at first
 ROUND_TASKS = 4  # that add up the changed pairs of a round
-INDEXED_LENGTH = 64
-MERGED_AT_ONCE = 1000
+BLOCK_SYMBOLS = 2_000_000  # that a task works on at once
+SEPARATOR = ord("\n")  # between the words of a block; no symbol
+INDEXED_LENGTH = 64  # characters of a word whose ids are kept while encoding
 CACHED_WORDS = 200_000  # each with its ids, per task
 SLICED_WORDS = 250_000  # words, and characters by eight, that are turned into ids at once
 
@@ -241,6 +242,50 @@ def independent_prefix(pairs: Sequence[str], room: int) -> list[str]:
     return chosen
 
 
+def settled_merges(ranked: Sequence[tuple[str, int]], chains: Sequence[tuple[str, int]], first: int, room: int, min_frequency: int) -> list[str]:
+    """The merges, one at a time, up to the rank of the last of the ranked pairs; new symbols are numbered from ``first``.
+
+    ``chains`` are the stretches of words in which ranked pairs overlap, with how often they occur. A merge changes the count of
+    another ranked pair only where the two overlap, and a pair that it creates beside a ranked one is whole in the chains too. Any
+    other pair that it creates takes the place of an old pair behind the last one, is at most as frequent and loses ties to
+    it by its larger id, so no pair that is unknown here comes before the last one.
+    """
+    counts = dict(ranked)
+    last = (-ranked[-1][1], ranked[-1][0])
+    words = [text for text, _ in chains]
+    holding: dict[str, set[int]] = {}
+    for i, word in enumerate(words):
+        for pair in map(str.__add__, word, word[1:]):
+            holding.setdefault(pair, set()).add(i)
+    heap = sorted((-n, pair) for pair, n in ranked)
+    merges: list[str] = []
+    while heap and len(merges) < room:
+        n, pair = heapq.heappop(heap)
+        if counts.get(pair) != -n:
+            continue  # an outdated entry
+        if (n, pair) > last or -n < min_frequency:
+            break
+        new = symbol(first + len(merges))
+        merges.append(pair)
+        changed = set()
+        for i in holding.pop(pair, ()):
+            old, freq = words[i], chains[i][1]
+            words[i] = now = old.replace(pair, new)
+            for p in map(str.__add__, old, old[1:]):
+                counts[p] = counts.get(p, 0) - freq
+                changed.add(p)
+            for p in map(str.__add__, now, now[1:]):
+                counts[p] = counts.get(p, 0) + freq
+                changed.add(p)
+                if new in p:
+                    holding.setdefault(p, set()).add(i)
+        del counts[pair]
+        for p in changed:
+            if counts.get(p, 0) > 0:
+                heapq.heappush(heap, (-counts[p], p))
+    return merges
+
+
 class RankedPairs:
     """The best pairs with their counts, ranked by count and then by pair: ``CANDIDATES`` of them, and at most twice that.
 
@@ -268,10 +313,10 @@ class RankedPairs:
                 self.behind = self.heap[-1]
             self.counts = {pair: -n for n, pair in self.heap}
 
-    def head(self, min_frequency: int, room: int) -> list[str]:
-        """The pairs that are merged next."""
+    def best(self, wanted: int, min_frequency: int) -> list[tuple[str, int]]:
+        """The pairs that rank first, with their counts."""
         best: list[tuple[int, str]] = []
-        while self.heap and len(best) < min(room, PAIRS_PER_ROUND):
+        while self.heap and len(best) < wanted:
             n, pair = heapq.heappop(self.heap)
             if self.counts.get(pair) == -n and (not best or best[-1][1] != pair):  # an entry may be outdated or stand twice
                 best.append((n, pair))
@@ -279,141 +324,212 @@ class RankedPairs:
                     break
         for entry in best:
             heapq.heappush(self.heap, entry)
-        return independent_prefix([pair for n, pair in best if -n >= min_frequency], room)
+        return [(pair, -n) for n, pair in best if -n >= min_frequency]
 
+    def short(self) -> bool:
+        """Whether pairs must be counted again: few are left, and there are others."""
+        return self.behind is not None and len(self.counts) <= CANDIDATES // 16
 
-def renamed(merges: Sequence[str], first: int, end: int, size: int) -> list[tuple[str, str]]:
-    """Some of the merges with their new symbols; ``size`` is the number of tokens before any merge."""
-    return [(merges[i], symbol(size + i)) for i in range(first, end)]
 
+def numbered_merges(merges: Sequence[str], first: int, end: int, size: int) -> list[tuple[int, int, int]]:
+    """Some of the merges as code points ``(left, right, new symbol)``; ``size`` is the number of tokens before any merge."""
+    return [(ord(merges[i][0]), ord(merges[i][1]), ord(symbol(size + i))) for i in range(first, end)]
 
-def spelled(symbols: str, merges: Sequence[str], first: int, size: int) -> str:
-    """Symbols in terms of those that existed after ``first`` merges."""
-    out, todo = [], list(reversed(symbols))
-    while todo:
-        rank = symbol_id(todo[-1]) - size
-        if rank < first:
-            out.append(todo.pop())
-        else:
-            todo[-1:] = reversed(merges[rank])
-    return "".join(out)
 
+def word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The words of a task in stretches of about ``BLOCK_SYMBOLS``: their symbols as code points, with a separator before, between
+    and after the words, and how often each word occurs."""
+    words: list[str] = []
+    freqs: list[np.ndarray] = []
+    long = 0
 
-def merged(words: str, merges: Sequence[tuple[str, str]]) -> str:
-    """Words of symbols, one a line, after some merges ``(pair, new symbol)`` in order.
+    def block() -> tuple[np.ndarray, np.ndarray]:
+        text = f"\n{'\n'.join(words)}\n"
+        return np.frombuffer(text.encode("utf-32-le"), np.int32), np.concatenate(freqs)
 
-    Few merges are made on all words at once; of many, each word only goes through those that it has pairs for.
-    """
-    if len(merges) <= MERGED_AT_ONCE:
-        for pair, new in merges:
-            words = words.replace(pair, new)
-        return words
-    ranks = {(pair[0], pair[1]): (i, new) for i, (pair, new) in enumerate(merges)}
-    return "\n".join("".join(merge_word(list(w), ranks)) for w in words.split("\n"))
+    for batch in batches:
+        some = batch.column(0).to_pylist()
+        words += some
+        freqs.append(batch.column(1).to_numpy(zero_copy_only=False))
+        long += sum(map(len, some))
+        if long >= BLOCK_SYMBOLS:
+            yield block()
+            words, freqs, long = [], [], 0
+    if words:
+        yield block()
 
 
-def updated(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
-    """The word table after some merges."""
+def pair_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.int64) << 32 | right
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                now = merged("\n".join(batch.column(0).to_pylist()), merges).split("\n")
-                yield pa.record_batch([pa.array(now, pa.string()), batch.column(1)], ["symbols", "freq"])
 
-    return words.select("symbols", "freq").mapInArrow(run, "symbols string, freq bigint")
+def pair_code(pair: str) -> int:
+    return ord(pair[0]) << 32 | ord(pair[1])
 
 
-def pair_codes(words: str) -> tuple[np.ndarray, np.ndarray]:
-    """Adjacent pairs of words, one a line, as integers, and the number of the word that each pair is in."""
-    points = np.frombuffer(words.encode("utf-32-le"), np.uint32)
-    ends = points == ord("\n")
-    inside = ~(ends[:-1] | ends[1:])
-    codes = points[:-1].astype(np.int64) << 32 | points[1:]
-    return codes[inside], np.cumsum(ends)[:-1][inside]
+def words_of(points: np.ndarray) -> np.ndarray:
+    """The number of the word that each symbol of a block is in."""
+    return np.cumsum(points == SEPARATOR, dtype=np.int32) - 1
 
 
-def pair_code(pair: str) -> int:
-    return ord(pair[0]) << 32 | ord(pair[1])
+def among(codes: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a block where one of some distinct pairs begins, and which one it is."""
+    size = int(max(points.max(), (codes >> 32).max(), (codes & 0xFFFFFFFF).max())) + 1
+    starts, ends = np.zeros(size, bool), np.zeros(size, bool)
+    starts[codes >> 32], ends[codes & 0xFFFFFFFF] = True, True
+    near = np.flatnonzero(starts[points[:-1]] & ends[points[1:]])
+    order = np.argsort(codes)
+    found = pair_codes(points[near], points[near + 1])
+    at = order[np.minimum(np.searchsorted(codes, found, sorter=order), len(codes) - 1)]
+    hit = codes[at] == found
+    return near[hit], at[hit]
 
 
-class Snapshot:
-    """The word table after some merges, and an inverted index from pairs to the words that hold them.
+def merged_block(
+    points: np.ndarray, merges: Sequence[tuple[int, int, int]], changed: Callable[[np.ndarray, np.ndarray, np.ndarray, int], None] | None = None
+) -> np.ndarray:
+    """A block's symbols after some merges in order, from left to right within a word.
 
-    Words are strings of symbols. The index lies in folders by the pair's checksum, so a lookup reads the folders of its pairs
-    alone; pairs that very many words hold are split over several files. Words of more than ``INDEXED_LENGTH`` symbols would
-    stand in the index with all their pairs; they are searched whole, and so is the table before any merge.
+    Symbols are linked, and the places of the pairs are listed once, so a merge costs by the places it is made at. ``changed``
+    gets the pairs that a merge takes (-1) and makes (1): place, left and right symbol.
     """
+    if not merges:
+        return points
+    codes = np.array([a << 32 | b for a, b, _ in merges], np.int64)
+    near, number = among(codes, points)
+    by = np.argsort(number, kind="stable")
+    near, bounds = near[by], np.searchsorted(number[by], np.arange(len(merges) + 1))
+    made = {new for _, _, new in merges}
+    rank = {code: i for i, code in enumerate(codes.tolist())}
+    uses: dict[int, set[int]] = {}
+    for a, b, _ in merges:
+        for part in {a, b} & made:
+            uses.setdefault(part, set()).add(a << 32 | b)
+    later: dict[int, list[np.ndarray]] = {}  # places of pairs that came up on the way
+    symbols = points.copy()  # 0: part of the symbol before
+    after = np.arange(1, len(points) + 1, dtype=np.int32)
+    before = np.arange(-1, len(points) - 1, dtype=np.int32)
+    for i, (a, b, new) in enumerate(merges):
+        place = near[bounds[i] : bounds[i + 1]]
+        if i in later:
+            place = np.unique(np.concatenate([place, *later.pop(i)]))
+        place = place[symbols[place] == a]
+        other = after[place]
+        both = symbols[other] == b
+        place, other = place[both], other[both]
+        if a == b and len(place) > 1:  # of a run, every second pair
+            here = np.arange(len(place))
+            run = np.maximum.accumulate(np.where(np.concatenate([[True], place[1:] != other[:-1]]), here, 0))
+            place, other = place[(here - run) % 2 == 0], other[(here - run) % 2 == 0]
+        if not len(place):
+            continue
+        if changed:
+            links = np.unique(np.concatenate([before[place], place, other]))
+            changed(links, symbols[links], symbols[after[links]], -1)
+        behind = after[other]
+        symbols[place], symbols[other] = new, 0
+        after[place], before[behind] = behind, place
+        if changed or new in uses:
+            links = np.unique(np.concatenate([before[place], place]))
+            left, right = symbols[links], symbols[after[links]]
+            if changed:
+                changed(links, left, right, 1)
+            if new in uses:
+                found = pair_codes(left, right)
+                for code in uses[new]:
+                    some = links[found == code]
+                    if len(some):
+                        later.setdefault(rank[code], []).append(some)
+    return symbols[symbols > 0]
+
+
+def paired(codes: np.ndarray, weights: np.ndarray, name: str) -> pa.RecordBatch:
+    """Sums of weights by pair, but zeros, as rows of the pair's string and the sum."""
+    pairs, place = np.unique(codes, return_inverse=True)
+    total = np.bincount(place, weights, len(pairs)).astype(np.int64)  # whole numbers far below 2 ** 53
+    some = np.flatnonzero(total)
+    names = [chr(c >> 32) + chr(c & 0xFFFFFFFF) for c in pairs[some].tolist()]
+    return pa.record_batch([pa.array(names, pa.string()), pa.array(total[some], pa.int64())], ["pair", name])
+
+
+def brought_up(words: DataFrame, merges: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """The word table after some merges, without the words that are a single symbol by now."""
 
-    def __init__(self, words: DataFrame, path: str, first: int, reader: SparkSession) -> None:
-        spark = words.sparkSession
-        self.first = first  # merges that the table has seen
-        self.usual: dict[str, int] = {}  # counts of the more frequent pairs
-        self.folders = max(INDEX_FOLDERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        self.words = _landed(words.where(F.length("symbols") > 1), f"{path}/words")
-        whole = reader.read.schema(self.words.schema).parquet(f"{path}/words")
-        self.index = None
-        if first:  # the first merges are in most words
-            short = self.words.where(F.length("symbols") <= INDEXED_LENGTH)
-            rows = short.select(F.explode(F.array_distinct(_pairs("symbols"))).alias("pair"), "symbols", "freq")
-            rows = rows.withColumn("folder", F.pmod(F.crc32(F.col("pair").cast("binary")), F.lit(self.folders)).cast("int"))
-            rows.hint("rebalance", "folder").write.partitionBy("folder").parquet(f"{path}/index")
-            self.index = reader.read.schema(rows.schema).parquet(f"{path}/index")
-            whole = whole.where(F.length("symbols") > INDEXED_LENGTH)
-        whole = whole.select(F.lit(None).cast("string").alias("pair"), "symbols", "freq")
-        self.rest = None if first and whole.isEmpty() else whole
-
-    def holding(self, pairs: set[str]) -> DataFrame:
-        """Rows ``(pair, symbols, freq)`` of the words that hold one of some pairs of this table's symbols, and maybe of others."""
-        if self.index is None:
-            return self.rest
-        folders = sorted({zlib.crc32(p.encode()) % self.folders for p in pairs})
-        found = self.index.where(F.col("folder").isin(folders) & F.col("pair").isin(sorted(pairs))).select("pair", "symbols", "freq")
-        return found if self.rest is None else found.unionByName(self.rest)
-
-    def lookups(self, head: Sequence[str], merges: Sequence[str], size: int) -> set[str]:
-        """Pairs of this table's symbols, one of which is in every word that holds a pair of the head by now.
-
-        A word holds a pair of later symbols only if it holds what they stand for; of its pairs the rarest is looked up.
-        """
-        texts = [spelled(p, merges, self.first, size) for p in head]
-        return {min(map(str.__add__, t, t[1:]), key=lambda p: self.usual.get(p, 0)) for t in texts}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for points, freq in word_blocks(batches):
+            now = merged_block(points, merges).tobytes().decode("utf-32-le")[1:-1].split("\n")
+            for first in range(0, len(now), 10_000):
+                part = slice(first, first + 10_000)
+                yield pa.record_batch([pa.array(now[part], pa.string()), pa.array(freq[part], pa.int64())], ["symbols", "freq"])
 
+    return words.mapInArrow(run, "symbols string, freq bigint").where(F.length("symbols") > 1)
 
-def count_changes(
-    rows: DataFrame, lookups: set[str], before: Sequence[tuple[str, str]], head: Sequence[tuple[str, str]]
-) -> DataFrame:
-    """How the counts of pairs change when a head is merged: rows ``(pair, delta)``.
 
-    ``rows`` are the words that a snapshot finds for ``lookups``, and ``before`` are the merges between that snapshot and the head.
-    A word that was found by several pairs counts where its first one found it.
-    """
-    wanted = np.array(sorted(pair_code(p) for p in lookups), np.int64)
+def all_pairs(words: DataFrame, merges: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """Counts ``(pair, freq)`` of all pairs after some merges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, freq = batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False)
-            if not words:
-                continue
-            codes, word = pair_codes("\n".join(words))
-            hit = np.isin(codes, wanted)
-            own, first = np.unique(word[hit], return_index=True)
-            found = codes[hit][first].tolist()
-            by = batch.column(0).to_pylist()
-            mine = [i for i, code in zip(own.tolist(), found, strict=True) if by[i] is None or pair_code(by[i]) == code]
-            if not mine:
+        for points, freq in word_blocks(batches):
+            now = merged_block(points, merges)
+            inside = (now[:-1] != SEPARATOR) & (now[1:] != SEPARATOR)
+            weights = freq[words_of(now)[:-1][inside]]
+            yield paired(pair_codes(now[:-1][inside], now[1:][inside]), weights, "freq")
+
+    return words.mapInArrow(run, "pair string, freq bigint").groupBy("pair").agg(F.sum("freq").alias("freq"))
+
+
+def overlaps(words: DataFrame, merges: Sequence[tuple[int, int, int]], pairs: Sequence[str]) -> DataFrame:
+    """Stretches of words, after some merges, in which two or more of some pairs overlap: ``(chain, freq)``."""
+    codes = np.array([pair_code(p) for p in pairs], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for points, freq in word_blocks(batches):
+            now = merged_block(points, merges)
+            hit = np.zeros(len(now) + 1, bool)
+            hit[among(codes, now)[0]] = True
+            hit[:-1] &= np.concatenate([[False], hit[:-2]]) | hit[1:]
+            inside = hit[:-1] | np.concatenate([[False], hit[:-2]])
+            place = np.flatnonzero(inside)
+            if not len(place):
                 continue
-            old = merged("\n".join([words[i] for i in mine]), before)
-            (ones, at), (others, to) = pair_codes(old), pair_codes(merged(old, head))
-            weights = freq[mine].astype(np.float64)  # whole numbers far below 2 ** 53
-            pairs, place = np.unique(np.concatenate([ones, others]), return_inverse=True)
-            delta = np.bincount(place, np.concatenate([-weights[at], weights[to]]), len(pairs)).astype(np.int64)
-            some = np.flatnonzero(delta)
-            names = [chr(c >> 32) + chr(c & 0xFFFFFFFF) for c in pairs[some].tolist()]
-            yield pa.record_batch([pa.array(names, pa.string()), pa.array(delta[some])], ["pair", "delta"])
+            ends = ~hit[place]
+            out = np.full(len(place) + int(ends.sum()), SEPARATOR, np.int32)
+            out[np.arange(len(place)) + np.cumsum(ends) - ends] = now[place]
+            chains = out.tobytes().decode("utf-32-le")[:-1].split("\n")
+            rows = pa.table({"chain": pa.array(chains, pa.string()), "freq": freq[words_of(now)[place[ends]]]})
+            rows = rows.group_by("chain").aggregate([("freq", "sum")]).select(["chain", "freq_sum"])
+            yield from rows.rename_columns(["chain", "freq"]).to_batches(10_000)
 
-    changed = rows.mapInArrow(run, "pair string, delta bigint")
-    return changed.groupBy("pair").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+    return words.mapInArrow(run, "chain string, freq bigint").groupBy("chain").agg(F.sum("freq").alias("freq"))
+
+
+def count_changes(
+    words: DataFrame, before: Sequence[tuple[int, int, int]], head: Sequence[tuple[int, int, int]], known: Sequence[str]
+) -> DataFrame:
+    """How the counts of new pairs and of some known old ones change when a head is merged after others: rows ``(pair, delta)``."""
+    wanted = np.array(sorted(pair_code(p) for p in known), np.int64)
+    new = min(made for _, _, made in head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for points, freq in word_blocks(batches):
+            now = merged_block(points, before)
+            weights = freq[np.minimum(words_of(now), len(freq) - 1)]
+            codes, deltas = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+            def changed(place: np.ndarray, left: np.ndarray, right: np.ndarray, sign: int) -> None:
+                inside = (left != SEPARATOR) & (right != SEPARATOR)
+                pairs = pair_codes(left[inside], right[inside])
+                old = (left[inside] < new) & (right[inside] < new)
+                kept = ~old
+                kept[old] = wanted[np.minimum(np.searchsorted(wanted, pairs[old]), len(wanted) - 1)] == pairs[old]
+                codes.append(pairs[kept])
+                deltas.append(sign * weights[place[inside][kept]])
+
+            merged_block(now, head, changed)
+            yield paired(np.concatenate(codes), np.concatenate(deltas), "delta")
+
+    changes = words.mapInArrow(run, "pair string, delta bigint").groupBy("pair").agg(F.sum("delta").alias("delta"))
+    return changes.where("delta <> 0")
 
 
 def train_merges(
@@ -424,45 +540,54 @@ def train_merges(
 ) -> Vocabulary:
     """Merges from a table ``word, freq``: each time the most frequent pair, ties to the smaller left, then right id.
 
-    A round merges a whole head of the ranking at once. One job looks up the words that hold the head's pairs in the index of the
-    last snapshot, brings them up to date, and returns how the counts change; it writes nothing. Whenever the number of merges
-    has doubled, the word table is brought up to date and indexed anew, which is the only state, and in the shared folder. The
-    driver holds the merges and the best pairs. It receives the changed pairs of a round: old ones beside a pair of the head, and
-    new ones that rank before what it holds.
+    A round makes hundreds of merges in two jobs that write nothing. The first returns the stretches of words in which the pairs
+    that rank first overlap; with them the driver settles the merges up to the last of these pairs. The second returns how these
+    merges change the counts. Stretches are at most ``CHAINS``; if there are more, the round makes the merges that need none,
+    and the next one takes fewer pairs. Whenever enough merges were made, the word table is written anew, which is the only
+    state, and in the shared folder. The driver holds the merges and the best pairs.
     """
     if vocab_size > SYMBOL_LIMIT:
         raise ValueError(f"vocab_size may be at most {SYMBOL_LIMIT}")
+    spark = words.sparkSession
     base = Vocabulary([], tuple(reserved))
     size = len(base.names)
-    folder = scratch_path(words.sparkSession, "merges")
+    folder = scratch_path(spark, "merges")
     table = _dealt(words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq"))
     # Rounds are small jobs: what they move fits a few tasks, and planning it anew at runtime costs more than it saves.
-    rounds = words.sparkSession.newSession()
+    rounds = spark.newSession()
     rounds.conf.set("spark.sql.adaptive.enabled", "false")
     rounds.conf.set("spark.sql.shuffle.partitions", str(ROUND_TASKS))
-    snapshot = Snapshot(table, f"{folder}/0", 0, rounds)
+    rounds.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    since, ranked, wanted = 0, None, PAIRS_AT_FIRST  # the merges that the table has seen, and the pairs of a round
+    table = _landed(table, f"{folder}/0")
+    current = rounds.read.schema(table.schema).parquet(f"{folder}/0")
     merges: list[str] = []
-    ranked = None
     while (done := len(merges)) < vocab_size - size:
-        head = ranked.head(min_frequency, vocab_size - size - done) if ranked else []
-        if not head and ranked and ranked.behind is None:
-            break
-        if done > snapshot.first and (not head or done >= max(FIRST_SNAPSHOT, 2 * snapshot.first)):
-            now = updated(snapshot.words, renamed(merges, snapshot.first, done, size))
-            snapshot = Snapshot(now, f"{folder}/{done}", done, rounds)
-            snapshot.usual = dict(ranked.counts)
-        if not head:
-            counts = pair_counts(snapshot.words).where(F.col("freq") >= min_frequency)
+        if done - since >= min(FIRST_SNAPSHOT, max(PAIRS_AT_FIRST, since)):
+            table = _landed(brought_up(table, numbered_merges(merges, since, done, size)), f"{folder}/{done}")
+            current, since = rounds.read.schema(table.schema).parquet(f"{folder}/{done}"), done
+        before = numbered_merges(merges, since, done, size)
+        if ranked is None or ranked.short():
+            counts = all_pairs(table, before).where(F.col("freq") >= min_frequency)
             found = [tuple(r) for r in counts.orderBy(F.col("freq").desc(), "pair").limit(CANDIDATES).collect()]
             if not found:
                 break
             ranked = RankedPairs(found, len(found) < CANDIDATES)
-            snapshot.usual = dict(ranked.counts)
+        best = ranked.best(wanted, min_frequency)
+        if not best:
+            if ranked.behind is None:
+                break
+            ranked = None
             continue
+        room = vocab_size - size - done
+        chains = [tuple(r) for r in overlaps(current, before, [p for p, _ in best]).limit(CHAINS + 1).collect()]
+        if len(chains) > CHAINS:
+            head, wanted = independent_prefix([p for p, _ in best], room), max(1, len(best) // 2)
+        else:
+            head = settled_merges(best, chains, size + done, room, min_frequency)
+            wanted = min(PAIRS_PER_ROUND, 2 * wanted) if 4 * len(chains) <= CHAINS else wanted
         merges += head
-        lookups = snapshot.lookups(head, merges, size)
-        before, now = renamed(merges, snapshot.first, done, size), renamed(merges, done, len(merges), size)
-        changed = count_changes(snapshot.holding(lookups), lookups, before, now)
+        changed = count_changes(current, before, numbered_merges(merges, done, len(merges), size), list(ranked.counts))
         if ranked.behind is not None:
             n, pair = -ranked.behind[0], ranked.behind[1]
             changed = changed.where((F.col("delta") < 0) | (F.col("delta") > n) | ((F.col("delta") == n) & (F.col("pair") <= pair)))

@@ -138,6 +138,40 @@ def test_bounded_ranking_and_snapshots_change_nothing(spark, monkeypatch, limits
     assert k.train_merges(df, vocab_size=262 + 60).merges == one_at_a_time(words, 262 + 60)
 
 
+@pytest.mark.parametrize("limits", [{}, {"BLOCK_SYMBOLS": 50, "CHAINS": 6}, {"PAIRS_PER_ROUND": 3, "PAIRS_AT_FIRST": 1}])
+def test_rounds_of_overlapping_pairs(spark, monkeypatch, limits):
+    """A round settles pairs that overlap in words, so a vocabulary takes few rounds, and the merges stay those of the rule."""
+    for name, value in limits.items():
+        monkeypatch.setattr(k, name, value)
+    rounds = []
+    plain = k.count_changes
+    monkeypatch.setattr(k, "count_changes", lambda *x: rounds.append(len(x[2])) or plain(*x))
+    rng = random.Random(9)
+    words = {"".join(rng.choice("abcdé") for _ in range(rng.randint(1, 14))): rng.randint(1, 30) for _ in range(150)}
+    words |= {"a" * n: n for n in range(2, 12)} | {"ab" * 9: 2}
+    df = spark.createDataFrame(list(words.items()), "word string, freq bigint").repartition(3)
+    assert k.train_merges(df, vocab_size=262 + 80).merges == one_at_a_time(words, 262 + 80)
+    assert sum(rounds) == 80 and (limits or len(rounds) <= 8), rounds
+
+
+def test_blocks_are_merged_like_words():
+    rng = random.Random(3)
+    for _ in range(60):
+        words = ["".join(rng.choice("\u0106\u0107\u0108") for _ in range(rng.randint(1, 9))) for _ in range(12)]
+        merges = []
+        for i in range(9):
+            pair = rng.choice("\u0106\u0107\u0108" + "".join(n for _, n in merges)) + rng.choice("\u0106\u0107\u0108" + "".join(n for _, n in merges))
+            if pair not in [p for p, _ in merges]:
+                merges.append((pair, chr(0x200 + i)))
+        want = "\n".join(words)
+        for pair, new in merges:
+            want = want.replace(pair, new)
+        batch = pa.record_batch([pa.array(words), pa.array([1] * 12)], ["symbols", "freq"])
+        ((points, _),) = k.word_blocks([batch])
+        got = k.merged_block(points, [(ord(p[0]), ord(p[1]), ord(n)) for p, n in merges])
+        assert got.tobytes().decode("utf-32-le")[1:-1] == want
+
+
 def test_training_ends_where_no_pair_is_left(spark):
     df = spark.createDataFrame([("abab", 5), ("x", 9), ("yz", 1)], "word string, freq bigint")
     assert k.train_merges(df).merges == one_at_a_time({"abab": 5, "x": 9, "yz": 1}, 400)
