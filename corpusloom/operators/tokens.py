@@ -552,7 +552,7 @@ def train_merges(
     base = Vocabulary([], tuple(reserved))
     size = len(base.names)
     folder = scratch_path(spark, "merges")
-    table = _dealt(words.select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq"))
+    table = _dealt(words).select(as_symbols(F.col("word"), base.byte_ids()).alias("symbols"), "freq")
     # Rounds are small jobs: what they move fits a few tasks, and planning it anew at runtime costs more than it saves.
     rounds = spark.newSession()
     rounds.conf.set("spark.sql.adaptive.enabled", "false")
@@ -604,11 +604,11 @@ def _landed(df: DataFrame, path: str) -> DataFrame:
 def _dealt(words: DataFrame) -> DataFrame:
     """Words dealt out evenly, since the size of the table has little to do with that of the corpus.
 
-    Words of a single symbol have no pairs and are left out.
+    Words of a single byte have no pairs and are left out. Spark filters before it counts, so the filter is a cheap one on the word.
     """
     spark = words.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return words.where(F.length("symbols") > 1).repartition(tasks, "symbols")
+    return words.where(F.octet_length("word") > 1).repartition(tasks, "word")
 
 
 def train_vocabulary(

@@ -154,6 +154,16 @@ def test_rounds_of_overlapping_pairs(spark, monkeypatch, limits):
     assert sum(rounds) == 80 and (limits or len(rounds) <= 8), rounds
 
 
+def test_words_are_counted_before_they_become_symbols(spark, corpus, monkeypatch):
+    """Spark moves filters below a count, so none of them may spell out the symbols of every single word."""
+    plans = []
+    plain = k._landed
+    monkeypatch.setattr(k, "_landed", lambda df, path: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or plain(df, path))
+    k.train_vocabulary(corpus, vocab_size=263)
+    filters = [line for line in plans[0].splitlines() if "Filter" in line]
+    assert "conv(" in plans[0] and not any("conv(" in line for line in filters), plans[0]
+
+
 def test_blocks_are_merged_like_words():
     rng = random.Random(3)
     for _ in range(60):
