@@ -102,12 +102,13 @@ def collate(
     width = rounded_width(F.max(F.size(ids)).over(Window.partitionBy(*within, batch)))
     sized = df.withColumn("width", width)
     blank = F.col("width") - F.size(ids)
+    ignored = F.transform(ids, lambda i: F.when(i == pad_id, F.lit(IGNORED_LABEL)).otherwise(i))
     return sized.withColumns(
         {
             ids: pad_right(F.col(ids), F.col("width"), pad_id),
             "attention_mask": F.concat(repeated(1, F.size(ids)), repeated(0, blank)),
             "labels": F.concat(
-                F.transform(ids, lambda i: F.when(i == pad_id, F.lit(IGNORED_LABEL)).otherwise(i)),
+                F.when(F.array_contains(ids, pad_id), ignored).otherwise(F.col(ids)),
                 repeated(IGNORED_LABEL, blank),
             ),
         }

@@ -68,9 +68,9 @@ FROM placed GROUP BY key, part
 def metric_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Values are shown in hundredths, so that both engines write them alike."""
     rows = u.metric_summary(a.metrics(spark, folder))
-    cents = F.transform("values", lambda v: F.round(v * 100).cast("bigint"))
+    cents = F.transform("values", lambda v: F.round(v * 100).cast("bigint")).cast("array<string>")
     return rows.select(
-        "key", "part", a.joined_ids(cents).alias("cents"), F.round("average", 6).alias("average"), "step"
+        "key", "part", F.array_join(cents, ",").alias("cents"), F.round("average", 6).alias("average"), "step"
     )
 
 

@@ -270,6 +270,30 @@ def test_collate_ignores_pad_ids_in_labels(spark):
     assert df.first().labels == [10, -100, 12] + [-100] * 5
 
 
+def test_ids_are_joined_without_strings_for_each(spark):
+    """Long arrays become text at once, as the plain way writes them."""
+    from corpusloom.plans import adapters as a
+
+    rows = [([1, -100, 0, 2147483647, -2147483648],), ([],), (None,), ([7],), (list(range(5000)),)]
+    df = spark.createDataFrame(rows, "ids array<int>")
+    wide = df.select(F.col("ids").cast("array<bigint>").alias("ids"))
+    for some in (df, wide):
+        got = some.select(a.joined_ids("ids").alias("x"), a.joined_ids(F.col("ids")).alias("y"))
+        assert "as array<string>" not in got._jdf.queryExecution().optimizedPlan().toString()
+        want = [None if ids is None else ",".join(map(str, ids)) for ids, in rows]
+        assert [tuple(r) for r in got.collect()] == [(w, w) for w in want]
+
+
+def test_labels_are_searched_only_where_the_pad_id_occurs(spark):
+    plain, padded = [(5 * i, list(range(10, 10 + i))) for i in (3, 9)], [(50, [0, 4, 0])]
+    df = spark.createDataFrame([*plain, *padded, (60, [])], "key bigint, input_ids array<int>")
+    got = b.collate(b.fixed_batches(df, 4, ["key"]), 0)
+    rows = {x.key: x.labels for x in got.collect()}
+    want = {key: [-100 if i == 0 else i for i in ids] for key, ids in [*plain, *padded, (60, [])]}
+    assert rows == {key: ids + [-100] * (16 - len(ids)) for key, ids in want.items()}
+    assert "array_contains" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_grouped_collate_is_the_same(spark):
     batches = b.fixed_batches(sequences(spark, [3, 9, 5, 1, 0]), 2, ["key"])
     flat = b.collate(batches, 0).orderBy("key").collect()
